@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adsieve.llm.storage import keep
+from adsieve.llm.words import slices
 
 #: Distinct words whose ids a worker remembers at a time.
 CACHE_WORDS = 400_000
@@ -86,20 +87,6 @@ class WordEncoder:
         return b"".join(out)
 
 
-def slices(text: bytes, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of about ``size`` bytes that end at ASCII white space."""
-    at, end = 0, len(text)
-    while at < end:
-        to = at + size
-        if to >= end:
-            to = end
-        else:
-            while to < end and text[to] not in b" \t\n\v\f\r":
-                to += 1
-        yield at, to
-        at = to
-
-
 class Windows:
     """The open windows of one partition: slot -> (free places, pieces)."""
 

@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsieve.llm import line_quality, packing
+from adsieve.llm import language, line_quality, packing
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -20,10 +21,17 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.select("doc_id", "text", "lang"), PIECES)
+    found = language.predict(docs, PIECES, model)
+    return found.select("doc_id", language.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_quality.judge(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {"op1_packing": op1_packing, "op8_line_quality": op8_line_quality}
+QUERIES = {"op1_packing": op1_packing, "op6_language": op6_language, "op8_line_quality": op8_line_quality}
 ORACLE_SQL = {"op8_line_quality": line_quality.ORACLE}
