@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsieve.llm import language, line_quality, packing
+from adsieve.llm import language, line_quality, packing, tool_calls, url_lists
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.turns_as_calls(table(spark, sf_dir, "conversations"))
+    return tool_calls.link(calls, results, tool_calls.TURN_SCHEMAS)
+
+
+def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_lists.judge(*url_lists.demonstration(table(spark, sf_dir, "pages")))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.select("doc_id", "text", "lang"), PIECES)
@@ -33,5 +42,5 @@ def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {"op1_packing": op1_packing, "op6_language": op6_language, "op8_line_quality": op8_line_quality}
-ORACLE_SQL = {"op8_line_quality": line_quality.ORACLE}
+QUERIES = {"op1_packing": op1_packing, "op4_tool_calls": op4_tool_calls, "op5_url_lists": op5_url_lists, "op6_language": op6_language, "op8_line_quality": op8_line_quality}
+ORACLE_SQL = {"op4_tool_calls": tool_calls.ORACLE, "op5_url_lists": url_lists.ORACLE, "op8_line_quality": line_quality.ORACLE}
