@@ -17,6 +17,7 @@ import os
 import struct
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -28,7 +29,7 @@ from adsieve.llm.storage import keep
 from adsieve.llm.words import slices
 
 #: Distinct words whose ids a worker remembers at a time.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_200_000
 #: Open windows that one merging group takes; each group pads one sequence at most.
 MERGE_WINDOWS = 4096
 
@@ -62,8 +63,6 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
         fresh = list(words)
         for at in range(0, len(fresh), 20_000):
             part = fresh[at : at + 20_000]
@@ -72,19 +71,31 @@ class WordEncoder:
                 ids = code.ids
                 self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
 
-    def ids(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids of one text, a few megabytes of it at a time."""
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; long texts go a few megabytes at a time."""
+        if sum(map(len, texts)) > 8 << 20 and len(texts) > 1:
+            half = len(texts) // 2
+            return self.ids(texts[:half]) + self.ids(texts[half:])
         out = []
-        for at, to in slices(text):
-            words = text[at:to].split()
-            fresh = set(words).difference(self.known)
-            if fresh:
-                if len(self.known) + len(fresh) > CACHE_WORDS:
-                    self.known.clear()
-                    fresh = set(words)
-                self.learn(fresh)
-            out.append(b"".join(map(self.known.__getitem__, words)))
-        return b"".join(out)
+        for parts in zip(*(slices(t) for t in texts)) if len(texts) == 1 else [[(0, len(t)) for t in texts]]:
+            split = [t[at:to].split() for t, (at, to) in zip(texts, parts)]
+            fresh = set().union(*split).difference(self.known)
+            if len(self.known) + len(fresh) > CACHE_WORDS:  # the words met first are the frequent ones
+                self.known = dict(islice(self.known.items(), CACHE_WORDS // 4))
+                fresh = set().union(*split).difference(self.known)
+            self.learn(fresh)
+            out.append([b"".join(map(self.known.__getitem__, words)) for words in split])
+        return [b"".join(parts) for parts in zip(*out)] if out else [b""] * len(texts)
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """One encoder for each worker process, so that what it has learned serves its later tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 class Windows:
@@ -137,17 +148,17 @@ def _pack_partition(path: str, size: int, count: int, end_id: int):
         return pa.RecordBatch.from_arrays([*columns, pa.array([is_open] * len(pieces), pa.bool_())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, windows = WordEncoder(path), Windows(size, count, TaskContext.get().partitionId() << 40)
+        coder, windows = encoder(path), Windows(size, count, TaskContext.get().partitionId() << 40)
         ready: list[tuple] = []
-        held = 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = (coder.ids(text.as_py()) if text.is_valid else b"") + end
-                ready.extend(windows.add(doc, ids))
-                held += len(ids)
-                if held > 16 << 20 and ready:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                texts = [t or b"" for t in part.column(1).to_pylist()]
+                for doc, ids in zip(part.column(0).to_pylist(), coder.ids(texts)):
+                    ready.extend(windows.add(doc, ids + end))
+                if ready:
                     yield rows(ready, False)
-                    ready, held = [], 0
+                    ready = []
         if ready:
             yield rows(ready, False)
         if left := [p for _, at in windows.order for p in windows.held[at]]:

@@ -31,7 +31,7 @@ def test_links_and_json(spark):
     assert got[1, "a"].status == "linked" and got[1, "a"].n_results == 2 and got[1, "a"].errors == "unknown:zz"
     assert got[1, "a"].json == '{"arguments":{"all":true,"at":-1500.0,"n":3,"q":"h\\"é","zz":"1"},"id":"a","name":"find","result":"said \\"x\\"\\n"}'
     assert got[1, "b"].errors == "type:n,length:q" and got[1, "b"].n_calls == 2 and got[1, "b"].level == 1
-    assert got[1, "c"].errors == "missing:q,maximum:n,dependency" and got[1, "c"].level == 0
+    assert got[1, "c"].errors == "maximum:n,missing:q,dependency" and got[1, "c"].level == 0
     assert got[1, "d"].errors == "unknown_tool" and got[1, "e"].errors == "arguments" == got[1, "f"].errors
     assert got[1, "g"].errors == "unknown_tool" and got[1, "g"].level == 1
     assert got[3, "q"].status == "orphan_result" and got[3, "q"].errors == ""
