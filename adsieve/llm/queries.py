@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsieve.llm import language, line_quality, packing, tool_calls, url_lists
+from adsieve.llm import language, line_quality, mixing, neighbours, packing, tool_calls, url_lists
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), neighbours.fit(vectors))
+
+
 def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = tool_calls.turns_as_calls(table(spark, sf_dir, "conversations"))
     return tool_calls.link(calls, results, tool_calls.TURN_SCHEMAS)
@@ -42,5 +47,11 @@ def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {"op1_packing": op1_packing, "op4_tool_calls": op4_tool_calls, "op5_url_lists": op5_url_lists, "op6_language": op6_language, "op8_line_quality": op8_line_quality}
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(docs, max_repeats=2.0)
+    return mixed.select("doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.col("mix_weight").alias("weight"), F.col("mix_epoch").alias("epoch"), F.col("mix_block").alias("block"))
+
+
+QUERIES = {"op1_packing": op1_packing, "op3_neighbours": op3_neighbours, "op4_tool_calls": op4_tool_calls, "op5_url_lists": op5_url_lists, "op6_language": op6_language, "op8_line_quality": op8_line_quality, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op4_tool_calls": tool_calls.ORACLE, "op5_url_lists": url_lists.ORACLE, "op8_line_quality": line_quality.ORACLE}
