@@ -13,7 +13,7 @@ an empty result. Every id lies in exactly one piece.
 
 from __future__ import annotations
 
-import os
+import re
 import struct
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -30,6 +30,7 @@ from adsieve.llm.words import slices
 
 #: Distinct words whose ids a worker remembers at a time.
 CACHE_WORDS = 1_200_000
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 #: Open windows that one merging group takes; each group pads one sequence at most.
 MERGE_WINDOWS = 4096
 
@@ -47,45 +48,47 @@ PIECE = T.StructType(
 OPEN_PIECE = T.StructType([*PIECE.fields, T.StructField("open", T.BooleanType())])
 
 
-class WordEncoder:
-    """Ids of whole texts by way of their words.
+class WordEncoder(dict):
+    """Ids of whole texts by way of their words: word -> little-endian unsigned 32-bit ids.
 
     The vocabulary's pre-tokeniser never joins what ASCII white space separates and drops the
     white space itself, and its normaliser doesn't compose across it, so the ids of a text are
-    those of its words, one after another. Words repeat, so their ids are remembered.
+    those of its words, one after another. Words repeat, so their ids are remembered. A word of
+    Latin-1 letters, perhaps with a full stop or comma, is one piece of text (or two) before the
+    merges, which lets the library's merge model have it directly; any other word takes the
+    library's whole way.
     """
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        fresh = list(words)
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            coded = self.encode([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for word, code in zip(part, coded):
-                ids = code.ids
-                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text; long texts go a few megabytes at a time."""
-        if sum(map(len, texts)) > 8 << 20 and len(texts) > 1:
-            half = len(texts) // 2
-            return self.ids(texts[:half]) + self.ids(texts[half:])
-        out = []
-        for parts in zip(*(slices(t) for t in texts)) if len(texts) == 1 else [[(0, len(t)) for t in texts]]:
-            split = [t[at:to].split() for t, (at, to) in zip(texts, parts)]
-            fresh = set().union(*split).difference(self.known)
-            if len(self.known) + len(fresh) > CACHE_WORDS:  # the words met first are the frequent ones
-                self.known = dict(islice(self.known.items(), CACHE_WORDS // 4))
-                fresh = set().union(*split).difference(self.known)
-            self.learn(fresh)
-            out.append([b"".join(map(self.known.__getitem__, words)) for words in split])
-        return [b"".join(parts) for parts in zip(*out)] if out else [b""] * len(texts)
+        super().__init__()
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        whole = Tokenizer.from_file(path)
+        self.encode, self.merge = whole.encode, whole.model.tokenize
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)}
+        self.marks = {m: self._pack(whole.encode(m, add_special_tokens=False).ids) for m in ("", ".", ",")}
+
+    @staticmethod
+    def _pack(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHE_WORDS:  # the words met first are the frequent ones
+            first = list(islice(self.items(), CACHE_WORDS // 4))
+            self.clear()
+            self.update(first)
+        text = word.decode("utf-8", "replace")
+        if plain := _PLAIN.fullmatch(text):
+            stem = plain[1].lower().translate(self.letters)
+            ids = self._pack([t.id for t in self.merge(stem)]) + self.marks[plain[2]]
+        else:
+            ids = self._pack(self.encode(text, add_special_tokens=False).ids)
+        self[word] = ids
+        return ids
+
+    def ids(self, text: bytes) -> bytes:
+        return b"".join(b"".join(map(self.__getitem__, text[at:to].split())) for at, to in slices(text))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -153,9 +156,8 @@ def _pack_partition(path: str, size: int, count: int, end_id: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                texts = [t or b"" for t in part.column(1).to_pylist()]
-                for doc, ids in zip(part.column(0).to_pylist(), coder.ids(texts)):
-                    ready.extend(windows.add(doc, ids + end))
+                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    ready.extend(windows.add(doc, coder.ids(text or b"") + end))
                 if ready:
                     yield rows(ready, False)
                     ready = []
