@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsieve.llm import language, line_quality, mixing, neighbours, packing, tool_calls, url_lists, word_windows
+from adsieve.llm import jaccard_join, language, line_quality, mixing, neighbours, packing, tool_calls, url_lists, word_windows
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -58,5 +58,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.col("mix_weight").alias("weight"), F.col("mix_epoch").alias("epoch"), F.col("mix_block").alias("block"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_neighbours": op3_neighbours, "op4_tool_calls": op4_tool_calls, "op5_url_lists": op5_url_lists, "op6_language": op6_language, "op7_word_windows": op7_word_windows, "op8_line_quality": op8_line_quality, "op9_mixing": op9_mixing}
-ORACLE_SQL = {"op7_word_windows": word_windows.ORACLE, "op4_tool_calls": tool_calls.ORACLE, "op5_url_lists": url_lists.ORACLE, "op8_line_quality": line_quality.ORACLE}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_packing": op1_packing, "op3_neighbours": op3_neighbours, "op4_tool_calls": op4_tool_calls, "op5_url_lists": op5_url_lists, "op6_language": op6_language, "op7_word_windows": op7_word_windows, "op8_line_quality": op8_line_quality, "op9_mixing": op9_mixing, "op10_jaccard_join": op10_jaccard_join}
+ORACLE_SQL = {"op10_jaccard_join": jaccard_join.ORACLE, "op7_word_windows": word_windows.ORACLE, "op4_tool_calls": tool_calls.ORACLE, "op5_url_lists": url_lists.ORACLE, "op8_line_quality": line_quality.ORACLE}
