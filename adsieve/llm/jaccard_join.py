@@ -16,7 +16,7 @@ first p = n - ceil(0.9 n) + 1 tokens of both.
 Candidates are taken in two rounds, so that a large group of copies needs no pair of all its
 members. First each class meets the next two in the (hash) order of each signature's list, and
 verified links join into components. Then every pair of a list that lies in different components
-and passes the size bound is a candidate; a histogram of 256 token bins bounds the difference of
+and passes the size bound is a candidate; a histogram of 64 token bins bounds the difference of
 two sets from below and drops most unlike ones before their sets are compared. After that, each
 candidate is either in one component or was compared: no link is lost, and none needs listing.
 
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adsieve.llm.blocks import hash_ranges, mixed, range_edges
@@ -41,9 +41,10 @@ from adsieve.llm.components import components
 from adsieve.llm.storage import keep
 from adsieve.llm.word_windows import window_hashes, word_hashes
 
-CELLS = 1 << 21
+CELLS = 1 << 24
 SLICES = 64
-BINS = 256
+BINS = 64
+BLOOM = 1 << 25
 _GROUP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -66,46 +67,86 @@ def cells(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
 
 
+def histogram(tokens: np.ndarray) -> bytes:
+    """Tokens by bin, at most 255 each: no two sets differ less than their histograms."""
+    return np.minimum(255, np.bincount((tokens & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)).astype(np.uint8).tobytes()
+
+
+def in_slices(table: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    return pa.array(range(SLICES), pa.int32()), pa.array([part.tobytes() for part in table.reshape(SLICES, -1)], pa.binary())
+
+
+def whole(slices: list) -> np.ndarray:
+    """A fixed-size table of bytes from its collected slices."""
+    return np.frombuffer(b"".join(r["part"] for r in sorted(slices, key=lambda r: r["slice"])), np.uint8)
+
+
+SURVEY = "doc_id long, n long, cid long, bins binary, slice int, part binary"
+
+
 def _survey(size: int):
-    """Each document's size and class, and the token counts of the task in slices."""
+    """Each document's size, class and histogram, and the token counts of the task (up to 255) in slices."""
+    names = ["doc_id", "n", "cid", "bins", "slice", "part"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, any_rows = np.zeros(CELLS, np.uint32), False
+        counts, any_rows = np.zeros(CELLS, np.uint16), False
         for batch in batches:
-            ids, ns, names = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ns, cids, bins = [], [], []
+            for text in batch.column(1):
                 tokens = shingle_set(text.as_py() or b"" if text.is_valid else b"", size)
                 np.add.at(counts, cells(tokens), 1)
-                ids.append(doc)
                 ns.append(len(tokens))
-                names.append(class_id(tokens))
-            any_rows = any_rows or bool(ids)
-            none = pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(names, pa.int64()), *none], ["doc_id", "n", "cid", "slice", "counts"])
+                cids.append(class_id(tokens))
+                bins.append(histogram(tokens))
+            any_rows = any_rows or bool(ns)
+            none = pa.nulls(len(ns), pa.int32()), pa.nulls(len(ns), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(cids, pa.int64()), pa.array(bins, pa.binary()), *none], names)
         if any_rows:
-            parts = [c.tobytes() for c in counts.reshape(SLICES, -1)]
-            none = [pa.nulls(SLICES, pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([*none, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["doc_id", "n", "cid", "slice", "counts"])
+            none = [pa.nulls(SLICES, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, *in_slices(np.minimum(counts, 255).astype(np.uint8))], names)
 
     return run
 
 
-def _add_counts(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = 0
+PART = "slice int, part binary"
+
+
+def _commonness(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Steps of the summed counts of one slice: four for each doubling."""
+    total = np.zeros(CELLS // SLICES, np.int64)
     for batch in batches:
-        for part in batch.column("counts"):
-            total = total + np.frombuffer(part.as_py(), np.uint32).astype(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.astype(np.int64).tobytes()], pa.binary())], ["slice", "counts"])
+        for part in batch.column("part"):
+            total += np.frombuffer(part.as_py(), np.uint8)
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([steps(total).tobytes()], pa.binary())], ["slice", "part"])
+
+
+def steps(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(255, np.ceil(4 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
+
+
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bitmap of the task's cells, in slices."""
+    table = np.zeros(BLOOM // 8, np.uint8)
+    for batch in batches:
+        cell = batch.column(0).to_numpy()
+        np.bitwise_or.at(table, cell >> 3, (1 << (cell & 7)).astype(np.uint8))
+    if table.any():
+        yield pa.RecordBatch.from_arrays(list(in_slices(table)), ["slice", "part"])
+
+
+def _united(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table = np.zeros(BLOOM // 8 // SLICES, np.uint8)
+    for batch in batches:
+        for part in batch.column("part"):
+            table |= np.frombuffer(part.as_py(), np.uint8)
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([table.tobytes()], pa.binary())], ["slice", "part"])
 
 
 class Order:
     """The global token order: a step of commonness for each cell, and from which step tokens are frequent."""
 
-    def __init__(self, counts: np.ndarray) -> None:
-        limit = 4 * counts.mean() + 64
-        self.frequent = 128
-        steps = np.minimum(127, np.ceil(4 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
-        self.step = np.where(counts > limit, np.maximum(steps, 1) + 127, steps).astype(np.uint8)
+    def __init__(self, step: np.ndarray, mean: float) -> None:
+        self.step, self.frequent = step, int(steps(np.array([4 * mean + 64]))[0])
 
     def signatures(self, tokens: np.ndarray, percent: int) -> np.ndarray:
         n = len(tokens)
@@ -114,12 +155,12 @@ class Order:
         step = self.step[cells(tokens)]
         order = np.lexsort((tokens, step))
         own = order[:prefix]
-        rare = step[own] < self.frequent
+        rare = step[own] <= self.frequent
         out = [tokens[own[rare]]]
         if not rare.all():
             for g in {classes(n, percent), classes(need, percent)}:
                 longer = order[: prefix + g]
-                common = tokens[longer[step[longer] >= self.frequent]]
+                common = tokens[longer[step[longer] > self.frequent]]
                 where = common % np.uint64(g)
                 for k in np.flatnonzero(np.bincount(where.astype(np.int64), minlength=g) > 1):
                     group = common[where == k]
@@ -265,17 +306,17 @@ def _across(percent: int, ranges: int):
     return run
 
 
-def _sets(size: int):
+def _sets(size: int, bitmap):
+    """(cid, tokens) of the documents whose cell is set in the bitmap."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bitmap.value
         for batch in batches:
-            rows = []
-            for cid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens = shingle_set(text.as_py() or b"" if text.is_valid else b"", size)
-                if class_id(tokens) == cid:  # of rows with one id, the one that stands for the class
-                    bins = np.minimum(255, np.bincount((tokens & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)).astype(np.uint8)
-                    rows.append((cid, tokens.tobytes(), bins.tobytes()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary()))], ["cid", "tokens", "bins"])
+            cell = batch.column(1).to_numpy()
+            hit = np.flatnonzero(table[cell >> 3] >> (cell & 7) & 1)
+            for at in range(0, len(hit), 200):
+                sets = [shingle_set(t or b"", size) for t in batch.column(0).take(pa.array(hit[at : at + 200])).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(map(class_id, sets), pa.int64()), pa.array([t.tobytes() for t in sets], pa.binary())], ["cid", "tokens"])
 
     return run
 
@@ -312,47 +353,65 @@ def _verify(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    brief = sets.select("cid", "bins", (F.octet_length("tokens") / 8).cast("long").alias("n"))
+def _near(pairs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
     for side in ("a", "b"):
-        pairs = pairs.join(brief.select(F.col("cid").alias(side), F.col("bins").alias(f"{side}_bins"), F.col("n").alias(f"{side}_n")), side)
-    near = pairs.select("a", "b", "a_bins", "b_bins", "a_n", "b_n").mapInArrow(_bounded(percent), "a long, b long")
+        pairs = pairs.join(named.select(F.col("cid").alias(side), F.col("bins").alias(f"{side}_bins"), F.col("n").alias(f"{side}_n")), side)
+    return pairs.select("a", "b", "a_bins", "b_bins", "a_n", "b_n").mapInArrow(_bounded(percent), "a long, b long")
+
+
+def _links(pairs: DataFrame, named: DataFrame, rows: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """The similar ones of the pairs of classes.
+
+    Texts don't move: a bitmap of fixed size tells the scan which documents stand for a class that
+    is needed, and only their sets are sent. What its false hits let through, a join drops.
+    """
+    spark = rows.sparkSession
+    near = keep(_near(pairs, named, percent), "near")
+    needed = near.select(F.col("a").alias("cid")).union(near.select("b")).distinct()
+    stand = needed.join(named, "cid").select(_bloom_cell(F.col("first_id")))
+    bitmap = np.zeros(BLOOM // 8, np.uint8)
+    if slices := stand.mapInArrow(_bits, PART).groupBy("slice").applyInArrow(_united, PART).collect():
+        bitmap = whole(slices)
+    scanned = rows.select("text", _bloom_cell(F.col("doc_id"))).mapInArrow(_sets(shingle, spark.sparkContext.broadcast(bitmap)), "cid long, tokens binary")
+    sets = keep(scanned.join(needed, "cid", "left_semi").groupBy("cid").agg(F.first("tokens").alias("tokens")), "sets")
     for side in ("b", "a"):
         near = near.join(sets.select(F.col("cid").alias(side), F.col("tokens").alias(f"{side}_tokens")), side)
     return near.select("a", "b", "a_tokens", "b_tokens").mapInArrow(_verify(percent), "a long, b long")
 
 
+def _bloom_cell(id_column: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit("class"), id_column), F.lit(BLOOM))
+
+
 def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): each document's set size and the least doc_id that links reach."""
     spark = docs.sparkSession
     ranges = hash_ranges(spark)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
-    survey = keep(rows.mapInArrow(_survey(shingle), "doc_id long, n long, cid long, slice int, counts binary"), "survey")
-    sizes = survey.where("slice IS NULL").select("doc_id", "n", "cid")
-    parts = survey.where("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(_add_counts, "slice int, counts binary").collect()
-    counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(parts, key=lambda r: r["slice"])]) if parts else np.zeros(CELLS, np.int64)
-    order = spark.sparkContext.broadcast(Order(counts))  # one byte for each cell, whatever the input
-    named = keep(sizes.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("first_id")), "classes")
+    survey = keep(rows.mapInArrow(_survey(shingle), SURVEY), "survey")
+    sizes = survey.where("slice IS NULL").select("doc_id", "n", "cid", "bins")
+    slices = survey.where("slice IS NOT NULL").select("slice", "part").groupBy("slice").applyInArrow(_commonness, PART).collect()
+    tokens = sizes.agg(F.sum("n")).first()[0] or 0
+    step = whole(slices) if slices else np.zeros(CELLS, np.uint8)
+    order = spark.sparkContext.broadcast(Order(step, tokens / CELLS))  # one byte for each cell, whatever the input
+    named = keep(sizes.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bins").alias("bins")), "classes")
     least = next(n for n in range(2, 102) if 100 * (n - 1) >= percent * n) - 1  # below, only equal sets are similar
     lists = keep(rows.mapInArrow(_index(shingle, percent, order, ranges, least), LISTS).groupBy("bucket").applyInArrow(_lists, LISTS), "lists")
     first = keep(lists.mapInArrow(_chain(ranges), PAIRS).groupBy("bucket").applyInArrow(_distinct_pairs, "a long, b long"), "pairs")
-    live = first.select(F.col("a").alias("cid")).union(first.select("b")).distinct().join(named, "cid")
-    texts = live.join(rows, live["first_id"].eqNullSafe(rows["doc_id"])).select("cid", "text")
-    sets = keep(texts.mapInArrow(_sets(shingle), "cid long, tokens binary, bins binary").dropDuplicates(["cid"]), "sets")
-    links = keep(_links(first, sets, percent), "links")
+    links = keep(_links(first, named, rows, percent, shingle), "links")
     groups = keep(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "groups")
     members = lists.mapInArrow(_members, "signature long, cid long, size int").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
     placed = members.select("signature", "cid", "size", F.coalesce("component", "cid").alias("component"))
-    mixed_lists = placed.groupBy("signature").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("signature")
+    mixed_lists = placed.groupBy("signature").agg((F.min("component") != F.max("component")).alias("mixed"), F.count(F.lit(1)).alias("k")).where("mixed AND k > 3").select("signature")
     rest = placed.join(mixed_lists, "signature").withColumn("bucket", F.pmod(F.xxhash64("signature"), F.lit(ranges)).cast("int"))
     second = rest.groupBy("bucket").applyInArrow(_across(percent, ranges), PAIRS).groupBy("bucket").applyInArrow(_distinct_pairs, "a long, b long")
-    more = keep(_links(second.join(first, ["a", "b"], "left_anti"), sets, percent), "links")
+    more = keep(_links(second.join(first, ["a", "b"], "left_anti"), named, rows, percent, shingle), "links")
     if more.limit(1).count():
         groups = keep(components(links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v"))), "groups")
-    least_id = named.join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    least_id = named.select("cid", "first_id").join(groups.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     of_group = least_id.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_class = least_id.join(of_group, "component").select("cid", "component_id")
-    linked = sizes.join(of_class.withColumn("linked", F.lit(True)), "cid", "left")
+    linked = sizes.select("doc_id", "n", "cid").join(of_class.withColumn("linked", F.lit(True)), "cid", "left")
     return linked.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
