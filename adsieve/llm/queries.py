@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsieve.llm import jaccard_join, language, line_quality, mixing, neighbours, packing, tool_calls, url_lists, word_windows
+from adsieve.llm import jaccard_join, language, line_quality, mixing, neighbours, packing, suffix_dedup, tool_calls, url_lists, word_windows
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), neighbours.fit(vectors))
@@ -62,5 +67,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_neighbours": op3_neighbours, "op4_tool_calls": op4_tool_calls, "op5_url_lists": op5_url_lists, "op6_language": op6_language, "op7_word_windows": op7_word_windows, "op8_line_quality": op8_line_quality, "op9_mixing": op9_mixing, "op10_jaccard_join": op10_jaccard_join}
+QUERIES = {"op1_packing": op1_packing, "op2_suffix_dedup": op2_suffix_dedup, "op3_neighbours": op3_neighbours, "op4_tool_calls": op4_tool_calls, "op5_url_lists": op5_url_lists, "op6_language": op6_language, "op7_word_windows": op7_word_windows, "op8_line_quality": op8_line_quality, "op9_mixing": op9_mixing, "op10_jaccard_join": op10_jaccard_join}
 ORACLE_SQL = {"op10_jaccard_join": jaccard_join.ORACLE, "op7_word_windows": word_windows.ORACLE, "op4_tool_calls": tool_calls.ORACLE, "op5_url_lists": url_lists.ORACLE, "op8_line_quality": line_quality.ORACLE}
