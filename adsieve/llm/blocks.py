@@ -23,37 +23,45 @@ ANSWER = "block_id long, bucket int, mask binary"
 
 
 def _gather(size: int):
-    kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, ids, texts, held = TaskContext.get().partitionId() << 32, [], [], 0
+        number, held = TaskContext.get().partitionId() << 32, 0
+        names, columns, kinds = None, None, None
 
         def block() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((number, ids, texts), kinds)], ["block_id", "doc_ids", "texts"])
+            parts = [pa.array([number], pa.int64()), *(pa.array([c], pa.list_(t)) for c, t in zip(columns, kinds))]
+            return pa.RecordBatch.from_arrays(parts, names)
 
         for batch in batches:
+            if names is None:
+                names = ["block_id", "doc_ids", "texts", "rest"][: 1 + batch.num_columns]
+                kinds, columns = batch.schema.types, [[] for _ in batch.columns]
             for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids.append(doc)
-                    texts.append(text or b"")
-                    held += len(texts[-1])
-                    if held >= size or len(ids) >= 20_000:
+                for row in zip(*(c.slice(at, 500).to_pylist() for c in batch.columns)):
+                    for column, value in zip(columns, row):
+                        column.append(value)
+                    columns[1][-1] = columns[1][-1] or b""
+                    held += len(columns[1][-1])
+                    if held >= size or len(columns[0]) >= 20_000:
                         yield block()
-                        number, ids, texts, held = number + 1, [], [], 0
-        if ids:
+                        number, held, columns = number + 1, 0, [[] for _ in columns]
+        if columns and columns[0]:
             yield block()
 
     return run
 
 
-def in_blocks(docs: DataFrame, ordered: bool, id_column: str = "doc_id", text_column: str = "text", size: int = 4 << 20) -> DataFrame:
-    """Blocks of whole documents (null text: empty). ``ordered``: by (doc_id, hash of text, text) across and within blocks."""
+def in_blocks(docs: DataFrame, ordered: bool, id_column: str = "doc_id", text_column: str = "text", size: int = 4 << 20, carry: bool = False) -> DataFrame:
+    """Blocks of whole documents (null text: empty). ``ordered``: by (doc_id, hash of text, text) across and within blocks.
+
+    ``carry``: all columns but the text go along as structs in ``rest``.
+    """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != text_column]).alias("rest")
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"), *[rest] * carry)
+    schema = BLOCK + (f", rest array<{rows.schema['rest'].dataType.simpleString()}>" if carry else "")
     if ordered:
         rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
-    return keep_bucketed(rows.mapInArrow(_gather(size), BLOCK), "blocks", "block_id", buckets(spark))
+    return keep_bucketed(rows.mapInArrow(_gather(size), schema), "blocks", "block_id", buckets(spark))
 
 
 def buckets(spark) -> int:

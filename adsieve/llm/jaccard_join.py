@@ -415,6 +415,21 @@ def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str =
     return linked.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
+    """The documents of ``docs`` but one of each group of linked ones: the one whose id names the group.
+
+    Rows of one id stand and fall together (they stay if any of them names its group), and of equal
+    ones one stays; rows with a null id stay.
+    """
+    found = join(docs, percent, shingle).where("doc_id IS NOT NULL")
+    ids = keep(found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"), (F.count(F.lit(1)) > 1).alias("repeated")), "ids")
+    left = docs.join(ids.where("NOT stays").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    repeated = ids.where("stays AND repeated").select("doc_id")
+    if not repeated.limit(1).count():
+        return left
+    return left.join(repeated, "doc_id", "left_anti").unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*docs.columns)
+
+
 ORACLE = r"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents

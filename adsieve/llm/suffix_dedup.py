@@ -28,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from adsieve.llm.blocks import from_planes, hash_ranges, in_blocks, masks_by_block, mixed, range_edges, to_planes
 from adsieve.llm.induced_sort import suffix_array
@@ -226,7 +225,7 @@ def _sort(size: int):
     return run
 
 
-def _remove(size: int, ranges: int):
+def _remove(size: int, ranges: int, carry: bool):
     names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
     kinds = (pa.int64(), pa.int64(), pa.int64(), SPAN, pa.binary())
 
@@ -258,26 +257,47 @@ def _remove(size: int, ranges: int):
                 for doc, text in zip(batch.column("doc_ids")[k].as_py(), texts):
                     flags = gone[at : at + len(text)]
                     spans = runs(flags) if flags.any() else []
-                    kept = own.data[at : at + len(text)][~flags].tobytes() if spans else text
+                    if carry:
+                        kept = whole_characters(text, spans)
+                    else:
+                        kept = own.data[at : at + len(text)][~flags].tobytes() if spans else text
                     rows.append((doc, len(text), int(flags.sum()), [{"start": s, "length": n} for s, n in spans], kept))
                     at += len(text)
+                rest = batch.column("rest")[k].values if carry else None
+                types = [*kinds[:-1], pa.string()] if carry else kinds
                 for a in range(0, len(rows), 2000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 2000]), kinds)], names)
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows[a : a + 2000]), types)]
+                    yield pa.RecordBatch.from_arrays([*columns, *([rest.slice(a, 2000)] if carry else [])], [*names, *["rest"] * carry])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """A RESULT row for each document: the removed spans and the bytes that stay."""
+def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
+    """A RESULT row for each document: the removed spans and the bytes that stay.
+
+    ``carry``: ``kept`` is a string (spans are first shrunk to whole characters), and all other
+    columns of ``docs`` come along in the struct ``rest``.
+    """
     ranges = hash_ranges(docs.sparkSession)
-    table = in_blocks(docs, ordered=False, id_column=id_column, text_column=text_column)
+    table = in_blocks(docs, ordered=False, id_column=id_column, text_column=text_column, carry=carry)
     asked = table.mapInArrow(_ask(size, ranges), "block_id long, bucket int, anchors binary, forms binary, again binary")
     codes = keep(masks_by_block(asked.groupBy("bucket").applyInArrow(_settle, CODES)), "codes")
     told = table.join(codes.hint("shuffle_hash"), "block_id", "left")
     sent = told.mapInArrow(_send(size, ranges), "block_id long, bucket int, texts binary, lengths binary, decided binary")
     answers = masks_by_block(sent.groupBy("bucket").applyInArrow(_sort(size), CODES)).withColumnRenamed("masks", "answers")
     final = told.join(answers.hint("shuffle_hash"), "block_id", "left")
-    return final.mapInArrow(_remove(size, ranges), RESULT)
+    schema = RESULT
+    if carry:
+        schema = RESULT.replace("kept binary", "kept string") + f", rest {table.schema['rest'].dataType.elementType.simpleString()}"
+    return final.mapInArrow(_remove(size, ranges, carry), schema)
+
+
+def without_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
+    """The documents without repeated strings, in the columns of ``docs``; those left without a word go."""
+    found = remove_repeats(docs, size, carry=True)
+    columns = [F.col("kept").alias(c) if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns]
+    left = found.where(F.col("kept").rlike(r"[^\x20\x09-\x0D]")).select(*columns)
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else left
 
 
 def whole_characters(text: bytes, spans: list[tuple[int, int]]) -> str:

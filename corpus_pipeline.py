@@ -1,7 +1,59 @@
-"""From raw documents to packed training sequences."""
-STAGES = []
+"""From raw documents to packed training sequences, in five stages.
+
+Each stage takes all that the one before kept and returns it in the columns of ``documents``; the
+last one returns pieces of packed sequences. Between stages the rows are written and read again.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from adsieve.llm import jaccard_join, line_quality, mixing, packing, suffix_dedup
+from adsieve.llm.storage import keep
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Failed lines go; so do documents that break the base rules or lose too much."""
+    return line_quality.clean(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that five-word shingles link at 0.8 stays."""
+    return jaccard_join.one_of_each(docs, percent=80, shingle=5)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 200 bytes that occur twice go, wherever they occur; documents left without a word go too."""
+    return suffix_dedup.without_repeats(docs, size=200)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents once at least; small sources repeat, up to one and a half times, towards an even mix."""
+    return mixing.mix(docs, max_repeats=1.5, budget=None).select(*docs.columns)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed windows of 2048 ids."""
+    return packing.pack(docs, TOKENIZER)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("mixing sources to target weights", mixture),
+    ("packing", sequences),
+]
+
+#: SQL cannot express the stages' tokenisation, packing and bisection; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = keep(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)
