@@ -16,8 +16,8 @@ first p = n - ceil(0.9 n) + 1 tokens of both.
 Candidates are taken in two rounds, so that a large group of copies needs no pair of all its
 members. First each class meets the next two in the (hash) order of each signature's list, and
 verified links join into components. Then every pair of a list that lies in different components
-and passes the size bound is a candidate; a histogram of 64 token bins bounds the difference of
-two sets from below and drops most unlike ones before their sets are compared. After that, each
+is a candidate if sizes and histograms of 64 token bins, which bound the difference of two sets from
+below, leave room for similarity; only those are sent on, to have their sets compared. After that, each
 candidate is either in one component or was compared: no link is lost, and none needs listing.
 
 Defined results: null and empty texts have an empty set, linked with nothing; a text of fewer
@@ -278,14 +278,21 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(c), pa.array(n)], ["signature", "cid", "size"])
 
 
+def may_be_similar(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Do histograms leave room for similarity? ``total``: both sizes together."""
+    differ = np.abs(x - y).sum(axis=1)
+    return (total + differ) * percent <= 100 * (total - differ)  # union and common, twice, at their best
+
+
 def _across(percent: int, ranges: int):
-    """Pairs of one list that lie in different components and may be similar by their sizes."""
+    """Pairs of one list that lie in different components and may be similar by their sizes and histograms."""
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches))
         s, c, n, p = (rows.column(k).to_numpy() for k in ("signature", "cid", "size", "component"))
+        h = np.frombuffer(b"".join(rows.column("bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
         by = np.lexsort((c, n, s))
-        s, c, n, p = s[by], c[by], n[by].astype(np.int64), p[by]
+        s, c, n, p, h = s[by], c[by], n[by].astype(np.int64), p[by], h[by]
         starts = np.concatenate([[0], np.flatnonzero(np.diff(s)) + 1, [len(s)]])
         left, right, held = [], [], 0
         for a, b in zip(starts, starts[1:]):
@@ -294,6 +301,7 @@ def _across(percent: int, ranges: int):
             reach = np.searchsorted(n[a:b] * percent, n[a:b] * 100, side="right")  # sizes up to n / percent
             for k in range(b - a - 1):
                 other = a + k + 1 + np.flatnonzero(p[a + k + 1 : a + reach[k]] != p[a + k])
+                other = other[may_be_similar(h[other], h[a + k], n[other] + n[a + k], percent)]
                 left.append(np.full(len(other), c[a + k]))
                 right.append(c[other])
                 held += len(other)
@@ -333,9 +341,7 @@ def _bounded(percent: int):
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int32) for k in ("a_bins", "b_bins"))
-            differ = np.abs(x - y).sum(axis=1)
-            total = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
-            fine = (total + differ) * percent <= 100 * (total - differ)  # union and common, twice, at their best
+            fine = may_be_similar(x, y, batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy(), percent)
             yield batch.select(["a", "b"]).filter(pa.array(fine))
 
     return run
@@ -403,7 +409,7 @@ def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str =
     members = lists.mapInArrow(_members, "signature long, cid long, size int").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
     placed = members.select("signature", "cid", "size", F.coalesce("component", "cid").alias("component"))
     mixed_lists = placed.groupBy("signature").agg((F.min("component") != F.max("component")).alias("mixed"), F.count(F.lit(1)).alias("k")).where("mixed AND k > 3").select("signature")
-    rest = placed.join(mixed_lists, "signature").withColumn("bucket", F.pmod(F.xxhash64("signature"), F.lit(ranges)).cast("int"))
+    rest = placed.join(mixed_lists, "signature").join(named.select("cid", "bins"), "cid").withColumn("bucket", F.pmod(F.xxhash64("signature"), F.lit(ranges)).cast("int"))
     second = rest.groupBy("bucket").applyInArrow(_across(percent, ranges), PAIRS).groupBy("bucket").applyInArrow(_distinct_pairs, "a long, b long")
     more = keep(_links(second.join(first, ["a", "b"], "left_anti"), named, rows, percent, shingle), "links")
     if more.limit(1).count():
