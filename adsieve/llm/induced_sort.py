@@ -28,7 +28,7 @@ import numpy as np
 ENTRY = np.dtype([("place", np.int64), ("common", np.int64)])
 #: Entries handled at a time, and entries of a queue held in memory.
 STEP = 1 << 20
-LIMIT = 64 << 20
+LIMIT = 32 << 20
 BASE = 1 << 24
 
 
@@ -145,7 +145,7 @@ def _run_lengths(text: np.ndarray) -> np.ndarray:
     """How many equal symbols stand from each place on (separators: one)."""
     change = np.flatnonzero(np.append((text[1:] != text[:-1]) | (text[1:] == 0), True))
     ends = change[np.searchsorted(change, np.arange(len(text)))]
-    return ends - np.arange(len(text)) + 1
+    return (ends - np.arange(len(text)) + 1).astype(text.dtype)
 
 
 def _types(text: np.ndarray) -> np.ndarray:
@@ -258,7 +258,7 @@ def suffix_array(text: np.ndarray, base: int = BASE, limit: int = LIMIT) -> tupl
     text = np.asarray(text)
     if len(text) == 1:
         return np.zeros(1, np.int64), np.zeros(1, np.int64)
-    text = text.astype(np.int64)
+    text = text.astype(np.int32 if len(text) < 1 << 31 else np.int64)
     small = _types(text)
     star = np.flatnonzero(small & np.append(False, ~small[:-1] | (text[1:] == 0)))
     if small[0] and text[0] == 0:

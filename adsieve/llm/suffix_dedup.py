@@ -37,7 +37,9 @@ from adsieve.llm.word_windows import runs
 SPAN = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, kept binary"
 CODES = "block_id long, bucket int, mask binary"
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: Bytes of segments that are sorted together; the segments of one anchor always are.
+SHARD = 1 << 20
 _POWER = 0x9E3779B97F4A7C15 | 1
 _VALUES = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -167,7 +169,7 @@ def _settle(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 
 def _send(size: int, ranges: int):
-    names = ["block_id", "bucket", "texts", "lengths", "decided"]
+    names = ["block_id", "bucket", "anchors", "texts", "lengths", "decided"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,9 +183,9 @@ def _send(size: int, ranges: int):
                     if len(forms):
                         texts = [own.text(f) for f in forms]
                         lengths = np.fromiter(map(len, texts), np.int32, len(texts))
-                        rows.append((batch.column("block_id")[k].as_py(), int(r), b"".join(texts), lengths.tobytes(), full[forms].tobytes()))
+                        rows.append((batch.column("block_id")[k].as_py(), int(r), own.anchors[forms].tobytes(), b"".join(texts), lengths.tobytes(), full[forms].tobytes()))
                 if rows:
-                    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                    kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     return run
@@ -204,22 +206,38 @@ def repeated_windows(data: np.ndarray, lengths: np.ndarray, size: int) -> np.nda
     return hit[home]
 
 
+def _shards(anchors: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Segments in order of their anchors, cut between anchors where a shard is full."""
+    order = np.argsort(anchors, kind="stable")
+    total = np.cumsum(lengths[order])
+    heads = np.flatnonzero(np.append(True, anchors[order][1:] != anchors[order][:-1]))
+    a = 0
+    while a < len(order):
+        before = total[a - 1] if a else 0
+        b = int(heads[min(np.searchsorted(heads, np.searchsorted(total, before + SHARD), side="right"), len(heads) - 1)])
+        b = len(order) if b <= a else b
+        yield order[a:b]
+        a = b
+
+
 def _sort(size: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by("block_id")
-        lengths = [np.frombuffer(v, np.int32).astype(np.int64) for v in table.column("lengths").to_pylist()]
-        decided = [np.frombuffer(v, bool) for v in table.column("decided").to_pylist()]
-        data = np.frombuffer(b"".join(table.column("texts").to_pylist()), np.uint8)
-        hit = repeated_windows(data, np.concatenate(lengths), size)
-        masks, at = [], 0
-        for own, done in zip(lengths, decided):
-            total = int(own.sum())
-            window = np.ones(total, bool)  # places of windows of undecided segments
-            ends = np.cumsum(own)
-            window[(ends[:, None] - np.arange(1, size)).ravel()] = False
-            window &= ~np.repeat(done, own)
-            masks.append(np.packbits(hit[at : at + total][window]).tobytes())
-            at += total
+        gather = lambda name, kind: np.concatenate([np.frombuffer(v, kind) for v in table.column(name).to_pylist()])
+        lengths, anchors, decided = gather("lengths", np.int32).astype(np.int64), gather("anchors", np.uint64), gather("decided", bool)
+        data = gather("texts", np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        hit = np.zeros(len(data), bool)
+        for some in _shards(anchors, lengths):
+            own = lengths[some]
+            home = np.arange(int(own.sum())) + np.repeat(starts[some] - (np.cumsum(own) - own), own)
+            hit[home] = repeated_windows(data[home], own, size)
+        window = np.repeat(~decided, lengths)  # places of windows of undecided segments
+        for k in range(1, size):
+            window[starts + lengths - k] = False
+        per_row = [len(v) // 4 for v in table.column("lengths").to_pylist()]
+        edges = np.append(starts, len(data))[np.cumsum([0, *per_row])]
+        masks = [np.packbits(hit[a:b][window[a:b]]).tobytes() for a, b in zip(edges, edges[1:])]
         return pa.Table.from_arrays([table.column("block_id"), table.column("bucket"), pa.array(masks, pa.binary())], ["block_id", "bucket", "mask"])
 
     return run
@@ -283,7 +301,7 @@ def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id",
     asked = table.mapInArrow(_ask(size, ranges), "block_id long, bucket int, anchors binary, forms binary, again binary")
     codes = keep(masks_by_block(asked.groupBy("bucket").applyInArrow(_settle, CODES)), "codes")
     told = table.join(codes.hint("shuffle_hash"), "block_id", "left")
-    sent = told.mapInArrow(_send(size, ranges), "block_id long, bucket int, texts binary, lengths binary, decided binary")
+    sent = told.mapInArrow(_send(size, ranges), "block_id long, bucket int, anchors binary, texts binary, lengths binary, decided binary")
     answers = masks_by_block(sent.groupBy("bucket").applyInArrow(_sort(size), CODES)).withColumnRenamed("masks", "answers")
     final = told.join(answers.hint("shuffle_hash"), "block_id", "left")
     schema = RESULT

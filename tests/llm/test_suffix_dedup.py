@@ -57,6 +57,7 @@ def test_against_brute_force(spark, size, chunk, monkeypatch):
         want = [e - len((t or "").encode()) + k for e, t in zip(own.ends.tolist(), texts) for k in range(max(0, len((t or "").encode()) - size + 1))]
         assert sorted(covered) == want
         return
+    monkeypatch.setattr(sd, "SHARD", 300)
     texts = corpus(size)
     rows = [(i, t, "", "", 1) for i, t in enumerate(texts)]
     got = sd.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(5), size).collect()
@@ -75,6 +76,16 @@ def test_repeated_windows():
     assert got.tolist() == want
 
 
+def test_shards_part_anchors_nowhere(monkeypatch):
+    monkeypatch.setattr(sd, "SHARD", 100)
+    rng = np.random.default_rng(3)
+    anchors, lengths = rng.integers(0, 9, 60).astype(np.uint64), rng.integers(1, 40, 60)
+    shards = list(sd._shards(anchors, lengths))
+    assert sorted(np.concatenate(shards).tolist()) == list(range(60))
+    assert sum(len(set(anchors[s].tolist())) for s in shards) == len(set(anchors.tolist()))
+    assert len(shards) > 3
+
+
 def test_whole_characters():
     text = "aéüb".encode()
     assert sd.whole_characters(text, [(2, 2)]) == "aéüb"  # half of é, half of ü
