@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from adsieve.llm.blocks import hash_ranges, mixed, range_edges
 from adsieve.llm.components import components
 from adsieve.llm.storage import keep
-from adsieve.llm.word_windows import window_hashes, word_hashes
+from adsieve.llm.word_windows import remember_words, window_hashes, word_hashes
 
 CELLS = 1 << 24
 SLICES = 64
@@ -89,6 +89,7 @@ def _survey(size: int):
     names = ["doc_id", "n", "cid", "bins", "slice", "part"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_words()
         counts, any_rows = np.zeros(CELLS, np.uint16), False
         for batch in batches:
             ns, cids, bins = [], [], []
@@ -189,6 +190,7 @@ def _index(size: int, percent: int, order, ranges: int, least: int):
         return pa.RecordBatch.from_arrays([pa.array(live.astype(np.int32)), cut(signatures), cut(cids), cut(sizes)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_words()
         held, count, seen = [], 0, set()
         for batch in batches:
             for text in batch.column(1):
@@ -201,7 +203,7 @@ def _index(size: int, percent: int, order, ranges: int, least: int):
                 seen.add(cid)
                 held.append((order.value.signatures(tokens, percent), cid, len(tokens)))
                 count += len(held[-1][0])
-                if count > 1_500_000:
+                if count > 500_000:
                     yield flush(held)
                     held, count, seen = [], 0, set()
         if count:
@@ -318,6 +320,7 @@ def _sets(size: int, bitmap):
     """(cid, tokens) of the documents whose cell is set in the bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_words()
         table = bitmap.value
         for batch in batches:
             cell = batch.column(1).to_numpy()

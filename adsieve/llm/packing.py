@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adsieve.llm.storage import keep
-from adsieve.llm.words import slices
+from adsieve.llm.words import slices, sole
 
 #: Distinct words whose ids a worker remembers at a time.
 CACHE_WORDS = 1_200_000
@@ -151,7 +151,7 @@ def _pack_partition(path: str, size: int, count: int, end_id: int):
         return pa.RecordBatch.from_arrays([*columns, pa.array([is_open] * len(pieces), pa.bool_())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, windows = encoder(path), Windows(size, count, TaskContext.get().partitionId() << 40)
+        coder, windows = sole(encoder(path)), Windows(size, count, TaskContext.get().partitionId() << 40)
         ready: list[tuple] = []
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):

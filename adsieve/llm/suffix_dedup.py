@@ -33,6 +33,7 @@ from adsieve.llm.blocks import from_planes, hash_ranges, in_blocks, masks_by_blo
 from adsieve.llm.induced_sort import suffix_array
 from adsieve.llm.storage import keep
 from adsieve.llm.word_windows import runs
+from adsieve.llm.words import sole
 
 SPAN = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, kept binary"
@@ -133,6 +134,7 @@ def two_masks(masks: list[dict] | None, edges: np.ndarray) -> tuple[np.ndarray,
 
 def _ask(size: int, ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole(_tables)
         for batch in batches:
             for k in range(batch.num_rows):
                 own = Segments(batch.column("texts")[k].as_py(), size)
@@ -222,6 +224,7 @@ def _shards(anchors: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
 
 def _sort(size: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        sole(_tables)
         table = table.sort_by("block_id")
         gather = lambda name, kind: np.concatenate([np.frombuffer(v, kind) for v in table.column(name).to_pylist()])
         lengths, anchors, decided = gather("lengths", np.int32).astype(np.int64), gather("anchors", np.uint64), gather("decided", bool)

@@ -27,10 +27,10 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from adsieve.llm.blocks import ANSWER, ASKED, from_planes, hash_ranges, in_blocks, masks_by_block, mixed, range_edges, spread_masks, to_planes
-from adsieve.llm.words import slices
+from adsieve.llm.words import slices, sole
 
 BASE = 0x9E3779B97F4A7C15
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
 RESULT = "doc_id long, n_words long, n_removed long, removed array<struct<start:int,words:int>>, kept_text string"
 
 
@@ -53,6 +53,11 @@ def word_hashes(text: bytes) -> np.ndarray:
     return np.frombuffer(b"".join(b"".join(map(_HASHES.__getitem__, text[a:b].split())) for a, b in slices(text)), np.uint64)
 
 
+def remember_words() -> None:
+    """To be called as a task begins that hashes words."""
+    sole(_HASHES)
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """The polynomial hash of every run of ``size`` values, by joining runs of doubled length."""
     total, base, run, length = None, 0, words, 1
@@ -92,6 +97,7 @@ class Windows:
 
 def _ask(size: int, ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_words()
         for batch in batches:
             for k in range(batch.num_rows):
                 distinct = np.unique(Windows(batch.column("texts")[k].as_py(), size).hashes)
@@ -147,6 +153,7 @@ def _remove(size: int, ranges: int):
     names = ["doc_id", "n_words", "n_removed", "removed", "kept_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_words()
         for batch in batches:
             for k in range(batch.num_rows):
                 texts = batch.column("texts")[k].as_py()

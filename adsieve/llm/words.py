@@ -17,3 +17,16 @@ def slices(text: bytes, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
                 to += 1
         yield at, to
         at = to
+
+
+_CACHES: list[dict] = []
+
+
+def sole(cache: dict) -> dict:
+    """The cache to use in this task. A worker process serves many operators in turn: the caches of others are emptied."""
+    if not any(c is cache for c in _CACHES):
+        _CACHES.append(cache)
+    for other in _CACHES:
+        if other is not cache:
+            other.clear()
+    return cache
