@@ -16,7 +16,7 @@ first p = n - ceil(0.9 n) + 1 tokens of both.
 Candidates are taken in two rounds, so that a large group of copies needs no pair of all its
 members. First each class meets the next two in the (hash) order of each signature's list, and
 verified links join into components. Then every pair of a list that lies in different components
-is a candidate if sizes and histograms of 64 token bins, which bound the difference of two sets from
+is a candidate if sizes and histograms of 256 token bins, which bound the difference of two sets from
 below, leave room for similarity; only those are sent on, to have their sets compared. After that, each
 candidate is either in one component or was compared: no link is lost, and none needs listing.
 
@@ -43,7 +43,7 @@ from adsieve.llm.word_windows import remember_words, window_hashes, word_hashes
 
 CELLS = 1 << 24
 SLICES = 64
-BINS = 64
+BINS = 256
 BLOOM = 1 << 25
 _GROUP = np.uint64(0xD6E8FEB86659FD93)
 

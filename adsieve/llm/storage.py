@@ -24,11 +24,12 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
-def keep(df: DataFrame, what: str) -> DataFrame:
+def keep(df: DataFrame, what: str, scoped: bool = True) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and fixes its rows."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _note(spark, scoped, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -37,4 +38,26 @@ def keep_bucketed(df: DataFrame, what: str, column: str, buckets: int) -> DataFr
     spark = df.sparkSession
     name = f"adsieve_{what}_{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").bucketBy(buckets, column).format("parquet").saveAsTable(name)
+    _note(spark, True, name)
     return spark.table(name)
+
+
+def _note(spark: SparkSession, scoped: bool, kept: str) -> None:
+    if scoped and getattr(spark, "_adsieve_scope", None) is not None:
+        spark._adsieve_scope.append(kept)
+
+
+def new_scope(spark: SparkSession) -> None:
+    """Begin a stage: tables that the stage before kept for itself go, since its result is written by now."""
+    for kept in getattr(spark, "_adsieve_scope", None) or ():
+        if "/" in kept:
+            path = spark._jvm.org.apache.hadoop.fs.Path(kept)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {kept}")
+    spark._adsieve_scope = []
+
+
+def end_scope(spark: SparkSession) -> None:
+    """Tables kept from now on belong to no stage."""
+    spark._adsieve_scope = None

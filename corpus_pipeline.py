@@ -6,35 +6,58 @@ last one returns pieces of packed sequences. Between stages the rows are written
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from adsieve.llm import jaccard_join, line_quality, mixing, packing, suffix_dedup
-from adsieve.llm.storage import keep
+from adsieve.llm.storage import end_scope, keep, new_scope
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def stage(function: Callable) -> Callable:
+    """A stage begins by dropping the intermediate tables of the stage before, whose result has been written."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        new_scope(spark)
+        try:
+            return function(spark, docs, sf_dir)
+        except BaseException:
+            end_scope(spark)
+            raise
+
+    return run_stage
+
+
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failed lines go; so do documents that break the base rules or lose too much."""
     return line_quality.clean(docs)
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that five-word shingles link at 0.8 stays."""
     return jaccard_join.one_of_each(docs, percent=80, shingle=5)
 
 
+@stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that occur twice go, wherever they occur; documents left without a word go too."""
     return suffix_dedup.without_repeats(docs, size=200)
 
 
+@stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents once at least; small sources repeat, up to one and a half times, towards an even mix."""
     return mixing.mix(docs, max_repeats=1.5, budget=None).select(*docs.columns)
 
 
+@stage
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed windows of 2048 ids."""
     return packing.pack(docs, TOKENIZER)
@@ -54,6 +77,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir), "stage")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for _, function in STAGES[:-1]:
+        docs = keep(function(spark, docs, sf_dir), "stage", scoped=False)
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    end_scope(spark)  # what the last stage kept is still to be read
+    return packed

@@ -5,6 +5,7 @@ import corpus_pipeline as cp
 from tokenizers import Tokenizer
 
 from adsieve.llm import line_quality as lq
+from adsieve.llm.storage import keep
 from tests.llm.test_jaccard_join import brute as groups
 from tests.llm.test_jaccard_join import shingles
 from tests.llm.test_suffix_dedup import brute as without
@@ -14,9 +15,9 @@ ODD = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 def test_every_stage_against_brute_force(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(140).cache()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(140)
     names = docs.columns
-    kept = cp.quality(spark, docs, SF).cache()
+    kept = keep(cp.quality(spark, docs, SF), "kept", scoped=False)
     want = {}
     for r in docs.collect():
         fine, text = lq.judge_text((r.text or "").encode(), 20, 30, 50)[-2:]
@@ -24,13 +25,13 @@ def test_every_stage_against_brute_force(spark):
             want[r.doc_id] = text
     assert {r.doc_id: r.text for r in kept.collect()} == want and kept.columns == names
 
-    single = cp.near_duplicates(spark, kept, SF).cache()
+    single = keep(cp.near_duplicates(spark, kept, SF), "single", scoped=False)
     ids = sorted(want)
     label = linked([want[i] for i in ids])
     assert sorted(r.doc_id for r in single.collect()) == [i for k, i in enumerate(ids) if label[k] == k] and single.columns == names
 
     rows = {r.doc_id: r.text for r in single.collect()}
-    plain = cp.repeated_passages(spark, single, SF).cache()
+    plain = keep(cp.repeated_passages(spark, single, SF), "plain", scoped=False)
     removed = without([rows[i] for i in sorted(rows)], 200)
     got = {r.doc_id: r for r in plain.collect()}
     for i, (n, gone, _, bytes_left) in zip(sorted(rows), removed):
@@ -41,7 +42,7 @@ def test_every_stage_against_brute_force(spark):
             assert len(bytes_left.split()) <= 1
     assert plain.columns == names
 
-    mixed = cp.mixture(spark, plain, SF).cache()
+    mixed = keep(cp.mixture(spark, plain, SF), "mixed", scoped=False)
     copies = Counter(r.doc_id for r in mixed.collect())
     assert set(copies) == set(got) and set(copies.values()) <= {1, 2} and mixed.columns == names
 
