@@ -10,7 +10,10 @@ anchor make a segment; a segment's text is all that its windows cover.
 2. Segments that share an anchor but not their text are contested: each distinct one is sent once
    to the anchor's shard. The shard sorts the suffixes of its segments by external induced sorting
    (``induced_sort``); windows with a common prefix of ``size`` bytes with a neighbour are repeated.
-3. Each block learns, by a bit a segment and a bit a contested window, what to remove.
+3. An anchor of more than ``HOT`` different segments (the edge of a passage that a large part of all
+   documents share) would gather in one task. Its windows are dealt by their own hashes instead
+   and counted there.
+4. Each block learns, by a bit a segment and a bit a contested window, what to remove.
 
 Texts are never sent but for contested segments, and a passage that a third of all documents share
 counts once a block. Windows are judged on the input, within one document each; overlaps count.
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adsieve.llm.blocks import from_planes, hash_ranges, in_blocks, masks_by_block, mixed, range_edges, to_planes
+from adsieve.llm.blocks import from_planes, hash_ranges, in_blocks, masks_by_block, mixed, range_edges, spread_masks, to_planes
 from adsieve.llm.induced_sort import suffix_array
 from adsieve.llm.storage import keep
 from adsieve.llm.word_windows import runs
@@ -41,6 +44,8 @@ CODES = "block_id long, bucket int, mask binary"
 CHUNK = 1 << 18
 #: Bytes of segments that are sorted together; the segments of one anchor always are.
 SHARD = 1 << 20
+#: Different segments of one anchor up to which they are sorted in one task.
+HOT = 4096
 _POWER = 0x9E3779B97F4A7C15 | 1
 _VALUES = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -122,14 +127,31 @@ class Segments:
         return self.data[self.starts[k] : self.starts[k] + self.counts[k] + self.size - 1].tobytes()
 
 
-def two_masks(masks: list[dict] | None, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(all windows repeated, text to be sent) for each distinct form of a block."""
-    out = np.zeros((2, int(edges[-1])), bool)
+    def window_hashes(self, forms: np.ndarray) -> np.ndarray:
+        """Hashes of the windows of some forms, one after another."""
+        counts, out, a = self.counts[self.first[forms]], [np.zeros(0, np.uint64)], 0
+        power, inverse = _powers(CHUNK + self.size)
+        total = np.cumsum(counts + self.size - 1)
+        while a < len(forms):
+            b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + CHUNK, side="right")))
+            data = np.frombuffer(b"".join(self.text(f) for f in forms[a:b]), np.uint8)
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(_VALUES[data] * power[: len(data)], out=sums[1:])
+            own = counts[a:b]
+            at = np.arange(int(own.sum())) + np.repeat(np.arange(b - a) * (self.size - 1), own)
+            out.append(mixed((sums[at + self.size] - sums[at]) * inverse[at]))
+            a = b
+        return np.concatenate(out)
+
+
+def form_masks(masks: list[dict] | None, edges: np.ndarray) -> np.ndarray:
+    """(all windows repeated, text to be sent, windows to be counted) for each distinct form of a block."""
+    out = np.zeros((3, int(edges[-1])), bool)
     for m in masks or ():
         a, b = edges[m["bucket"]], edges[m["bucket"] + 1]
-        bits = np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=2 * (b - a))
-        out[:, a:b] = bits.reshape(2, -1)
-    return out[0], out[1]
+        bits = np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=3 * (b - a))
+        out[:, a:b] = bits.reshape(3, -1)
+    return out
 
 
 def _ask(size: int, ranges: int):
@@ -148,51 +170,86 @@ def _ask(size: int, ranges: int):
     return run
 
 
-def _settle(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """For each block's forms of one range: are all windows repeated, and must the text be sent?"""
-    table = table.sort_by("block_id")
-    anchors = [from_planes(a) for a in table.column("anchors").to_pylist()]
-    edges = np.cumsum([0, *map(len, anchors)])
-    anchor = np.concatenate(anchors)
-    form = np.concatenate([np.frombuffer(f, np.uint64) for f in table.column("forms").to_pylist()])
-    again = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=len(a)) for m, a in zip(table.column("again").to_pylist(), anchors)])
-    by = np.lexsort((np.arange(len(anchor)), form, anchor))
-    new_anchor = np.append(True, anchor[by][1:] != anchor[by][:-1])
-    new_form = new_anchor | np.append(True, form[by][1:] != form[by][:-1])
-    group, kind = np.cumsum(new_form) - 1, np.cumsum(new_anchor) - 1
-    many = np.bincount(group, 1 + again[by]) > 1
-    contested = np.bincount(kind[new_form]) > 1
-    masks = np.zeros((2, len(anchor)), bool)
-    masks[0, by] = many[group]
-    masks[1, by] = contested[kind] & new_form
-    packed = [np.packbits(masks[:, a:b].ravel()).tobytes() if masks[:, a:b].any() else None for a, b in zip(edges, edges[1:])]
-    out = pa.Table.from_arrays([table.column("block_id"), table.column("bucket"), pa.array(packed, pa.binary())], ["block_id", "bucket", "mask"])
-    return out.filter(pa.array([m is not None for m in packed]))
+def _settle(most: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        """For each block's forms of one range: are all windows repeated, must the text be sent or the windows be counted?"""
+        table = table.sort_by("block_id")
+        anchors = [from_planes(a) for a in table.column("anchors").to_pylist()]
+        edges = np.cumsum([0, *map(len, anchors)])
+        anchor = np.concatenate(anchors)
+        form = np.concatenate([np.frombuffer(f, np.uint64) for f in table.column("forms").to_pylist()])
+        again = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=len(a)) for m, a in zip(table.column("again").to_pylist(), anchors)])
+        by = np.lexsort((np.arange(len(anchor)), form, anchor))
+        new_anchor = np.append(True, anchor[by][1:] != anchor[by][:-1])
+        new_form = new_anchor | np.append(True, form[by][1:] != form[by][:-1])
+        group, kind = np.cumsum(new_form) - 1, np.cumsum(new_anchor) - 1
+        many = np.bincount(group, 1 + again[by]) > 1
+        different = np.bincount(kind[new_form])
+        masks = np.zeros((3, len(anchor)), bool)
+        masks[0, by] = many[group]
+        masks[1, by] = ((different > 1) & (different <= most))[kind] & new_form
+        masks[2, by] = (different > most)[kind] & new_form
+        packed = [np.packbits(masks[:, a:b].ravel()).tobytes() if masks[:, a:b].any() else None for a, b in zip(edges, edges[1:])]
+        out = pa.Table.from_arrays([table.column("block_id"), table.column("bucket"), pa.array(packed, pa.binary())], ["block_id", "bucket", "mask"])
+        return out.filter(pa.array([m is not None for m in packed]))
+
+    return run
+
+
+SENT = "block_id long, bucket int, anchors binary, texts binary, lengths binary, decided binary, hashes binary, again binary"
 
 
 def _send(size: int, ranges: int):
-    names = ["block_id", "bucket", "anchors", "texts", "lengths", "decided"]
+    """Rows of contested texts, and rows of window hashes of hot anchors."""
+    names = ["block_id", "bucket", "anchors", "texts", "lengths", "decided", "hashes", "again"]
+    kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 6)
+
+    def texts_of(own: Segments, edges: np.ndarray, full: np.ndarray, send: np.ndarray) -> Iterator[tuple]:
+        for r in np.flatnonzero(np.diff(edges)):
+            forms = edges[r] + np.flatnonzero(send[edges[r] : edges[r + 1]])
+            if len(forms):
+                texts = [own.text(f) for f in forms]
+                lengths = np.fromiter(map(len, texts), np.int32, len(texts))
+                yield int(r), own.anchors[forms].tobytes(), b"".join(texts), lengths.tobytes(), full[forms].tobytes(), None, None
+
+    def hashes_of(own: Segments, full: np.ndarray, hot: np.ndarray) -> Iterator[tuple]:
+        forms = np.flatnonzero(hot)
+        if not len(forms):
+            return
+        distinct, which, times = np.unique(own.window_hashes(forms), return_inverse=True, return_counts=True)
+        again = times > 1
+        again[which[np.repeat(full[forms], own.counts[own.first[forms]])]] = True
+        edges = range_edges(distinct, ranges)
+        for r in np.flatnonzero(np.diff(edges)):
+            part = slice(edges[r], edges[r + 1])
+            yield int(r), None, None, None, None, to_planes(distinct[part]), np.packbits(again[part]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole(_tables)
         for batch in batches:
             for k in range(batch.num_rows):
                 own = Segments(batch.column("texts")[k].as_py(), size)
                 edges = range_edges(own.anchors, ranges)
-                full, send = two_masks(batch.column("masks")[k].as_py(), edges)
-                rows = []
-                for r in np.flatnonzero(np.diff(edges)):
-                    forms = edges[r] + np.flatnonzero(send[edges[r] : edges[r + 1]])
-                    if len(forms):
-                        texts = [own.text(f) for f in forms]
-                        lengths = np.fromiter(map(len, texts), np.int32, len(texts))
-                        rows.append((batch.column("block_id")[k].as_py(), int(r), own.anchors[forms].tobytes(), b"".join(texts), lengths.tobytes(), full[forms].tobytes()))
+                full, send, hot = form_masks(batch.column("masks")[k].as_py(), edges)
+                block = batch.column("block_id")[k].as_py()
+                rows = [(block, *row) for found in (texts_of(own, edges, full, send), hashes_of(own, full, hot)) for row in found]
                 if rows:
-                    kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     return run
 
 
+def _count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """For each block's window hashes of one range: do they occur twice anywhere?"""
+    parts = [from_planes(h) for h in table.column("hashes").to_pylist()]
+    edges = np.cumsum([0, *map(len, parts)])
+    again = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=len(p)) for m, p in zip(table.column("again").to_pylist(), parts)])
+    which = np.unique(np.concatenate(parts), return_inverse=True)[1]
+    many = (np.bincount(which, 1 + again) > 1)[which]
+    masks = pa.array([np.packbits(many[a:b]).tobytes() for a, b in zip(edges, edges[1:])], pa.binary())
+    return pa.Table.from_arrays([table.column("block_id"), table.column("bucket"), masks], ["block_id", "bucket", "mask"])
+
+
 def repeated_windows(data: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
     """Flags of the places in ``data`` (texts laid end to end) whose ``size`` bytes occur at another place too."""
     ends = np.cumsum(lengths)
@@ -208,7 +265,7 @@ def repeated_windows(data: np.ndarray, lengths: np.ndarray, size: int) -> np.nda
     return hit[home]
 
 
-def _shards(anchors: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+def _shards(anchors: np.ndarray, lengths: np.ndarray, shard: int) -> Iterator[np.ndarray]:
     """Segments in order of their anchors, cut between anchors where a shard is full."""
     order = np.argsort(anchors, kind="stable")
     total = np.cumsum(lengths[order])
@@ -216,13 +273,13 @@ def _shards(anchors: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
     a = 0
     while a < len(order):
         before = total[a - 1] if a else 0
-        b = int(heads[min(np.searchsorted(heads, np.searchsorted(total, before + SHARD), side="right"), len(heads) - 1)])
+        b = int(heads[min(np.searchsorted(heads, np.searchsorted(total, before + shard), side="right"), len(heads) - 1)])
         b = len(order) if b <= a else b
         yield order[a:b]
         a = b
 
 
-def _sort(size: int):
+def _sort(size: int, shard: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         sole(_tables)
         table = table.sort_by("block_id")
@@ -231,7 +288,7 @@ def _sort(size: int):
         data = gather("texts", np.uint8)
         starts = np.cumsum(lengths) - lengths
         hit = np.zeros(len(data), bool)
-        for some in _shards(anchors, lengths):
+        for some in _shards(anchors, lengths, shard):
             own = lengths[some]
             home = np.arange(int(own.sum())) + np.repeat(starts[some] - (np.cumsum(own) - own), own)
             hit[home] = repeated_windows(data[home], own, size)
@@ -250,9 +307,16 @@ def _remove(size: int, ranges: int, carry: bool):
     names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
     kinds = (pa.int64(), pa.int64(), pa.int64(), SPAN, pa.binary())
 
-    def gone_bytes(own: Segments, masks: list[dict] | None, answers: list[dict] | None) -> np.ndarray:
+    def take(change: np.ndarray, own: Segments, segments: np.ndarray, flags: np.ndarray) -> None:
+        """Mark the bytes of the flagged windows of some segments."""
+        counts = own.counts[segments]
+        at = (np.arange(len(flags)) + np.repeat(own.starts[segments] - (np.cumsum(counts) - counts), counts))[flags]
+        np.add.at(change, at, 1)
+        np.add.at(change, at + own.size, -1)
+
+    def gone_bytes(own: Segments, masks: list[dict] | None, answers: list[dict] | None, counted: list[dict] | None) -> np.ndarray:
         edges = range_edges(own.anchors, ranges)
-        full, send = two_masks(masks, edges)
+        full, send, hot = form_masks(masks, edges)
         change = np.zeros(len(own.data) + 1, np.int64)
         all_of = full[own.which]
         np.add.at(change, own.starts[all_of], 1)
@@ -260,12 +324,15 @@ def _remove(size: int, ranges: int, carry: bool):
         for m in answers or ():
             a, b = edges[m["bucket"]], edges[m["bucket"] + 1]
             single = own.first[a + np.flatnonzero(send[a:b] & ~full[a:b])]  # such a form has one segment
-            counts = own.counts[single]
-            bits = np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=int(counts.sum())).astype(bool)
-            before = np.cumsum(counts) - counts
-            at = (np.arange(len(bits)) + np.repeat(own.starts[single] - before, counts))[bits]
-            np.add.at(change, at, 1)
-            np.add.at(change, at + own.size, -1)
+            bits = np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=int(own.counts[single].sum())).astype(bool)
+            take(change, own, single, bits)
+        forms = np.flatnonzero(hot)
+        if counted and len(forms):
+            hashes = own.window_hashes(forms)
+            distinct = np.unique(hashes)
+            repeated = spread_masks(counted, range_edges(distinct, ranges))[np.searchsorted(distinct, hashes)]
+            counts = own.counts[own.first[forms]]
+            take(change, own, own.first[forms[~full[forms]]], repeated[np.repeat(~full[forms], counts)])
         return np.cumsum(change)[:-1] > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +340,7 @@ def _remove(size: int, ranges: int, carry: bool):
             for k in range(batch.num_rows):
                 texts = batch.column("texts")[k].as_py()
                 own = Segments(texts, size)
-                gone = gone_bytes(own, batch.column("masks")[k].as_py(), batch.column("answers")[k].as_py())
+                gone = gone_bytes(own, *(batch.column(c)[k].as_py() for c in ("masks", "answers", "counted")))
                 rows, at = [], 0
                 for doc, text in zip(batch.column("doc_ids")[k].as_py(), texts):
                     flags = gone[at : at + len(text)]
@@ -293,7 +360,7 @@ def _remove(size: int, ranges: int, carry: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id", text_column: str = "text", carry: bool = False, hot: int = HOT, shard: int = SHARD) -> DataFrame:
     """A RESULT row for each document: the removed spans and the bytes that stay.
 
     ``carry``: ``kept`` is a string (spans are first shrunk to whole characters), and all other
@@ -302,11 +369,14 @@ def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id",
     ranges = hash_ranges(docs.sparkSession)
     table = in_blocks(docs, ordered=False, id_column=id_column, text_column=text_column, carry=carry)
     asked = table.mapInArrow(_ask(size, ranges), "block_id long, bucket int, anchors binary, forms binary, again binary")
-    codes = keep(masks_by_block(asked.groupBy("bucket").applyInArrow(_settle, CODES)), "codes")
+    codes = keep(masks_by_block(asked.groupBy("bucket").applyInArrow(_settle(hot), CODES)), "codes")
     told = table.join(codes.hint("shuffle_hash"), "block_id", "left")
-    sent = told.mapInArrow(_send(size, ranges), "block_id long, bucket int, anchors binary, texts binary, lengths binary, decided binary")
-    answers = masks_by_block(sent.groupBy("bucket").applyInArrow(_sort(size), CODES)).withColumnRenamed("masks", "answers")
-    final = told.join(answers.hint("shuffle_hash"), "block_id", "left")
+    sent = keep(told.mapInArrow(_send(size, ranges), SENT), "sent")
+    sorted_ = sent.where("texts IS NOT NULL").select("block_id", "bucket", "anchors", "texts", "lengths", "decided")
+    answers = masks_by_block(sorted_.groupBy("bucket").applyInArrow(_sort(size, shard), CODES)).withColumnRenamed("masks", "answers")
+    hashed = sent.where("hashes IS NOT NULL").select("block_id", "bucket", "hashes", "again")
+    counted = masks_by_block(hashed.groupBy("bucket").applyInArrow(_count, CODES)).withColumnRenamed("masks", "counted")
+    final = told.join(answers.hint("shuffle_hash"), "block_id", "left").join(counted.hint("shuffle_hash"), "block_id", "left")
     schema = RESULT
     if carry:
         schema = RESULT.replace("kept binary", "kept string") + f", rest {table.schema['rest'].dataType.elementType.simpleString()}"

@@ -47,6 +47,16 @@ def corpus(seed):
     return texts
 
 
+@pytest.mark.parametrize("hot", [1, 3, 5])
+def test_hot_anchors(spark, hot):
+    for size in (8, 40):
+        texts = corpus(size + hot)
+        rows = [(i, t, "", "", 1) for i, t in enumerate(texts)]
+        want = brute(texts, size)
+        for r in sd.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(4), size, hot=hot).collect():
+            assert (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) == want[r.doc_id], texts[r.doc_id]
+
+
 @pytest.mark.parametrize("size,chunk", [(8, 1 << 20), (40, 1 << 20), (40, 64), (41, 100)])
 def test_against_brute_force(spark, size, chunk, monkeypatch):
     if chunk < 1 << 20:
@@ -57,10 +67,9 @@ def test_against_brute_force(spark, size, chunk, monkeypatch):
         want = [e - len((t or "").encode()) + k for e, t in zip(own.ends.tolist(), texts) for k in range(max(0, len((t or "").encode()) - size + 1))]
         assert sorted(covered) == want
         return
-    monkeypatch.setattr(sd, "SHARD", 300)
     texts = corpus(size)
     rows = [(i, t, "", "", 1) for i, t in enumerate(texts)]
-    got = sd.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(5), size).collect()
+    got = sd.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(5), size, shard=300).collect()
     want = brute(texts, size)
     assert len(got) == len(rows)
     for r in got:
@@ -76,11 +85,10 @@ def test_repeated_windows():
     assert got.tolist() == want
 
 
-def test_shards_part_anchors_nowhere(monkeypatch):
-    monkeypatch.setattr(sd, "SHARD", 100)
+def test_shards_part_anchors_nowhere():
     rng = np.random.default_rng(3)
     anchors, lengths = rng.integers(0, 9, 60).astype(np.uint64), rng.integers(1, 40, 60)
-    shards = list(sd._shards(anchors, lengths))
+    shards = list(sd._shards(anchors, lengths, 100))
     assert sorted(np.concatenate(shards).tolist()) == list(range(60))
     assert sum(len(set(anchors[s].tolist())) for s in shards) == len(set(anchors.tolist()))
     assert len(shards) > 3
