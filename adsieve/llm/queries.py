@@ -68,4 +68,4 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_packing": op1_packing, "op2_suffix_dedup": op2_suffix_dedup, "op3_neighbours": op3_neighbours, "op4_tool_calls": op4_tool_calls, "op5_url_lists": op5_url_lists, "op6_language": op6_language, "op7_word_windows": op7_word_windows, "op8_line_quality": op8_line_quality, "op9_mixing": op9_mixing, "op10_jaccard_join": op10_jaccard_join}
-ORACLE_SQL = {"op10_jaccard_join": jaccard_join.ORACLE, "op7_word_windows": word_windows.ORACLE, "op4_tool_calls": tool_calls.ORACLE, "op5_url_lists": url_lists.ORACLE, "op8_line_quality": line_quality.ORACLE}
+ORACLE_SQL = {"op2_suffix_dedup": suffix_dedup.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE, "op7_word_windows": word_windows.ORACLE, "op4_tool_calls": tool_calls.ORACLE, "op5_url_lists": url_lists.ORACLE, "op8_line_quality": line_quality.ORACLE}

@@ -403,3 +403,23 @@ def whole_characters(text: bytes, spans: list[tuple[int, int]]) -> str:
         out.append(text[at:start])
         at = end
     return b"".join([*out, text[at:]]).decode("utf-8", "replace")
+
+
+ORACLE = r"""
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS m
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM bytes)
+), repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY m) > 1),
+marked AS (SELECT doc_id, i, coalesce(i > lag(i) OVER w + 200, true) AS fresh FROM repeated WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marked),
+spans AS (SELECT doc_id, min(i) AS s, max(i) + 200 AS e FROM numbered GROUP BY doc_id, g),
+gaps AS (SELECT doc_id, s, e, coalesce(lag(e) OVER w, 0) AS before FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY s)),
+cut AS (
+  SELECT b.doc_id, any_value(b.h) AS h, coalesce(max(e), 0) AS last, coalesce(sum(e - s), 0) AS n_removed, count(s) AS n_spans,
+         coalesce(string_agg(substr(b.h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s), '') AS head
+  FROM bytes b LEFT JOIN gaps USING (doc_id) GROUP BY b.doc_id
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, n_removed::BIGINT AS n_removed, n_spans::BIGINT AS n_spans,
+       sha256(unhex(head || substr(h, 2 * last + 1))) AS kept_sha256
+FROM cut"""
