@@ -20,19 +20,21 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsieve.llm.words import slices
+from adsieve.llm.words import slices, sole
 
 RUN = 32
 UNKNOWN = 1e-7
 BEGIN = "▁"
 #: Words whose likelihoods a worker remembers at a time.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 600_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -193,11 +195,14 @@ class Scorer:
 
     def __init__(self, path: str, names: list[str], table: np.ndarray) -> None:
         self.vocabulary, self.names, self.table = Vocabulary(path), names, table
-        self.forget()
+        self.row: dict[bytes, int] = {}
+        self.scores = np.zeros((CACHE_WORDS, len(names) + 1))  # the last column counts runs of letters
 
     def forget(self) -> None:
-        self.row: dict[bytes, int] = {}
-        self.scores = np.zeros((CACHE_WORDS, len(self.names) + 1))  # the last column counts runs of letters
+        """Keep the words met first, which are the frequent ones."""
+        first = list(islice(self.row.items(), CACHE_WORDS // 4))
+        self.row.clear()
+        self.row.update(first)
 
     def add(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 20_000):
@@ -206,6 +211,7 @@ class Scorer:
             n = np.fromiter(map(len, runs), np.int64, len(runs))
             base = len(self.row)
             self.row.update(zip(part, range(base, base + len(part))))
+            self.scores[base : base + len(part)] = 0
             if n.any():
                 flat = run_scores(self.vocabulary, self.table, [r for rs in runs for r in rs])
                 owner = np.repeat(np.arange(len(part)), n)
@@ -229,17 +235,30 @@ class Scorer:
         missing = fresh.difference(self.row)
         if len(self.row) + len(missing) > CACHE_WORDS:
             self.forget()
-            missing = fresh
-            if len(missing) > CACHE_WORDS:
-                self.scores = np.zeros((len(missing), len(self.names) + 1))
+            missing = fresh.difference(self.row)
+            if len(self.row) + len(missing) > len(self.scores):
+                self.scores = np.resize(self.scores, (len(self.row) + len(missing), self.scores.shape[1]))
         self.add(list(missing))
 
 
+_SCORERS: dict[str, Scorer] = {}
+
+
+def scorer_for(path: str, names: list[str], table: np.ndarray) -> Scorer:
+    """One scorer for a worker process and model, so that what it remembers serves later tasks."""
+    key = f"{path} {names} {xxhash.xxh3_64_hexdigest(table.tobytes())}"
+    if key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = Scorer(path, names, table)
+    sole(_SCORERS[key].row)
+    return _SCORERS[key]
+
+
 def _predict(path: str, names: list[str], table: np.ndarray):
     out = ["doc_id", "lang_pred", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(path, names, table) if names else None
+        scorer = scorer_for(path, names, table) if names else None
         for batch in batches:
             at = 0
             while at < batch.num_rows:

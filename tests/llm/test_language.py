@@ -72,3 +72,20 @@ def test_nothing_to_learn_from(spark):
     model = lg.fit(none, PATH)
     assert [tuple(r) for r in lg.predict(none, PATH, model).collect()] == [(1, "und", 0.0)]
     assert lg.predict(none.limit(0), PATH, model).count() == 0
+
+
+def test_scores_survive_forgetting(vocabulary, monkeypatch):
+    monkeypatch.setattr(lg, "CACHE_WORDS", 40)
+    rng = np.random.default_rng(4)
+    table = rng.random((vocabulary.size, 2)) / 1000
+    scorer = lg.Scorer(PATH, ["x", "y"], table)
+    words = ["".join(chr(97 + k) for k in rng.integers(0, 26, 5)) for _ in range(300)]
+    for k in range(0, 300, 30):
+        text = " ".join(words[:10] + words[k : k + 30]).encode()
+        scorer.learn_words([text])
+        want = sum(lg.run_scores(vocabulary, table, lg.letter_runs(w))[0] for w in text.decode().split())
+        assert np.allclose(scorer.text(text)[:2], want)
+    scorer.learn_words([b"1 22 333"])
+    assert not scorer.text(b"1 22 333").any()
+    scorer.learn_words([" ".join(words).encode()])
+    assert len(scorer.row) <= len(scorer.scores)
