@@ -17,7 +17,8 @@ Candidates are taken in two rounds, so that a large group of copies needs no pai
 members. First each class meets the next two in the (hash) order of each signature's list, and
 verified links join into components. Then every pair of a list that lies in different components
 is a candidate if sizes and histograms of 256 token bins, which bound the difference of two sets from
-below, leave room for similarity; only those are sent on, to have their sets compared. After that, each
+below, leave room for similarity; only those are sent on, to have their sets compared. Long lists are
+dealt in blocks, and each pair of blocks is compared in a place of its own. After that, each
 candidate is either in one component or was compared: no link is lost, and none needs listing.
 
 Defined results: null and empty texts have an empty set, linked with nothing; a text of fewer
@@ -45,6 +46,8 @@ CELLS = 1 << 24
 SLICES = 64
 BINS = 256
 BLOOM = 1 << 25
+#: Members of a signature's list that are compared with each other in one place.
+LIST_BLOCK = 512
 _GROUP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -280,6 +283,16 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(c), pa.array(n)], ["signature", "cid", "size"])
 
 
+def _in_parts(members: DataFrame, block: int = LIST_BLOCK) -> DataFrame:
+    """Deal long lists in blocks: each pair of blocks is a part of its own, so none gathers more than two blocks."""
+    blocks = F.ceil(F.col("k") / block)
+    own = F.pmod(F.xxhash64("cid"), blocks)
+    dealt = members.withColumns({"own": own, "with": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))})
+    low, high = F.least("own", "with"), F.greatest("own", "with")
+    side = F.when(low == high, -1).when(F.col("own") == low, 0).otherwise(1).cast("int")
+    return dealt.select("cid", "size", "component", F.xxhash64("signature", low, high).alias("part"), side.alias("side"))
+
+
 def may_be_similar(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
     """Do histograms leave room for similarity? ``total``: both sizes together."""
     differ = np.abs(x - y).sum(axis=1)
@@ -287,14 +300,17 @@ def may_be_similar(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int
 
 
 def _across(percent: int, ranges: int):
-    """Pairs of one list that lie in different components and may be similar by their sizes and histograms."""
+    """Pairs of one list that lie in different components and may be similar by their sizes and histograms.
+
+    A part of a list is one block of it with itself (side -1) or two blocks (sides 0 and 1) with each other.
+    """
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches))
-        s, c, n, p = (rows.column(k).to_numpy() for k in ("signature", "cid", "size", "component"))
+        s, c, n, p, d = (rows.column(k).to_numpy() for k in ("part", "cid", "size", "component", "side"))
         h = np.frombuffer(b"".join(rows.column("bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
         by = np.lexsort((c, n, s))
-        s, c, n, p, h = s[by], c[by], n[by].astype(np.int64), p[by], h[by]
+        s, c, n, p, d, h = s[by], c[by], n[by].astype(np.int64), p[by], d[by], h[by]
         starts = np.concatenate([[0], np.flatnonzero(np.diff(s)) + 1, [len(s)]])
         left, right, held = [], [], 0
         for a, b in zip(starts, starts[1:]):
@@ -302,7 +318,8 @@ def _across(percent: int, ranges: int):
                 continue
             reach = np.searchsorted(n[a:b] * percent, n[a:b] * 100, side="right")  # sizes up to n / percent
             for k in range(b - a - 1):
-                other = a + k + 1 + np.flatnonzero(p[a + k + 1 : a + reach[k]] != p[a + k])
+                later = slice(a + k + 1, a + reach[k])
+                other = a + k + 1 + np.flatnonzero((p[later] != p[a + k]) & ((d[later] != d[a + k]) | (d[a + k] < 0)))
                 other = other[may_be_similar(h[other], h[a + k], n[other] + n[a + k], percent)]
                 left.append(np.full(len(other), c[a + k]))
                 right.append(c[other])
@@ -392,7 +409,7 @@ def _bloom_cell(id_column: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("class"), id_column), F.lit(BLOOM))
 
 
-def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text", list_block: int = LIST_BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id): each document's set size and the least doc_id that links reach."""
     spark = docs.sparkSession
     ranges = hash_ranges(spark)
@@ -411,8 +428,8 @@ def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str =
     groups = keep(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "groups")
     members = lists.mapInArrow(_members, "signature long, cid long, size int").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
     placed = members.select("signature", "cid", "size", F.coalesce("component", "cid").alias("component"))
-    mixed_lists = placed.groupBy("signature").agg((F.min("component") != F.max("component")).alias("mixed"), F.count(F.lit(1)).alias("k")).where("mixed AND k > 3").select("signature")
-    rest = placed.join(mixed_lists, "signature").join(named.select("cid", "bins"), "cid").withColumn("bucket", F.pmod(F.xxhash64("signature"), F.lit(ranges)).cast("int"))
+    mixed_lists = placed.groupBy("signature").agg((F.min("component") != F.max("component")).alias("mixed"), F.count(F.lit(1)).alias("k")).where("mixed AND k > 3").select("signature", "k")
+    rest = _in_parts(placed.join(mixed_lists, "signature"), list_block).join(named.select("cid", "bins"), "cid").withColumn("bucket", F.pmod("part", F.lit(ranges)).cast("int"))
     second = rest.groupBy("bucket").applyInArrow(_across(percent, ranges), PAIRS).groupBy("bucket").applyInArrow(_distinct_pairs, "a long, b long")
     more = keep(_links(second.join(first, ["a", "b"], "left_anti"), named, rows, percent, shingle), "links")
     if more.limit(1).count():

@@ -72,7 +72,7 @@ def test_against_brute_force(spark, frequent, monkeypatch):
         monkeypatch.setattr(jj.Order, "__init__", low)
     texts = corpus(4, 60)
     rows = [(i, t, None, 1, 2) for i, t in enumerate(texts)]
-    got = jj.join(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    got = jj.join(spark.createDataFrame(rows, SCHEMA).repartition(4), list_block=7 if frequent else jj.LIST_BLOCK).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(i, *w) for i, w in enumerate(brute(texts, 90))]
 
 
