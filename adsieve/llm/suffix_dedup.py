@@ -120,7 +120,7 @@ class Segments:
         first = starts[at]
         stop = first + counts + size - 1
         forms = mixed((sums[stop] - sums[first]) * inverse[first] + counts.astype(np.uint64))
-        return first + a, counts, hashes[own[at]], forms
+        return first + a, counts, mixed(hashes[own[at]] + np.uint64(1)), forms  # least hashes are small: mix again, to deal them evenly
 
     def text(self, form: int) -> bytes:
         k = self.first[form]
