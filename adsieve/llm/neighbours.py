@@ -4,8 +4,9 @@ On a bounded sample of the vectors: the exact neighbour graph, a balanced partit
 (recursive bisection along the main axis, refined by swapping the pairs that cut most edges), and
 a small classifier (one hidden layer) that learns where each vector's neighbours lie. The
 classifier places every vector in its most probable partition and sends a query to its several
-most probable ones; how many is found on the sample (``target_recall``). There every vector is
-compared with the query: inner products in double precision.
+most probable ones; how many is found on the sample (``target_recall``). A query to which these
+don't offer ``k`` candidates goes on to the next ones until they do, or to all. There every vector
+is compared with the query: inner products in double precision.
 
 Vectors of a partition and its queries meet in blocks of bounded size, so neither a hot partition
 nor a hot vector gathers in one task.
@@ -169,6 +170,23 @@ def _place(index: Index, visits: int, column: str):
     return run
 
 
+def _visit(index: Index, sizes: dict[int, int], k: int):
+    """A row for each partition that a query visits: ``index.visits``, or more until they hold ``k`` rows besides its ``own``."""
+    held = np.array([sizes.get(p, 0) for p in range(index.parts)])
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                order = index.route(np.array(pdf["x"].tolist(), float), index.parts)
+                short = held[order].cumsum(axis=1) < k + pdf["own"].to_numpy()[:, None]
+                visits = np.clip(short.sum(axis=1) + 1, index.visits, index.parts)
+                out = pdf.loc[pdf.index.repeat(visits), ["query_id", "x"]].copy()
+                out["part"] = order[np.arange(index.parts) < visits[:, None]].astype(np.int32)
+                yield out
+
+    return run
+
+
 def _nearest(k: int):
     def run(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(candidates):
@@ -204,9 +222,14 @@ def search(vectors: DataFrame, queries: DataFrame, index: Index | None, k: int =
         return fit_rows.select(F.col(id_column).cast("long").alias(name), F.col(vector_column).cast("array<double>").alias("x"))
 
     placed = rows(vectors, "vec_id").mapInPandas(_place(index, 1, "part"), "vec_id long, x array<double>, part int")
-    asked = rows(queries, "query_id").mapInPandas(_place(index, index.visits, "part"), "query_id long, x array<double>, part int")
+    held = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # rows with a query's own id aren't its candidates; few ids have more than one
+    repeated = rows(vectors, "query_id").groupBy("query_id").agg(F.count(F.lit(1)).alias("own")).where("own > 1")
+    counted = rows(queries, "query_id").join(repeated, "query_id", "left").select("query_id", "x", F.coalesce("own", F.lit(1)).alias("own"))
+    asked = counted.mapInPandas(_visit(index, held, k), "query_id long, x array<double>, part int")
     # blocks: as many for each partition as its rows need, by a hash that differs for equal ids too
-    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).join(asked.groupBy("part").agg(F.count(F.lit(1)).alias("m")), "part").collect()
+    asking = asked.groupBy("part").agg(F.count(F.lit(1)).alias("m")).collect()
+    sizes = [{"part": r["part"], "n": held[r["part"]], "m": r["m"]} for r in asking if r["part"] in held]
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     c_blocks = {r["part"]: -(-r["n"] // block) for r in sizes}

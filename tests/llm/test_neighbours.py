@@ -44,6 +44,31 @@ def test_odd_vectors_and_ties(spark):
         assert [(-s, i) for _, i, s in own] == [(s, i) for s, i in want] or [(i, s) for _, i, s in own] == [(i, -s) for s, i in want]
 
 
+def whole_answers(spark, vectors, k=20):
+    """Every query gets min(k, its candidates) rows; and all candidates where they are no more."""
+    df = spark.createDataFrame([(i, v, 0, "") for i, v in vectors], SCHEMA)
+    index = nb.fit(df)
+    got = {q: list(own) for q, own in nb.search(df, df.dropDuplicates(["vec_id"]), index).toPandas().groupby("query_id").vec_id}
+    for q in {i for i, _ in vectors}:
+        others = sorted(i for i, _ in vectors if i != q)
+        assert len(got.get(q, [])) == min(k, len(others))
+        assert len(others) > k or sorted(got.get(q, [])) == others
+    return index
+
+
+def test_small_tables_are_answered_whole(spark):
+    for n in (2, 5, 18, 24, 30):
+        x = np.random.default_rng(3).normal(size=(n, 3))
+        whole_answers(spark, list(enumerate(x.tolist())))
+
+
+def test_own_rows_are_topped_up(spark):
+    rng = np.random.default_rng(4)
+    x = [(np.eye(16)[i % 16] * 20 + rng.normal(size=16)).tolist() for i in range(16 * 21)]
+    index = whole_answers(spark, [(0 if i % 16 == 0 and i < 160 else i, v) for i, v in enumerate(x)])
+    assert index.visits < index.parts
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert nb.search(none, none, nb.fit(none)).count() == 0
