@@ -44,7 +44,8 @@ BOILERPLATE = [
     "subscribe to our",
     "share this",
 ]
-SENTENCE_END = r"[.!?…][\"'”’»)\]]*"
+# Compiled as bytes: characters of several bytes are alternatives, as a class would take each of their bytes.
+SENTENCE_END = r"(?:\.|!|\?|…)(?:[\"')\]]|”|’|»)*"
 _ENDS = re.compile((SENTENCE_END + r"(?:[\x20\x09-\x0D]|$)").encode())
 _BOILER = re.compile("|".join(BOILERPLATE).encode())
 _NOT_SYMBOL = bytes(set(range(256)) - set(SYMBOLS))

@@ -31,6 +31,15 @@ def test_lines():
     assert fails("All Rights Reserved by the owner.") == "boilerplate"
 
 
+def test_marks_of_several_bytes():
+    fails = lambda s: lq.line_failure(s.encode(), s.encode().split())
+    for end in "рÀæ”’»€âÂ":  # they share bytes with the ellipsis or the closing quotes
+        assert fails(f"a line of several words ends in {end}") == fails(f"one{end} two three four five") == "punctuation"
+        assert fails(f"one two three four five.{end}") == (None if end in "”’»" else "punctuation")
+    for end in ("…", "…”", "!»", "?’)", ".»”\"]"):
+        assert fails(f"a line of several words ends{end}") is fails(f"one two{end} three four five") is None
+
+
 def test_cases(spark):
     good = "\n".join(f"Sentence number {i} has some words of its own, {i * 7}." for i in range(6))
     half = good + "\n" + "\n".join("no end of line at all here %d" % i for i in range(40))
