@@ -127,3 +127,13 @@ def mix(
     copied = counted.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     permuted = F.xxhash64(F.lit(SEED) + F.col("mix_epoch"), F.coalesce("plan_source", F.lit("")), "plan_key")
     return copied.select(*[F.col(c) for c in docs.columns], "mix_tokens", "mix_weight", "mix_epoch", permuted.alias("mix_block"))
+
+
+def in_order(mixed: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of a mix in its order: epoch by epoch, the sources' blocks interleaved, documents of a block by a hash.
+
+    Partitions are ranges of that order, sorted, so copies of a document are as far apart as their epochs.
+    """
+    place = ["mix_epoch", "mix_block", "mix_place"]
+    placed = mixed.withColumn("mix_place", F.xxhash64(F.lit(SEED + 2) + F.col("mix_epoch"), id_column, text_column))
+    return placed.repartitionByRange(*place).sortWithinPartitions(*place).drop("mix_place")

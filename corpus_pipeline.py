@@ -53,8 +53,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 @stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents once at least; small sources repeat, up to one and a half times, towards an even mix."""
-    return mixing.mix(docs, max_repeats=1.5, budget=None).select(*docs.columns)
+    """All documents once at least; small sources repeat, up to one and a half times, towards an even mix.
+
+    Rows are in the order of the mix, a file for each range of it; packing reads each file in its order.
+    """
+    return mixing.in_order(mixing.mix(docs, max_repeats=1.5, budget=None)).select(*docs.columns)
 
 
 @stage

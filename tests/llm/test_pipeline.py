@@ -5,6 +5,7 @@ import corpus_pipeline as cp
 from tokenizers import Tokenizer
 
 from adsieve.llm import line_quality as lq
+from adsieve.llm import mixing
 from adsieve.llm.storage import keep
 from tests.llm.test_jaccard_join import brute as groups
 from tests.llm.test_jaccard_join import shingles
@@ -61,6 +62,20 @@ def test_every_stage_against_brute_force(spark):
         assert covered == Counter({k: n for k in range(len(ids_of))})
 
 
+def test_mixture_is_in_order(spark):
+    rows = [(i, f"word {i} " * 5, "en", "small" if i % 8 == 0 else "large", 1) for i in range(400)]
+    docs = spark.createDataFrame(rows, ODD)
+    got = [r.doc_id for r in cp.mixture(spark, docs, "").collect()]
+    mixed = mixing.mix(docs, max_repeats=1.5, budget=None).collect()
+    assert Counter(got) == Counter(r.doc_id for r in mixed) and len(got) > 400
+    at = {(r.doc_id, r.mix_epoch): r.mix_block for r in mixed}
+    seen, order = Counter(), []
+    for i in got:
+        order.append((seen[i], at[i, seen[i]]))
+        seen[i] += 1
+    assert order == sorted(order) and got[:400] != sorted(got[:400])
+
+
 def linked(texts):
     sets = [shingles(t, 5) for t in texts]
     label = list(range(len(texts)))
