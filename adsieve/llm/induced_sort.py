@@ -14,8 +14,8 @@ than their successor) or S; S* suffixes are S suffixes after an L suffix.
    the two suffixes that induced them.
 
 A queue keeps ``limit`` bytes of entries in memory and the rest in an unnamed scratch file, which
-vanishes with the task as Spark's own spill files do. Only the text, which a step looks up one
-symbol back, must be at hand; it may be a memory map.
+vanishes with the task as Spark's own spill files do. The text, which a step looks up one symbol
+back, may be a memory map; ``suffix_array`` holds the order of all suffixes in memory.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ anchor make a segment; a segment's text is all that its windows cover.
    multiplicity, and if that is above one, all of its windows are repeated.
 2. Segments that share an anchor but not their text are contested: each distinct one is sent once
    to the anchor's shard. The shard sorts the suffixes of its segments by external induced sorting
-   (``induced_sort``); windows with a common prefix of ``size`` bytes with a neighbour are repeated.
+   (``induced_sort``; a shard is a megabyte or two, so in memory and without recursion); windows with a common prefix of ``size`` bytes with a neighbour are repeated.
 3. An anchor of more than ``HOT`` different segments (the edge of a passage that a large part of all
    documents share) would gather in one task. Its windows are dealt by their own hashes instead
    and counted there.
