@@ -8,7 +8,8 @@ blocks (hash buckets of about ``block_tokens`` tokens): blocks are taken in orde
 is spent, and the last block is taken document by document, so that every source meets its budget
 within one document.
 
-Only per-source figures reach the driver (``max_sources`` bounds them) and are broadcast; documents
+Only per-source figures reach the driver and are broadcast; more than ``max_sources`` sources raise
+ValueError. Documents
 are mapped where they lie, and only the one border block of each source is sorted.
 
 Defined results: a null source is a source of its own; a null or empty text has 0 tokens, and a
