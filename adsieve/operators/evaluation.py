@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +51,7 @@ def scores(tokens: DataFrame) -> DataFrame:
     sums = [F.count("in_gold").alias("gold"), F.count("in_predicted").alias("predicted"), F.count(F.col("in_gold") + F.col("in_predicted")).alias("hit")]
     each = both.groupBy("label").agg(*sums)
     counted = each.unionByName(each.agg(F.lit("overall").alias("label"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("gold", "predicted", "hit")]))
-    mask = lambda c, t: F.when(F.substring(c, 3, 100) == t, F.col(c)).otherwise("O")
+    mask = lambda c, t: F.when(F.substr(c, F.lit(3)) == t, F.col(c)).otherwise("O")
     same = [F.avg((F.col("gold") == F.col("predicted")).cast("double")).alias("overall")]
     same += [F.avg((mask("gold", t) == mask("predicted", t)).cast("double")).alias(t) for t in TYPES]
     pairs = F.array(*[F.struct(F.lit(t).alias("label"), F.coalesce(F.col(t), F.lit(0.0)).alias("accuracy")) for t in ("overall", *TYPES)])
@@ -67,7 +65,3 @@ def as_lines(found: DataFrame) -> DataFrame:
     """Metrics as text lines, one a figure."""
     each = [F.concat(F.col("label"), F.lit(f"_{m}: "), F.format_number(m, 4)) for m in ("precision", "recall", "f1", "accuracy")]
     return found.select(F.explode(F.array(*each)).alias("value"))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adsieve.functions.text import let
 from adsieve.operators.spans import KEY
 
 # Tokens that aren't shown, and the colours (fill, border) of each type.
@@ -33,19 +34,21 @@ def segments(text: Column, entities: Column) -> Column:
     ordered = F.array_sort(F.transform(entities, lambda e, i: F.struct(e["start"].alias("start"), i.alias("i"), e["end"].alias("end"), e["label"].alias("label"))))
     part = lambda a, b, label: F.struct(F.substring(text, a + 1, F.greatest(b - a, F.lit(0))).alias("text"), label.alias("label"))
     none = F.lit(None).cast("string")
-    zero = F.struct(F.lit(0).alias("cursor"), F.array().cast(kind).alias("out"))
+    empty = F.array().cast(kind)
 
-    def step(state: Column, e: Column) -> Column:
-        start, end = F.greatest(e["start"], F.lit(0)), F.least(e["end"], n)
-        gap = F.when(start > state["cursor"], F.array(part(state["cursor"], start, none))).otherwise(F.array().cast(kind))
-        own = F.when(end > start, F.array(part(start, end, e["label"]))).otherwise(F.array().cast(kind))
-        return F.struct(end.cast("int").alias("cursor"), F.concat(state["out"], gap, own).alias("out"))
+    def cut(own: Column) -> Column:
+        """Each entity after the gap between it and the end of the one before, then the rest."""
+        def piece(e: Column, i: Column) -> Column:
+            cursor = F.when(i > 0, F.least(F.get(own, i - 1)["end"], n)).otherwise(F.lit(0))
+            start, end = F.greatest(e["start"], F.lit(0)), F.least(e["end"], n)
+            gap = F.when(start > cursor, F.array(part(cursor, start, none))).otherwise(empty)
+            return F.concat(gap, F.when(end > start, F.array(part(start, end, e["label"]))).otherwise(empty))
 
-    def finish(state: Column) -> Column:
-        rest = F.when(state["cursor"] < n, F.array(part(state["cursor"], n, none))).otherwise(F.array().cast(kind))
-        return F.filter(F.concat(state["out"], rest), lambda s: s["text"] != "")
+        last = F.coalesce(F.least(F.try_element_at(own, F.lit(-1))["end"], n), F.lit(0))
+        rest = F.when((F.size(own) == 0) | (last < n), F.array(part(F.when(F.size(own) == 0, F.lit(0)).otherwise(last), n, none))).otherwise(empty)
+        return F.filter(F.concat(F.flatten(F.transform(own, piece)), rest), lambda s: s["text"] != "")
 
-    return F.when(text.rlike(r"\S"), F.aggregate(ordered, zero, step, finish)).otherwise(F.array().cast(kind))
+    return F.when(text.rlike(r"\S"), let(ordered, cut)).otherwise(empty)
 
 
 def _escaped(text: Column) -> Column:

@@ -14,7 +14,7 @@ from adsieve.functions.cleaning import MARKERS, SYMBOL_BLOCKS, change_stats, cle
 from adsieve.functions.licences import CERTIFICATE, LICENCE, licences, number_pattern
 from adsieve.functions.phones import PHONE_PATTERN, phones
 from adsieve.functions.similarity import clustered
-from adsieve.functions.text import collapse
+from adsieve.functions.text import collapse, let
 from adsieve.operators import chunking, evaluation, inspection, labels, spans
 from adsieve.plans import pipeline
 from adsieve.schemas import TAGS, TYPES
@@ -22,7 +22,10 @@ from adsieve.streaming.records import extract
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; documents and pages in fewer files than cores are dealt over all cores, since a small file is one task's."""
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return found.repartition(cores) if name in ("documents", "pages") and len(found.inputFiles()) < cores else found
 
 
 # ---- payloads ---------------------------------------------------------------------------------
@@ -62,10 +65,11 @@ def sql_list(options: list[str]) -> str:
     return "[" + ", ".join(map(sql_text, options)) + "]"
 
 
-def token_tags(spark: SparkSession, sf_dir: str, per_document: int = 14) -> DataFrame:
-    """(doc_id, chunk_id, i, gold, predicted): tags by rule for every document."""
-    each = table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("chunk_id"), F.explode(F.sequence(F.lit(0), F.lit(per_document - 1))).alias("i"))
-    d, i = F.col("doc_id"), F.col("i")
+def token_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, chunk_id, i, gold, predicted): tags by rule, 14 for every document and one more for every 12 characters."""
+    last = (F.floor(F.length("text") / 12) + 13).cast("int")
+    each = table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("chunk_id"), F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    d, i = F.col("doc_id"), F.col("i").cast("long")
     gold = F.pmod(d * 31 + i * i * 7 + F.floor(d / 3) * i, F.lit(11))
     predicted = F.when(F.pmod(d * 13 + i * 5, F.lit(6)) == 0, F.pmod(gold + 3, F.lit(11))).otherwise(gold)
     tag = lambda c: F.coalesce(pick(TAGS, c), F.lit("O"))
@@ -75,7 +79,7 @@ def token_tags(spark: SparkSession, sf_dir: str, per_document: int = 14) -> Data
 TOKENS_SQL = f"""tokens AS (
   SELECT doc_id, i, coalesce({sql_list(TAGS)}[g + 1], 'O') AS gold,
          coalesce({sql_list(TAGS)}[CASE WHEN (doc_id * 13 + i * 5) % 6 = 0 THEN (g + 3) % 11 ELSE g END + 1], 'O') AS predicted
-  FROM (SELECT doc_id, i::INT AS i, ((doc_id * 31 + i * i * 7 + (doc_id // 3) * i) % 11)::INT AS g FROM documents, range(14) t(i))
+  FROM (SELECT doc_id, i::INT AS i, ((doc_id * 31 + i * i * 7 + (doc_id // 3) * i) % 11)::INT AS g FROM (SELECT doc_id, unnest(range(14 + length(text) // 12)) AS i FROM documents))
 )"""
 
 
@@ -166,10 +170,10 @@ def bio_fix3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def span_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions with extents of three characters and confidences by rule; repaired for serving."""
+    """Predictions with extents of twelve characters (some of none) and confidences by rule; repaired for serving."""
     i = F.col("i")
     sure = (F.pmod(F.col("doc_id") * 17 + i * 29, F.lit(100)) / 100.0).alias("confidence")
-    tokens = token_tags(spark, sf_dir).select("doc_id", "chunk_id", "i", (i * 3).alias("start"), (i * 3 + F.when(i == 5, 0).otherwise(3)).alias("end"), F.col("predicted").alias("label"), sure)
+    tokens = token_tags(spark, sf_dir).select("doc_id", "chunk_id", "i", (i * 12).alias("start"), (i * 12 + F.when(i % 9 == 5, 0).otherwise(12)).alias("end"), F.col("predicted").alias("label"), sure)
     return spans.repair_starts(spans.real_tokens(tokens))
 
 
@@ -193,16 +197,21 @@ def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synthetic_spans(text: Column) -> Column:
-    """Four spans by rule, one of them beyond most texts' end."""
-    d = F.col("doc_id")
-    starts = [F.pmod(d * 7 + k * 61, F.lit(400)) for k in range(4)]
-    one = lambda k: F.struct(starts[k].cast("int").alias("start"), (starts[k] + 1 + F.pmod(d + k * 11, F.lit(50))).cast("int").alias("end"), F.lit("").alias("text"), F.array(F.lit(TYPES[k % 3])).alias("labels"))
-    return F.array(*map(one, range(4)))
+    """Spans by rule, four and one more for every 100 characters, all over the text; some lie beyond its end."""
+    d, n = F.col("doc_id"), F.length(text)
+
+    def one(k: Column) -> Column:
+        k = k.cast("long")
+        start = F.pmod(d * 7 + k * 137, n + 20)
+        end = start + 1 + F.pmod(d + k * 11, F.lit(50))
+        return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), F.lit("").alias("text"), F.array(pick(TYPES, k % 3)).alias("labels"))
+
+    return F.transform(F.sequence(F.lit(0), (F.floor(n / 100) + 3).cast("int")), one)
 
 
 SPANS_SQL = f"""spans AS (
   SELECT doc_id, text, k::INT AS k, s::INT AS s, (s + 1 + (doc_id + k * 11) % 50)::INT AS e, {sql_list(TYPES)}[(k % 3 + 1)::INT] AS label
-  FROM (SELECT doc_id, text, k, (doc_id * 7 + k * 61) % 400 AS s FROM documents, range(4) t(k))
+  FROM (SELECT doc_id, text, k, (doc_id * 7 + k * 137) % (length(text) + 20) AS s FROM (SELECT doc_id, text, unnest(range(4 + length(text) // 100)) AS k FROM documents))
 )"""
 
 
@@ -215,8 +224,12 @@ def label_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def char_bio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's character tags: how many are O, and a digest of all others with their places."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", synthetic_spans(F.col("text")).alias("label"))
-    return labels.character_table(docs).where("tag <> 'O'")
+    found = labels.entity_characters(docs).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "tag"))).alias("t"))
+    listed = F.array_join(F.transform("t", lambda t: F.concat_ws(" ", t["pos"].cast("string"), t["tag"])), ",")
+    both = docs.select("doc_id", F.length("text").alias("n")).join(found, "doc_id", "left")
+    return both.select("doc_id", (F.col("n") - F.coalesce(F.size("t"), F.lit(0))).cast("long").alias("n_outside"), F.md5(F.coalesce(listed, F.lit(""))).alias("tags_md5"))
 
 
 def ner_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,11 +331,14 @@ def streamed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token labels of every chunk, for tokens of five characters of which every seventh has no extent."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", synthetic_spans(F.col("text")).alias("label"))
-    made = labels.training_examples(labels.split(docs).drop("split"), 120)
-    n = F.size("char_labels")
-    offsets = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 5).cast("int")), lambda k: F.struct((k * 5).alias("start"), F.least(k * 5 + 5, n).alias("end")))
-    return labels.align(made, offsets).select("doc_id", "chunk_id", F.posexplode("labels").alias("i", "label_id")).where("label_id <> 0")
+    made = labels.training_examples(labels.split(docs).drop("split"), 120, lines_of, lambda s: F.size(F.split(s, " ")))
+    place = lambda n: lambda k: F.struct((k * 5).alias("start"), F.when(k % 7 == 3, k * 5).otherwise(F.least(k * 5 + 5, n)).alias("end"))
+    offsets = let(F.length("text"), lambda n: F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 5).cast("int")), place(n)))
+    found = labels.align(made, offsets)
+    ids = F.col("labels")
+    return found.select("doc_id", "chunk_id", F.size(ids).cast("long").alias("n_tokens"), F.size(F.filter(ids, lambda x: x > 0)).cast("long").alias("n_labelled"), F.md5(F.array_join(ids.cast("array<string>"), ",")).alias("labels_md5"))
 
 
 QUERIES = {
@@ -362,10 +378,10 @@ def _clean_sql(text: str) -> str:
 MARKED_SQL = f"marked AS (SELECT doc_id, {sql_list(MARKED)}[(doc_id % {len(MARKED)} + 1)::INT] || ' ' || text || ' ' || {sql_list(MARKED[::-1])}[(doc_id % {len(MARKED)} + 1)::INT] AS text FROM documents)"
 LINE_SQL = lambda shift: f"replace({sql_list(NUMBERED)}[((doc_id + {shift}) % {len(NUMBERED)} + 1)::INT], '{{}}', lpad(doc_id::VARCHAR, 5, '0'))"
 SPAN_TOKENS_SQL = f"""{TOKENS_SQL},
-real AS (SELECT doc_id, i, predicted, (doc_id * 17 + i * 29) % 100 / 100.0::DOUBLE AS confidence FROM tokens WHERE i <> 5),
+real AS (SELECT doc_id, i, predicted, (doc_id * 17 + i * 29) % 100 / 100.0::DOUBLE AS confidence FROM tokens WHERE i % 9 <> 5),
 served AS (SELECT r.doc_id, r.i, f.t, r.confidence FROM ({start_repair_sql('real', 'predicted')}) f JOIN real r USING (doc_id, i)),
 merged AS ({merge_sql('served')}),
-spans AS (SELECT doc_id, label, (first_i * 3)::INT AS start, (end_i * 3)::INT AS "end", confidence FROM merged)"""
+spans AS (SELECT doc_id, label, (first_i * 12)::INT AS start, (end_i * 12)::INT AS "end", confidence FROM merged)"""
 CHUNKS_SQL = """lines AS (
   SELECT doc_id, text, line, n, (sum(length(line) + 1) OVER w - length(line) - 1)::INT AS s
   FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents)
@@ -378,6 +394,12 @@ CHUNKS_SQL = """lines AS (
   SELECT p.doc_id, p.r, p.s, p.e, CASE WHEN w.held + p.tokens <= 120 THEN w.held + p.tokens ELSE p.tokens END, w.chunk_id + (w.held + p.tokens > 120)::INT
   FROM walk w JOIN parts p ON p.doc_id = w.doc_id AND p.r = w.r + 1
 ), chunks AS (SELECT doc_id, chunk_id, min(s) AS chunk_start, max(e) AS chunk_end FROM walk GROUP BY ALL)"""
+CHARS_SQL = lambda source: f"""valid AS (SELECT * FROM {source} WHERE s >= 0 AND e <= n AND s < n AND e > 0),
+hit AS (SELECT doc_id, chunk_id, p::INT AS pos, s, k, label FROM valid, LATERAL (SELECT unnest(range(s, greatest(e, s + 1))) AS p)),
+last AS (SELECT doc_id, chunk_id, pos, arg_max({{'s': s, 'label': label}}, [s, k]) AS top FROM hit GROUP BY ALL),
+raw AS (SELECT doc_id, chunk_id, pos, CASE WHEN top.s = pos THEN 'B-' ELSE 'I-' END || top.label AS t FROM last),
+near AS (SELECT *, lag(pos) OVER w AS before_pos, lag(t) OVER w AS before_t FROM raw WINDOW w AS (PARTITION BY doc_id, chunk_id ORDER BY pos)),
+chars AS (SELECT doc_id, chunk_id, pos, CASE WHEN t LIKE 'I-%' AND NOT coalesce(before_pos = pos - 1 AND substr(before_t, 3) = substr(t, 3), false) THEN 'B-' || substr(t, 3) ELSE t END AS tag FROM near)"""
 METRIC_SQL = lambda label, where: f"""SELECT '{label}' AS label, count(*) FILTER (g IS NOT NULL) AS gold, count(*) FILTER (p IS NOT NULL) AS predicted, count(*) FILTER (g IS NOT NULL AND p IS NOT NULL) AS hit FROM pairs WHERE {where}"""
 ACCURACY_SQL = lambda label: f"SELECT '{label}' AS label, avg((CASE WHEN substr(g.t, 3) = '{label}' THEN g.t ELSE 'O' END = CASE WHEN substr(p.t, 3) = '{label}' THEN p.t ELSE 'O' END)::INT) AS accuracy FROM g3 g JOIN p3 p USING (doc_id, i)"
 VALUES_SQL = lambda pairs: ", ".join(f"({sql_text(a)}, {sql_text(b) if isinstance(b, str) else str(b).lower()})" for a, b in pairs)
@@ -411,13 +433,20 @@ SELECT DISTINCT doc_id, kind, n || '/' || upper(a) AS number FROM found WHERE up
     "chunk_pack": f"WITH RECURSIVE {CHUNKS_SQL} SELECT doc_id, chunk_id, chunk_start, chunk_end, md5(substr(text, chunk_start + 1, chunk_end - chunk_start)) AS text_md5 FROM chunks JOIN documents USING (doc_id)",
     "label_range_join": f"""WITH RECURSIVE {CHUNKS_SQL}, {SPANS_SQL}
 SELECT doc_id, chunk_id, s - chunk_start AS start, e - chunk_start AS "end", label FROM spans JOIN chunks USING (doc_id) WHERE s >= chunk_start AND e <= chunk_end""",
-    "char_bio": f"""WITH {SPANS_SQL},
-valid AS (SELECT * FROM spans WHERE e <= length(text) AND s < length(text)),
-hit AS (SELECT doc_id, p::INT AS pos, s, k, label FROM valid, LATERAL (SELECT unnest(range(s, greatest(e, s + 1))) AS p)),
-last AS (SELECT doc_id, pos, arg_max({{'s': s, 'label': label}}, [s, k]) AS top FROM hit GROUP BY ALL),
-raw AS (SELECT doc_id, pos, CASE WHEN top.s = pos THEN 'B-' ELSE 'I-' END || top.label AS t FROM last),
-near AS (SELECT *, lag(pos) OVER w AS before_pos, lag(t) OVER w AS before_t FROM raw WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
-SELECT doc_id, pos, CASE WHEN t LIKE 'I-%' AND NOT coalesce(before_pos = pos - 1 AND substr(before_t, 3) = substr(t, 3), false) THEN 'B-' || substr(t, 3) ELSE t END AS tag FROM near""",
+    "char_bio": f"""WITH {SPANS_SQL}, {CHARS_SQL('(SELECT doc_id, text, s, e, k, label, 0 AS chunk_id, length(text) AS n FROM spans)')}
+SELECT d.doc_id, (any_value(length(d.text)) - count(c.pos))::BIGINT AS n_outside, md5(coalesce(string_agg(c.pos || ' ' || c.tag, ',' ORDER BY c.pos), '')) AS tags_md5
+FROM documents d LEFT JOIN chars c USING (doc_id) GROUP BY d.doc_id""",
+    "training_examples": f"""WITH RECURSIVE {CHUNKS_SQL}, {SPANS_SQL},
+placed AS (SELECT doc_id, chunk_id, chunk_end - chunk_start AS n, s - chunk_start AS s, e - chunk_start AS e, k, label FROM spans JOIN chunks USING (doc_id) WHERE s >= chunk_start AND e <= chunk_end),
+{CHARS_SQL('placed')},
+shown AS (SELECT doc_id, chunk_id, chunk_end - chunk_start AS n FROM chunks JOIN documents USING (doc_id) WHERE regexp_matches(substr(text, chunk_start + 1, chunk_end - chunk_start), '[^\\s\\x0b\\x1c-\\x1f\\x{{85}}\\p{{Z}}]')),
+every AS (SELECT doc_id, chunk_id, unnest(range((n + 4) // 5)) AS i FROM shown),
+inner_tags AS (SELECT doc_id, chunk_id, pos // 5 AS i, tag, count(*) AS times, min(pos) AS first FROM chars GROUP BY ALL),
+best AS (SELECT doc_id, chunk_id, i, arg_min(tag, [CASE WHEN tag LIKE 'B-%' THEN 0 ELSE 1 END, CASE WHEN tag LIKE 'B-%' THEN 0 ELSE -times END, first]) AS tag FROM inner_tags GROUP BY ALL),
+named AS (SELECT e.doc_id, e.chunk_id, e.i, coalesce(tag, 'O') AS t FROM every e LEFT JOIN best b ON b.doc_id = e.doc_id AND b.chunk_id = e.chunk_id AND b.i = e.i WHERE e.i % 7 <> 3),
+mended AS (SELECT doc_id, chunk_id, i, CASE WHEN t LIKE 'I-%' AND (coalesce(lag(t) OVER w, 'O') = 'O' OR substr(lag(t) OVER w, 3) <> substr(t, 3)) THEN 'B-' || substr(t, 3) ELSE t END AS t FROM named WINDOW w AS (PARTITION BY doc_id, chunk_id ORDER BY i)),
+ids AS (SELECT e.doc_id, e.chunk_id, e.i, coalesce(list_position({sql_list(TAGS)}, t) - 1, -100) AS id FROM every e LEFT JOIN mended m ON m.doc_id = e.doc_id AND m.chunk_id = e.chunk_id AND m.i = e.i)
+SELECT doc_id, chunk_id, count(*) AS n_tokens, count(*) FILTER (id > 0) AS n_labelled, md5(string_agg(id::VARCHAR, ',' ORDER BY i)) AS labels_md5 FROM ids GROUP BY ALL""",
     "ner_metrics": f"""WITH {TOKENS_SQL}, {repair_sql('tokens', 'gold', 'g')}, {repair_sql('tokens', 'predicted', 'p')},
 ge AS ({merge_sql('(SELECT *, 1 AS confidence FROM g3)')}), pe AS ({merge_sql('(SELECT *, 1 AS confidence FROM p3)')}),
 pairs AS (SELECT coalesce(ge.label, pe.label) AS label, ge.first_i AS g, pe.first_i AS p FROM ge FULL JOIN pe ON ge.doc_id = pe.doc_id AND ge.label = pe.label AND ge.first_i = pe.first_i AND ge.end_i = pe.end_i),
