@@ -10,15 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsieve.functions import names, tags
-from adsieve.functions.cleaning import MARKERS, SYMBOL_BLOCKS, change_stats, clean_text, remove_crawl_artifacts, strip_tags, styled_table
-from adsieve.functions.licences import CERTIFICATE, LICENCE, licences, number_pattern
-from adsieve.functions.phones import PHONE_PATTERN, phones
-from adsieve.functions.similarity import clustered
+from adsieve.functions.cleaning import change_stats, clean_text, remove_crawl_artifacts, strip_tags
+from adsieve.functions.licences import licences
+from adsieve.functions.phones import phones
 from adsieve.functions.text import collapse, let
 from adsieve.operators import chunking, evaluation, inspection, labels, spans
 from adsieve.plans import pipeline
 from adsieve.schemas import TAGS, TYPES
-from adsieve.streaming.records import extract
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -127,9 +125,13 @@ def clean_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", clean_text(woven).alias("cleaned"))
 
 
-def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weave(docs: DataFrame) -> DataFrame:
     by = F.col("doc_id") % len(MARKED)
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat(pick(MARKED, by), F.lit(" "), "text", F.lit(" "), pick(MARKED[::-1], by)).alias("text"))
+    return docs.select("doc_id", F.concat(pick(MARKED, by), F.lit(" "), "text", F.lit(" "), pick(MARKED[::-1], by)).alias("text"))
+
+
+def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weave(table(spark, sf_dir, "documents"))
 
 
 def crawl_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,11 +275,6 @@ def org_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("organisation"), names.is_telling(out).alias("telling"))
 
 
-def org_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = chosen(spark, sf_dir, [o for _, o in ORGANISATIONS], 5)
-    return found.select("doc_id", F.posexplode(clustered(F.col("found"))).alias("rank", "g")).select("doc_id", "rank", "g.name", "g.weight")
-
-
 def highlight_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = spans.merge_spans(span_tokens(spark, sf_dir)).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "label")).alias("entities"))
     docs = table(spark, sf_dir, "documents").join(merged, "doc_id", "left")
@@ -290,11 +287,6 @@ def token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspection.token_table(tokens)
 
 
-def token_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = span_tokens(spark, sf_dir).select("*", F.concat(F.lit("<"), F.col("i").cast("string")).alias("token"))
-    return inspection.document_html(tokens)
-
-
 def word_tagger():
     """A deterministic stand-in for a model: capitalised words make persons, words with digits addresses."""
     import re
@@ -319,17 +311,6 @@ def ad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.records(marked(spark, sf_dir), tagger=word_tagger)
 
 
-def ner_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = spans.merge_spans(span_tokens(spark, sf_dir).join(docs, "doc_id"), F.col("text"))
-    return spans.report(spans.results(docs, found))
-
-
-def streamed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = extract(marked(spark, sf_dir))
-    return found.select("doc_id", F.md5("text").alias("text_md5"), F.size("phone_numbers").alias("n_phones"))
-
-
 def training_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token labels of every chunk, for tokens of five characters of which every seventh has no extent."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", synthetic_spans(F.col("text")).alias("label"))
@@ -345,8 +326,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         phone_extract, html_strip, clean_chars, crawl_clean, crawl_clean_pages, clean_stats, licence_extract, bio_fix1, bio_fix1_array, bio_fix3, span_merge, entities_by_type,
-        chunk_pack, label_range_join, char_bio, ner_metrics, region_filter, addr_distinct, person_clean, person_maximal, org_expand, org_cluster, highlight_segments, token_table,
-        token_html, ad_records, ner_results, streamed_fields, training_examples,
+        chunk_pack, label_range_join, char_bio, ner_metrics, region_filter, addr_distinct, person_clean, person_maximal, org_expand, highlight_segments, token_table,
+        ad_records, training_examples,
     )
 }
 
@@ -357,8 +338,25 @@ def _collapse_sql(text: str) -> str:
     return f"regexp_replace(regexp_replace({text}, '{SPACE_RE2}+', ' ', 'g'), '^ | $', '', 'g')"
 
 
-def _artifacts_sql(text: str) -> str:
-    for m in MARKERS:
+# Fixed values, stated anew for the SQL so that it shares none with the engine: patterns, markers, symbols, alphabets.
+PHONES_SQL = (
+    r"(?:\+84|0084|0)[\s.-]?[13456789][\s.-]?(?:\d[\s.-]?){7}\d|02(?:\d[\s.-]?){8,9}|\(0\d{2,3}\)[\s.-]?(?:\d[\s.-]?){7}"
+    r"|(?:1800|1900)[\s.-]?(?:\d[\s.-]?){4,6}|\((?:\+84|0084)\)[\s.-]?(?:\d[\s.-]?){8}\d"
+)
+NUMBER_SQL = lambda phrase: f"{phrase}(?::|{SPACE_RE2})*([0-9]{{2,7}}){SPACE_RE2}*/{SPACE_RE2}*([A-Za-z]+)(?:-[A-Za-zĐ]+)?(?:/[A-Za-z0-9]+)?"
+LICENCE_SQL = NUMBER_SQL(f"[Gg]iấy{SPACE_RE2}*phép{SPACE_RE2}*hoạt{SPACE_RE2}*động")
+CERTIFICATE_SQL = NUMBER_SQL(f"[Cc]hứng{SPACE_RE2}*chỉ{SPACE_RE2}*hành{SPACE_RE2}*nghề")
+MARKERS_SQL = """IMAGE-#|IMG-#|image-#|IMAGE_#|IMG_#|image_#|VIDEO-#|VID-#|video-#|<>|AD|ADVERTISEMENT|SPONSORED|PROMO|Banner|banner|BANNER|TWEET|FACEBOOK|INSTAGRAM|SHARE|LIKE|FOLLOW
+MENU|NAV|NAVIGATION|BREADCRUMB|HOME|BACK|NEXT|PREV|Previous|Continue|COMMENT|REPLY|COMMENTS|read more|Read More|read_more|show more|Show More|xem thêm|Xem thêm|XEM THÊM
+CHART-#|TABLE-#|GRAPH-#|FIGURE-#|FIG-#|LOADING|Loading|loading|PLACEHOLDER|placeholder|Ảnh|ảnh|ẢNH|Hình|hình|HÌNH|Video|video|VIDEO|Quảng cáo|quảng cáo|QUẢNG CÁO
+ITEM-#|ELEMENT-#|BLOCK-#|DIV-#|SECTION-#""".replace("\n", "|").split("|")
+SYMBOLS_SQL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{2190}-\x{21FF}\x{2200}-\x{22FF}\x{2300}-\x{23FF}\x{2500}-\x{27BF}\x{1F300}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F900}-\x{1F9FF}]"
+#: Thirteen starts; an alphabet's 51 characters fall on the code points from A on, the first digits' 49 on those from 0 on.
+ALPHABETS_SQL = [(0x1D400, 51, 65), (0x1D7CE, 49, 48), *((0x1D434 + 52 * k, 51, 65) for k in range(10))]
+
+
+def artifacts_sql(text: str) -> str:
+    for m in MARKERS_SQL:
         pattern = "<[^>]+>" if m == "<>" else f"\\[{m.replace('#', '[0-9]+')}\\]"
         text = f"regexp_replace({text}, '{pattern}', '', 'gi')"
     text = _collapse_sql(f"regexp_replace({text}, '\\[{SPACE_RE2}*\\]', '', 'g')")
@@ -367,10 +365,12 @@ def _artifacts_sql(text: str) -> str:
     return _collapse_sql(text)
 
 
-def _clean_sql(text: str) -> str:
-    styled = styled_table()
-    blocks = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in SYMBOL_BLOCKS)
-    dropped = f"regexp_replace(nfc_normalize(regexp_replace({text}, '[-=_]{{3,}}', '', 'g')), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F{blocks}]', '', 'g')"
+def clean_sql(text: str) -> str:
+    styled: dict[str, str] = {}
+    for first, n, plain in ALPHABETS_SQL:
+        for k in range(n):
+            styled.setdefault(chr(first + k), chr(plain + k))
+    dropped = f"regexp_replace(nfc_normalize(regexp_replace({text}, '[-=_]{{3,}}', '', 'g')), '{SYMBOLS_SQL}', '', 'g')"
     folded = f"translate({dropped}, {sql_text(''.join(styled))}, {sql_text(''.join(styled.values()))})"
     return f"regexp_replace({folded}, '[\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')"
 
@@ -402,28 +402,41 @@ near AS (SELECT *, lag(pos) OVER w AS before_pos, lag(t) OVER w AS before_t FROM
 chars AS (SELECT doc_id, chunk_id, pos, CASE WHEN t LIKE 'I-%' AND NOT coalesce(before_pos = pos - 1 AND substr(before_t, 3) = substr(t, 3), false) THEN 'B-' || substr(t, 3) ELSE t END AS tag FROM near)"""
 METRIC_SQL = lambda label, where: f"""SELECT '{label}' AS label, count(*) FILTER (g IS NOT NULL) AS gold, count(*) FILTER (p IS NOT NULL) AS predicted, count(*) FILTER (g IS NOT NULL AND p IS NOT NULL) AS hit FROM pairs WHERE {where}"""
 ACCURACY_SQL = lambda label: f"SELECT '{label}' AS label, avg((CASE WHEN substr(g.t, 3) = '{label}' THEN g.t ELSE 'O' END = CASE WHEN substr(p.t, 3) = '{label}' THEN p.t ELSE 'O' END)::INT) AS accuracy FROM g3 g JOIN p3 p USING (doc_id, i)"
+
+
+def metrics_sql() -> str:
+    """The metrics of (doc_id, i, gold, predicted) in ``tokens``."""
+    return f"""{repair_sql('tokens', 'gold', 'g')}, {repair_sql('tokens', 'predicted', 'p')},
+ge AS ({merge_sql('(SELECT *, 1 AS confidence FROM g3)')}), pe AS ({merge_sql('(SELECT *, 1 AS confidence FROM p3)')}),
+pairs AS (SELECT coalesce(ge.label, pe.label) AS label, ge.first_i AS g, pe.first_i AS p FROM ge FULL JOIN pe ON ge.doc_id = pe.doc_id AND ge.label = pe.label AND ge.first_i = pe.first_i AND ge.end_i = pe.end_i),
+counts AS ({' UNION ALL '.join([METRIC_SQL('overall', 'true'), *(METRIC_SQL(t, f"label = '{t}'") for t in TYPES)])}),
+acc AS (SELECT 'overall' AS label, avg((g.t = p.t)::INT) AS accuracy FROM g3 g JOIN p3 p USING (doc_id, i) UNION ALL {' UNION ALL '.join(map(ACCURACY_SQL, TYPES))}),
+rates AS (SELECT label, coalesce(hit / nullif(predicted, 0), 0)::DOUBLE AS p, coalesce(hit / nullif(gold, 0), 0)::DOUBLE AS r FROM counts)
+SELECT label, round(p, 9) AS precision, round(r, 9) AS recall, round(coalesce(2 * p * r / nullif(p + r, 0), 0), 9) AS f1, round(accuracy, 9) AS accuracy FROM rates JOIN acc USING (label)"""
+
+
 VALUES_SQL = lambda pairs: ", ".join(f"({sql_text(a)}, {sql_text(b) if isinstance(b, str) else str(b).lower()})" for a, b in pairs)
 
 ORACLE_SQL = {
     "phone_extract": f"""
 WITH raw AS (
-  SELECT doc_id, unnest(regexp_extract_all(text, '{PHONE_PATTERN}')) AS r FROM documents
+  SELECT doc_id, unnest(regexp_extract_all(text, '{PHONES_SQL}')) AS r FROM documents
 ), digits AS (SELECT doc_id, regexp_replace(r, '[^0-9]', '', 'g') AS d FROM raw),
 once AS (SELECT doc_id, CASE WHEN d LIKE '84%' THEN '0' || substr(d, 3) ELSE d END AS d FROM digits)
 SELECT DISTINCT doc_id, CASE WHEN d LIKE '0084%' THEN '0' || substr(d, 5) ELSE d END AS phone
 FROM once WHERE d <> ''""",
     "html_strip": f"SELECT page_id, {_collapse_sql("regexp_replace(html, '<[^>]+>', '', 'g')")} AS text FROM pages",
-    "clean_chars": f"SELECT doc_id, {_clean_sql(f'text || {sql_text(SYMBOLS)} || doc_id')} AS cleaned FROM documents",
-    "crawl_clean": f"WITH {MARKED_SQL} SELECT doc_id, {_artifacts_sql('text')} AS cleaned FROM marked",
-    "crawl_clean_pages": f"SELECT page_id, {_artifacts_sql('html')} AS cleaned FROM pages",
-    "clean_stats": f"""WITH {MARKED_SQL}, done AS (SELECT text, {_artifacts_sql('text')} AS cleaned FROM marked)
+    "clean_chars": f"SELECT doc_id, {clean_sql(f'text || {sql_text(SYMBOLS)} || doc_id')} AS cleaned FROM documents",
+    "crawl_clean": f"WITH {MARKED_SQL} SELECT doc_id, {artifacts_sql('text')} AS cleaned FROM marked",
+    "crawl_clean_pages": f"SELECT page_id, {artifacts_sql('html')} AS cleaned FROM pages",
+    "clean_stats": f"""WITH {MARKED_SQL}, done AS (SELECT text, {artifacts_sql('text')} AS cleaned FROM marked)
 SELECT count(*) AS total_cells, count(*) FILTER (text IS DISTINCT FROM cleaned) AS changed_cells, round(count(*) FILTER (text IS DISTINCT FROM cleaned) / count(*) * 100, 2) AS change_percentage FROM done""",
     "licence_extract": f"""
 WITH woven AS (SELECT doc_id, concat_ws(' ', {LINE_SQL(0)}, text, {LINE_SQL(1)}, {LINE_SQL(3)}) AS t FROM documents),
 found AS (
-  SELECT doc_id, 'operating_licenses' AS kind, unnest(regexp_extract_all(t, '{number_pattern(LICENCE, SPACE_RE2)}', 1)) AS n, unnest(regexp_extract_all(t, '{number_pattern(LICENCE, SPACE_RE2)}', 2)) AS a FROM woven
+  SELECT doc_id, 'operating_licenses' AS kind, unnest(regexp_extract_all(t, '{LICENCE_SQL}', 1)) AS n, unnest(regexp_extract_all(t, '{LICENCE_SQL}', 2)) AS a FROM woven
   UNION ALL
-  SELECT doc_id, 'medical_certificates', unnest(regexp_extract_all(t, '{number_pattern(CERTIFICATE, SPACE_RE2)}', 1)), unnest(regexp_extract_all(t, '{number_pattern(CERTIFICATE, SPACE_RE2)}', 2)) FROM woven
+  SELECT doc_id, 'medical_certificates', unnest(regexp_extract_all(t, '{CERTIFICATE_SQL}', 1)), unnest(regexp_extract_all(t, '{CERTIFICATE_SQL}', 2)) FROM woven
 )
 SELECT DISTINCT doc_id, kind, n || '/' || upper(a) AS number FROM found WHERE upper(a) IN ('HCM', 'SYT', 'BYT')""",
     "bio_fix1": f"WITH {TOKENS_SQL} SELECT doc_id, i, t AS tag FROM ({start_repair_sql('tokens', 'predicted')})",
@@ -447,13 +460,7 @@ named AS (SELECT e.doc_id, e.chunk_id, e.i, coalesce(tag, 'O') AS t FROM every e
 mended AS (SELECT doc_id, chunk_id, i, CASE WHEN t LIKE 'I-%' AND (coalesce(lag(t) OVER w, 'O') = 'O' OR substr(lag(t) OVER w, 3) <> substr(t, 3)) THEN 'B-' || substr(t, 3) ELSE t END AS t FROM named WINDOW w AS (PARTITION BY doc_id, chunk_id ORDER BY i)),
 ids AS (SELECT e.doc_id, e.chunk_id, e.i, coalesce(list_position({sql_list(TAGS)}, t) - 1, -100) AS id FROM every e LEFT JOIN mended m ON m.doc_id = e.doc_id AND m.chunk_id = e.chunk_id AND m.i = e.i)
 SELECT doc_id, chunk_id, count(*) AS n_tokens, count(*) FILTER (id > 0) AS n_labelled, md5(string_agg(id::VARCHAR, ',' ORDER BY i)) AS labels_md5 FROM ids GROUP BY ALL""",
-    "ner_metrics": f"""WITH {TOKENS_SQL}, {repair_sql('tokens', 'gold', 'g')}, {repair_sql('tokens', 'predicted', 'p')},
-ge AS ({merge_sql('(SELECT *, 1 AS confidence FROM g3)')}), pe AS ({merge_sql('(SELECT *, 1 AS confidence FROM p3)')}),
-pairs AS (SELECT coalesce(ge.label, pe.label) AS label, ge.first_i AS g, pe.first_i AS p FROM ge FULL JOIN pe ON ge.doc_id = pe.doc_id AND ge.label = pe.label AND ge.first_i = pe.first_i AND ge.end_i = pe.end_i),
-counts AS ({' UNION ALL '.join([METRIC_SQL('overall', 'true'), *(METRIC_SQL(t, f"label = '{t}'") for t in TYPES)])}),
-acc AS (SELECT 'overall' AS label, avg((g.t = p.t)::INT) AS accuracy FROM g3 g JOIN p3 p USING (doc_id, i) UNION ALL {' UNION ALL '.join(map(ACCURACY_SQL, TYPES))}),
-rates AS (SELECT label, coalesce(hit / nullif(predicted, 0), 0)::DOUBLE AS p, coalesce(hit / nullif(gold, 0), 0)::DOUBLE AS r FROM counts)
-SELECT label, round(p, 9) AS precision, round(r, 9) AS recall, round(coalesce(2 * p * r / nullif(p + r, 0), 0), 9) AS f1, round(accuracy, 9) AS accuracy FROM rates JOIN acc USING (label)""",
+    "ner_metrics": f"WITH {TOKENS_SQL}, {metrics_sql()}",
     "region_filter": f"WITH {chosen_sql([a for a, _ in ADDRESSES], 1)} SELECT doc_id, name AS address, hit AS in_region FROM chosen JOIN (VALUES {VALUES_SQL(ADDRESSES)}) v(a, hit) ON a = name",
     "addr_distinct": f"""WITH {chosen_sql([a for a, _ in ADDRESSES], 6)},
 fit AS (SELECT doc_id, k, name, row_number() OVER (PARTITION BY doc_id, lower(name) ORDER BY k) AS r FROM chosen JOIN (VALUES {VALUES_SQL(ADDRESSES)}) v(a, hit) ON a = name WHERE hit AND length(name) >= 10)

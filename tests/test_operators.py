@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from adsieve.operators import chunking, entities, evaluation, inspection, labels, spans
-from adsieve.plans import catalogue, pipeline
+from adsieve.plans import catalogue, jobs, pipeline
 from adsieve.sources import labelled, workbook
 from adsieve.streaming.records import extract
 
@@ -36,6 +36,23 @@ def test_chunks(spark):
     assert got == [(1, 0, 0, 11, "A b c. D e!"), (1, 1, 12, 26, "F g h i j k l."), (1, 2, 28, 30, "M?")]
 
 
+def test_tokeniser_counts(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.createDataFrame([(1, "One unbelievable sentence. And another one! Short."), (2, ""), (3, None)], "doc_id long, text string")
+    counted = chunking.subword_counts(path)
+    got = [r.text for r in chunking.chunks(docs, 7, counts=counted).orderBy("doc_id", "chunk_id").collect()]
+    size = lambda t: len(tokenizers.Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids)
+    parts, want = ["One unbelievable sentence.", "And another one!", "Short."], []
+    for part in parts:
+        if want and sum(map(size, want[-1])) + size(part) <= 7:
+            want[-1].append(part)
+        else:
+            want.append([part])
+    assert got == [" ".join(w) for w in want]
+
+
 def test_consolidation(spark):
     rows = [
         (1, 0, "Hana", "ORG"), (1, 1, "BV Q1", "ORG"), (1, 2, "Hana", "ORG"), (1, 3, "12 Lê Lợi, Q.3, TPHCM", "ADDR"), (1, 4, "12 LÊ LỢI, q.3, tphcm", "ADDR"),
@@ -57,6 +74,8 @@ def test_labels_and_split(spark):
     items = spark.createDataFrame([(k, f"An ở Huế {k}", [(0, 2, "An", ["PER"]), (5, 8, "Huế", ["ADDR"]), (1, 400, "", ["ORG"])]) for k in range(300)], "doc_id long, text string, label array<struct<start:int,end:int,text:string,labels:array<string>>>")
     first = labels.character_table(items.where("doc_id = 1")).orderBy("pos").collect()
     assert [r.tag for r in first] == ["B-PER", "I-PER", "O", "O", "O", "B-ADDR", "I-ADDR", "I-ADDR", "O", "O"]
+    places = [(r.doc_id, r.pos, r.tag) for r in labels.character_table(items).where("tag <> 'O'").orderBy("doc_id", "pos").collect()]
+    assert places == [(r.doc_id, r.pos, r.tag) for r in labels.entity_characters(items).orderBy("doc_id", "pos").collect()]
     parts = {n: d.count() for n, d in labelled.by_split(labels.split(items)).items()}
     assert sum(parts.values()) == 300 and parts["train"] > 200 and min(parts.values()) > 10
     made = labels.training_examples(items.limit(3), 10).collect()
@@ -114,19 +133,30 @@ def plain(value):
     return round(value, 6) if isinstance(value, float) else value
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.ORACLE_SQL))
+CORE, CORE_SQL = catalogue.QUERIES | jobs.JOBS, catalogue.ORACLE_SQL | jobs.JOBS_SQL
+
+
+@pytest.mark.parametrize("name", sorted(CORE_SQL))
 def test_oracle(spark, duck, name):
-    df = catalogue.QUERIES[name](spark, SF)
+    df = CORE[name](spark, SF)
     columns = sorted(df.columns)
     got = sorted(repr([plain(r[c]) for c in columns]) for r in df.collect())
-    found = duck.execute(catalogue.ORACLE_SQL[name])
+    found = duck.execute(CORE_SQL[name])
     place = [[d[0] for d in found.description].index(c) for c in columns]
     assert got == sorted(repr([plain(r[k]) for k in place]) for r in found.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLE_SQL)))
-def test_runs(spark, name):
-    assert catalogue.QUERIES[name](spark, SF).count() > 0
+def test_without_sql():
+    assert set(CORE) - set(CORE_SQL) == {"ad_records"}
+
+
+def test_records_of_a_tagger(spark):
+    text = "Hana Spa o 12 Le Loi, Q1 TPHCM. Bac Si An Le goi 0918 680 551"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    found = {r.doc_id: r for r in pipeline.records(docs, tagger=catalogue.word_tagger).collect()}
+    assert found[1].phone_numbers == ["0918680551"] and found[1].doctor_names == ["Hana Spa", "Le Loi", "Bac Si An Le"]
+    assert found[1].organization_names == ["Thành Phố Hồ Chí Minh."] and found[3].phone_numbers == [] and found[2].phone_numbers is None
+    assert catalogue.QUERIES["ad_records"](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
 def test_entry(spark):
