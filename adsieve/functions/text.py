@@ -26,3 +26,18 @@ def spaced(pattern: str) -> str:
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once for a row, however often, and in whatever lambda, the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+PAGE = 2048
+
+
+def pages(text: Column) -> Column:
+    """The text in pieces of PAGE characters, so that ``cut`` needn't look for a place from the text's beginning."""
+    return let(text, lambda t: F.transform(F.sequence(F.lit(0), F.floor(F.length(t) / PAGE).cast("int")), lambda k: F.substring(t, k * PAGE + 1, F.lit(PAGE))))
+
+
+def cut(pages: Column, start: Column, end: Column) -> Column:
+    """The characters from ``start`` to before ``end`` (not negative) of a text in pages."""
+    first, last = (F.floor(x / PAGE).cast("int") for x in (start, F.greatest(end - 1, start)))
+    some = F.when(first == last, F.coalesce(F.get(pages, first), F.lit(""))).otherwise(F.array_join(F.slice(pages, first + 1, last - first + 1), ""))
+    return F.substring(some, start - first * PAGE + 1, F.greatest(end - start, F.lit(0)))

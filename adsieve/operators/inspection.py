@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsieve.functions.text import let
+from adsieve.functions.text import cut, let, pages
 from adsieve.operators.spans import KEY
 
 # Tokens that aren't shown, and the colours (fill, border) of each type.
@@ -29,26 +29,27 @@ def token_table(tokens: DataFrame) -> DataFrame:
 
 def segments(text: Column, entities: Column) -> Column:
     """The text in order as (text, label): gaps have no label; overlapping entities repeat text; blank text gives none."""
-    kind = "array<struct<text:string,label:string>>"
-    n = F.length(text)
-    ordered = F.array_sort(F.transform(entities, lambda e, i: F.struct(e["start"].alias("start"), i.alias("i"), e["end"].alias("end"), e["label"].alias("label"))))
-    part = lambda a, b, label: F.struct(F.substring(text, a + 1, F.greatest(b - a, F.lit(0))).alias("text"), label.alias("label"))
+    empty = F.array().cast("array<struct<text:string,label:string>>")
     none = F.lit(None).cast("string")
-    empty = F.array().cast(kind)
+    ordered = F.array_sort(F.transform(entities, lambda e, i: F.struct(e["start"].alias("start"), i.alias("i"), e["end"].alias("end"), e["label"].alias("label"))))
+
+    def pieces(given: Column) -> Column:
+        own, n, paged = given["own"], given["n"], given["pages"]
+        part = lambda a, b, label: F.struct(cut(paged, a, b).alias("text"), label.alias("label"))
 
-    def cut(own: Column) -> Column:
-        """Each entity after the gap between it and the end of the one before, then the rest."""
-        def piece(e: Column, i: Column) -> Column:
+        def one(e: Column, i: Column) -> Column:
+            """An entity after the gap between it and the end of the one before."""
             cursor = F.when(i > 0, F.least(F.get(own, i - 1)["end"], n)).otherwise(F.lit(0))
             start, end = F.greatest(e["start"], F.lit(0)), F.least(e["end"], n)
-            gap = F.when(start > cursor, F.array(part(cursor, start, none))).otherwise(empty)
+            gap = F.when(start > cursor, F.array(part(F.greatest(cursor, F.lit(0)), F.least(start, n), none))).otherwise(empty)
             return F.concat(gap, F.when(end > start, F.array(part(start, end, e["label"]))).otherwise(empty))
 
-        last = F.coalesce(F.least(F.try_element_at(own, F.lit(-1))["end"], n), F.lit(0))
-        rest = F.when((F.size(own) == 0) | (last < n), F.array(part(F.when(F.size(own) == 0, F.lit(0)).otherwise(last), n, none))).otherwise(empty)
-        return F.filter(F.concat(F.flatten(F.transform(own, piece)), rest), lambda s: s["text"] != "")
+        last = F.when(F.size(own) > 0, F.greatest(F.least(F.try_element_at(own, F.lit(-1))["end"], n), F.lit(0))).otherwise(F.lit(0))
+        rest = F.when(last < n, F.array(part(last, n, none))).otherwise(empty)
+        return F.filter(F.concat(F.flatten(F.transform(own, one)), rest), lambda s: s["text"] != "")
 
-    return F.when(text.rlike(r"\S"), let(ordered, cut)).otherwise(empty)
+    given = F.struct(ordered.alias("own"), F.length(text).alias("n"), pages(text).alias("pages"))
+    return F.when(text.rlike(r"\S"), let(given, pieces)).otherwise(empty)
 
 
 def _escaped(text: Column) -> Column:

@@ -279,7 +279,7 @@ def highlight_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = spans.merge_spans(span_tokens(spark, sf_dir)).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "label")).alias("entities"))
     docs = table(spark, sf_dir, "documents").join(merged, "doc_id", "left")
     found = inspection.segments(F.col("text"), F.coalesce("entities", F.array().cast(merged.schema["entities"].dataType)))
-    return docs.select("doc_id", F.posexplode(found).alias("pos", "s")).select("doc_id", "pos", "s.text", "s.label")
+    return docs.select("doc_id", F.posexplode_outer(found).alias("pos", "s")).where("s IS NOT NULL").select("doc_id", "pos", "s.text", "s.label")
 
 
 def token_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,7 +120,7 @@ def final_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ner_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = spans.merge_spans(span_tokens(spark, sf_dir).join(docs, "doc_id"), F.col("text"))
+    found = spans.merge_in_texts(span_tokens(spark, sf_dir), docs.withColumn("chunk_id", F.lit(0)))
     return spans.report(spans.results(docs, found))
 
 

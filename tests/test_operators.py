@@ -23,6 +23,8 @@ def test_merge_and_report(spark):
     tokens = spans.repair_starts(spans.real_tokens(spark.createDataFrame(rows, TOKENS))).withColumn("t", F.lit(text))
     found = spans.merge_spans(tokens, F.col("t")).orderBy("start").collect()
     assert [(r.label, r.start, r.end, r.confidence, r.text, r.surface) for r in found] == [("PER", 3, 8, 0.9, "AnLê", "An Lê"), ("ORG", 11, 15, 0.25, "ACME", "ACME")]
+    chunk = spark.createDataFrame([(1, 0, text)], "doc_id long, chunk_id int, text string")
+    assert [r.asDict() for r in spans.merge_in_texts(tokens.drop("t"), chunk).orderBy("start").collect()] == [r.asDict() for r in found]
     docs = spark.createDataFrame([(1, text), (2, "nothing")], "doc_id long, text string")
     result = spans.results(docs, spans.merge_spans(tokens, F.col("t"))).orderBy("doc_id").collect()
     assert result[0].entity_types == ["PER", "ORG"] and result[0].entities_by_type["ORG"][0].text == "ACME" and result[1].total_entities == 0
