@@ -73,8 +73,23 @@ def test_against_brute_force(spark, target):
 
 def test_limits(spark):
     assert mx.mix(docs(spark).limit(0), max_repeats=2).count() == 0
-    with pytest.raises(ValueError):
-        mx.mix(docs(spark), max_repeats=2, max_sources=2)
     with pytest.raises(ValueError):
         mx.mix(docs(spark))
     assert abs(mx.choose_exponent({"a": 90, "b": 10}, lambda w: 100, max_repeats=3.0) - math.log(3 / 7) / math.log(1 / 9)) < 1e-9
+
+
+@pytest.mark.parametrize("target", [{"max_repeats": 2.0}, {"target_entropy": 1.3}, {"max_repeats": 1.5, "budget": None}, {"max_repeats": 99.0}, {"target_entropy": 0.01}])
+def test_many_sources_give_the_same_mix(spark, target):
+    rows = lambda df: sorted((r.doc_id or 0, r.source or "", r.mix_tokens, round(r.mix_weight, 9), r.mix_epoch, r.mix_block) for r in df.collect())
+    df = docs(spark)
+    assert rows(mx.mix(df, block_tokens=40, max_sources=2, **target)) == rows(mx.mix(df, block_tokens=40, **target))
+    assert mx.mix(df.limit(0), max_sources=0, **target).count() == 0
+
+
+def test_clashing_columns(spark):
+    names = ["plan_source", "edge_key", "mix_tokens", "mix_source", "copies", "row", "taken", "before", "key_range", "mix_hash"]
+    df = docs(spark).select("doc_id", "text", "source", *[F.lit(7).alias(c) for c in names])
+    got = mx.mix(df, max_repeats=2, block_tokens=40)
+    assert got.columns == ["doc_id", "text", "source", *[c for c in names if c != "mix_tokens"], *mx.MIX]
+    assert got.select("doc_id", "mix_epoch").exceptAll(mx.mix(docs(spark), max_repeats=2, block_tokens=40).select("doc_id", "mix_epoch")).count() == 0
+    assert got.where("plan_source <> 7 OR `row` <> 7").count() == 0
