@@ -17,13 +17,13 @@ other columns are never read; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +35,10 @@ UNKNOWN = 1e-7
 BEGIN = "▁"
 #: Words whose likelihoods a worker remembers at a time.
 CACHE_WORDS = 600_000
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters by Unicode category, with the marks that follow them; numbers such as ½ and Ⅷ are none.
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: What probabilities are multiplied by for each character, so that sums over long runs stay far from the smallest double.
+SCALE = 1e6
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -130,15 +133,18 @@ def backward(edges: tuple, steps: np.ndarray, p: np.ndarray) -> np.ndarray:
     return beta
 
 
-def of_pieces(table: np.ndarray, piece: np.ndarray) -> np.ndarray:
+def of_pieces(table: np.ndarray, edges: tuple) -> np.ndarray:
+    """Probabilities of the edges, times SCALE for each character: a whole run's sum has the factor SCALE ** its length."""
+    source, target, piece, *_ = edges
     p = table[piece]
     p[piece < 0] = UNKNOWN
-    return p
+    return p * SCALE ** (target - source)[:, None].astype(float)
 
 
 def run_scores(vocabulary: Vocabulary, table: np.ndarray, runs: list[str]) -> np.ndarray:
     edges = vocabulary.edges(runs)
-    return np.log(forward(edges, vocabulary.steps, of_pieces(table, edges[2]))[edges[4]])
+    lengths = np.fromiter(map(len, runs), float, len(runs))
+    return np.log(forward(edges, vocabulary.steps, of_pieces(table, edges))[edges[4]]) - np.log(SCALE) * lengths[:, None]
 
 
 def learn(vocabulary: Vocabulary, words: dict[str, Counter], rounds: int = 3) -> tuple[list[str], np.ndarray]:
@@ -157,7 +163,7 @@ def learn(vocabulary: Vocabulary, words: dict[str, Counter], rounds: int = 3) ->
                 part, weight = every[at : at + 20_000], times[at : at + 20_000]
                 edges = vocabulary.edges(part)
                 source, target, piece, first, last = edges
-                p = of_pieces(table[:, [column]], piece)
+                p = of_pieces(table[:, [column]], edges)
                 alpha, beta = forward(edges, vocabulary.steps, p), backward(edges, vocabulary.steps, p)
                 owner = np.searchsorted(first, source, side="right") - 1
                 share = weight[owner] * alpha[source, 0] * p[:, 0] * beta[target, 0] / alpha[last[owner], 0]

@@ -42,7 +42,8 @@ def test_forward_sums_all_segmentations(vocabulary):
 
 def test_letter_runs():
     assert lg.letter_runs("Don't3x") == ["▁don", "▁t", "▁x"]
-    assert lg.letter_runs("12.") == []
+    assert lg.letter_runs("12.") == lg.letter_runs("½ ² Ⅷ ٣") == []
+    assert lg.letter_runs("हिन्दी") == ["▁हिन्दी"]
     assert [len(r) for r in lg.letter_runs("a" * 70)] == [33, 33, 7]
 
 
@@ -89,3 +90,10 @@ def test_scores_survive_forgetting(vocabulary, monkeypatch):
     assert not scorer.text(b"1 22 333").any()
     scorer.learn_words([" ".join(words).encode()])
     assert len(scorer.row) <= len(scorer.scores)
+
+
+def test_rare_letters_do_not_underflow(vocabulary):
+    table = np.full((vocabulary.size, 2), 1e-15)
+    got = lg.run_scores(vocabulary, table, ["▁" + "ཀ" * lg.RUN, "▁" + "q" * lg.RUN])
+    assert np.isfinite(got).all() and (got < 0).all()
+    assert 0 < lg.UNKNOWN * lg.SCALE <= 1
