@@ -1,13 +1,16 @@
 """URL filters: dated list entries become validity intervals, captures are judged as of their fetch.
 
-A list entry says that a key (a host, or a registered domain: the last two labels of a host) was
-put on or taken off the list on a day. Entries of one key become intervals: each state holds from
-its day until the key's next entry. A capture is blocked if its host or its domain was listed on
-the day of its fetch. DataFrame functions only.
+A list entry says that a key (a host, or a registered domain) was put on or taken off the list on a
+day. Entries of one key become intervals: each state holds from its day until the key's next entry.
+An as-of join finds the interval that holds on the day of a capture's fetch: the same key, begun,
+and not ended. A capture is blocked if its host or its domain was listed then. DataFrame functions
+only.
 
-The captures are joined twice with one row a key (its states in day order), so a page's row never
-multiplies. Rows of a hot host are dealt over ``salt`` partitions, and the list, one row a key, is
-copied as often.
+A registered domain is the last two labels of a host, or the last three if the last two are one of
+``suffixes`` (such as ``co.uk``); numeric addresses have none.
+
+Intervals of a key don't overlap, so a page's row never multiplies. Rows of a hot host are dealt
+over ``salt`` partitions, and the list is copied as often.
 
 Defined results: a null or unreadable URL has a null host and isn't blocked; a null fetch day isn't
 blocked; entries with a null key or day are void; on one day, ``add`` beats ``remove`` and repeated
@@ -17,9 +20,10 @@ an empty list blocks nothing; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ADDRESS = r"^[0-9]+(\.[0-9]+){3}$|^\["
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 
 
@@ -28,43 +32,33 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def domain_of(host: Column, suffixes: tuple[str, ...] = ()) -> Column:
+    two = F.substring_index(host, ".", -2)
+    domain = F.when(two.isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(two) if suffixes else two
+    return F.when(~host.rlike(ADDRESS), domain)
 
 
 def intervals(entries: DataFrame) -> DataFrame:
     """(kind, key, listed, valid_from, valid_to) from (kind, key, day, action); valid_to is exclusive, null if open."""
-    states = _states(entries)
-    each = states.select("kind", "key", F.posexplode("states").alias("at", "state"), "states")
-    return each.select("kind", "key", F.col("state.listed").alias("listed"), F.col("state.day").alias("valid_from"), F.get("states", F.col("at") + 1)["day"].alias("valid_to"))
-
-
-def _states(entries: DataFrame) -> DataFrame:
     valid = entries.where(F.col("key").isNotNull() & F.col("day").isNotNull() & F.col("action").isin("add", "remove"))
     daily = valid.groupBy("kind", "key", "day").agg(F.max(F.col("action") == "add").alias("listed"))
-    return daily.groupBy("kind", "key").agg(F.array_sort(F.collect_list(F.struct("day", "listed"))).alias("states"))
+    ends = F.lead("day").over(Window.partitionBy("kind", "key").orderBy("day"))
+    return daily.select("kind", "key", "listed", F.col("day").alias("valid_from"), ends.alias("valid_to"))
 
 
-def _active_since(states: Column, day: Column) -> Column:
-    """The day since when the state as of ``day`` is listed; null if it isn't."""
-    past = F.filter(states, lambda s: s["day"] <= day)
-    last = F.get(past, F.size(past) - 1)
-    return F.when(last["listed"], last["day"])
-
-
-def judge(captures: DataFrame, entries: DataFrame, salt: int = 16) -> DataFrame:
+def judge(captures: DataFrame, entries: DataFrame, salt: int = 16, suffixes: tuple[str, ...] = ()) -> DataFrame:
     """(page_id, host, fetched_on, host_listed_since, domain_listed_since, blocked) of (page_id, url, fetched_on)."""
     host = host_of(F.col("url"))
-    own = captures.select("page_id", "fetched_on", host.alias("host"), domain_of(host).alias("domain"), F.pmod(F.xxhash64("page_id", "url"), F.lit(salt)).cast("int").alias("salt"))
-    lists = _states(entries).withColumn("salt", F.explode(F.array(*map(F.lit, range(salt)))))
+    own = captures.select("page_id", "fetched_on", host.alias("host"), domain_of(host, suffixes).alias("domain"), F.pmod(F.xxhash64("page_id", "url"), F.lit(salt)).cast("int").alias("salt"))
+    listed = intervals(entries).where("listed").withColumn("list_salt", F.explode(F.array(*map(F.lit, range(salt)))))
     for kind in ("host", "domain"):
-        side = lists.where(F.col("kind") == kind).select(F.col("key").alias(kind), "salt", F.col("states").alias(f"{kind}_states"))
-        own = own.join(side, [kind, "salt"], "left")
-    since = {kind: _active_since(F.col(f"{kind}_states"), F.col("fetched_on")) for kind in ("host", "domain")}
-    return own.select(
-        "page_id", "host", "fetched_on", since["host"].alias("host_listed_since"), since["domain"].alias("domain_listed_since"),
-        (since["host"].isNotNull() | since["domain"].isNotNull()).alias("blocked"),
-    )
+        since, until = F.col(f"{kind}_listed_since"), F.col("valid_to")
+        side = listed.where(F.col("kind") == kind).select("key", "list_salt", F.col("valid_from").alias(f"{kind}_listed_since"), "valid_to")
+        same = (F.col(kind) == F.col("key")) & (F.col("salt") == F.col("list_salt"))
+        as_of = (since <= F.col("fetched_on")) & (until.isNull() | (F.col("fetched_on") < until))
+        own = own.join(side, same & as_of, "left").drop("key", "list_salt", "valid_to")
+    blocked = F.col("host_listed_since").isNotNull() | F.col("domain_listed_since").isNotNull()
+    return own.select("page_id", "host", "fetched_on", "host_listed_since", "domain_listed_since", blocked.alias("blocked"))
 
 
 def demonstration(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -75,7 +69,7 @@ def demonstration(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     code = lambda c: F.conv(F.substring(F.md5(c), 1, 4), 16, 10).cast("int")
     first = F.lit("2024-01-01").cast("date")
     by_host = hosts.select(F.lit("host").alias("kind"), F.col("host").alias("key"), code(F.col("host")).alias("v")).where("v % 3 = 0")
-    domains = hosts.select(domain_of(F.col("host")).alias("key")).distinct()
+    domains = hosts.select(domain_of(F.col("host")).alias("key")).where(F.col("key").isNotNull()).distinct()
     by_domain = domains.select(F.lit("domain").alias("kind"), "key", code(F.col("key")).alias("v")).where("v % 7 < 3")
     start = F.col("v") % 200
     dated = [(F.lit(True), start, "add"), (F.col("v") % 2 == 0, start + 30 + F.col("v") % 100, "remove"), (F.col("v") % 4 == 0, start + 160, "add")]

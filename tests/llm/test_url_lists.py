@@ -37,3 +37,19 @@ def test_intervals_and_empty(spark):
     one = spark.createDataFrame([(1, "http://h/", D, "", "")], CAPTURES)
     assert not ul.judge(one, entries.limit(0)).first()["blocked"]
     assert ul.judge(one.limit(0), entries).count() == 0
+
+
+def test_domains(spark):
+    hosts = ["a.co.uk", "www.a.co.uk", "x.y.org", "10.0.0.1", "z", None]
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    got = [r.d for r in df.select(ul.domain_of(df.h, ("co.uk", "com.au")).alias("d")).collect()]
+    assert got == ["a.co.uk", "a.co.uk", "y.org", None, "z", None]
+    entries = spark.createDataFrame([("domain", "0.1", D, "add", ""), ("domain", "a.co.uk", D, "add", "")], ENTRIES)
+    pages = spark.createDataFrame([(1, "http://10.0.0.1/", D, "", ""), (2, "http://b.a.co.uk/", D, "", "")], CAPTURES)
+    assert {r.page_id: r.blocked for r in ul.judge(pages, entries, suffixes=("co.uk",)).collect()} == {1: False, 2: True}
+
+
+def test_clashing_columns(spark):
+    own = spark.createDataFrame([(1, "http://h/", D, "a", 5)], "page_id long, url string, fetched_on date, key string, valid_to int")
+    entries = spark.createDataFrame([("host", "h", D, "add", "", 1)], "kind string, key string, day date, action string, list_salt string, salt int")
+    assert ul.judge(own, entries).first()["blocked"]
