@@ -32,7 +32,7 @@ from adsieve.llm.words import slices, sole
 CACHE_WORDS = 1_200_000
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 #: Open windows that one merging group takes; each group pads one sequence at most.
-MERGE_WINDOWS = 4096
+MERGE_WINDOWS = 512
 
 PIECE = T.StructType(
     [
