@@ -1,18 +1,21 @@
 """Chat formatting: link tool calls with their results, order them, validate and serialise them.
 
-Calls and results meet in a hash join on conversation and call id. A call may depend on one earlier
-call of its conversation; its level is its distance from a call without dependency, found by
-pointer jumping (a chain of n calls takes log2(n) joins), so ordering a conversation by (level,
-turn, call_id) is topological. Arguments are checked against schemas and written as canonical JSON:
-keys in order, no spaces, declared integers, numbers and booleans bare. DataFrame functions only.
+Calls and results meet in a hash join on conversation and call id. A call may depend on other calls
+of its conversation (``depends_on``: one id, or an array); its level is the length of the longest
+way to a call without dependency, so ordering a conversation by (level, turn, call_id) is
+topological. Chains of single dependencies are contracted by pointer jumping (n calls take log2(n)
+joins); calls with several dependencies are then settled in rounds, one for each of them on the
+longest way. Arguments are parsed as JSON, checked against schemas and written as canonical JSON:
+keys in order at every depth, no spaces, numbers in one form. DataFrame functions only.
 
 Defined results: of calls with one id in one conversation the first by (turn, name, arguments) is
 linked and ``n_calls`` counts them, results alike; ``status`` is ``linked``, ``unanswered`` or
 ``orphan_result``; a dependency that doesn't exist counts as none and gives the error
 ``dependency``; calls in a cycle, or behind one, have a null level and the error ``cycle``;
-arguments that aren't a JSON object give the error ``arguments``; a name without a schema gives
-``unknown_tool``. Rows with a null conversation or call id take no part. Empty tables give empty
-results; other columns are ignored.
+arguments that aren't a JSON object (or repeat a key) give the error ``arguments`` and are quoted as
+they are; an argument that is JSON null is written, but counts as absent; a name without a schema
+gives ``unknown_tool``. Rows with a null conversation or call id take no part. Empty tables give
+empty results; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,8 +26,8 @@ from pyspark.sql import functions as F
 from adsieve.llm.storage import keep
 
 KEY = ["conv_id", "call_id"]
-# How a bare JSON value of each type looks.
-LOOKS = {"integer": r"^-?(0|[1-9][0-9]*)$", "number": r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$", "boolean": "^(true|false)$"}
+# What a parsed JSON value of each type is called.
+KINDS = {"integer": r"^(BIGINT|DECIMAL\([0-9]+,0\))$", "number": r"^(BIGINT|DECIMAL.*|DOUBLE)$", "boolean": "^BOOLEAN$", "string": "^STRING$", "object": "^OBJECT", "array": "^ARRAY"}
 
 
 def quoted(text: Column) -> Column:
@@ -40,48 +43,75 @@ def _first_by_key(rows: DataFrame, columns: list[str], count: str) -> DataFrame:
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level) of (conv_id, call_id, depends_on); level null in or behind a cycle."""
-    ids = calls.select("conv_id", F.col("call_id").alias("up"), F.lit(True).alias("there"))
-    known = calls.select(*KEY, F.col("depends_on").alias("up")).join(ids, ["conv_id", "up"], "left")
-    there = F.col("there")
-    start = known.select(*KEY, F.when(there, F.col("up")).alias("up"), F.when(there, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("level"))
+    """(conv_id, call_id, level) of (conv_id, call_id, depends_on: array); level null in or behind a cycle."""
+    ids = calls.select("conv_id", F.col("call_id").alias("up"))
+    edges = keep(calls.select(*KEY, F.explode(F.array_distinct("depends_on")).alias("up")).join(ids, ["conv_id", "up"], "left_semi"), "edges")
+    ups = edges.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.min("up").alias("up"))
+    single = F.coalesce(F.col("n") == 1, F.lit(False))
+    # each call points to a base: itself, or for a single dependency that, and so on; ``steps`` lie between
+    start = calls.select(*KEY).join(ups, KEY, "left").select(*KEY, F.when(single, F.col("up")).otherwise(F.col("call_id")).alias("base"), single.cast("long").alias("steps"), (~single).alias("done"), F.coalesce("n", F.lit(0)).alias("n"))
     state = keep(start, "levels")
     size = state.count()
     for _ in range(max(1, size).bit_length() + 1):
-        if not state.where("up IS NOT NULL").limit(1).count():
+        if not state.where("NOT done").limit(1).count():
             break
-        above = state.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("further"), F.col("level").alias("more"))
-        jumped = state.join(above, ["conv_id", "up"], "left")
-        state = keep(jumped.select(*KEY, F.col("further").alias("up"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")), "levels")
-    return state.select(*KEY, F.when(F.col("up").isNull(), F.col("level")).alias("level"))
-
-
-def _errors_and_json(schema: dict[str, dict], given: Column) -> tuple[Column, Column]:
-    errors, fields = [], []
+        above = state.select("conv_id", F.col("call_id").alias("base"), F.col("base").alias("further"), F.col("steps").alias("more"), F.col("done").alias("there"))
+        jumped = state.join(above, ["conv_id", "base"])
+        state = keep(jumped.select(*KEY, F.col("further").alias("base"), F.when(F.col("done"), F.col("steps")).otherwise(F.col("steps") + F.col("more")).alias("steps"), (F.col("done") | F.col("there")).alias("done"), "n"), "levels")
+    base = state.where("n = 0").select("conv_id", F.col("call_id").alias("base"), F.lit(0).cast("long").alias("base_level"))
+    if state.where("n > 1").limit(1).count():
+        base = base.unionByName(_settled(edges, state))
+    placed = state.join(base, ["conv_id", "base"], "left")
+    return placed.select(*KEY, F.when(F.col("done"), F.col("base_level") + F.col("steps")).alias("level"))
+
+
+def _settled(edges: DataFrame, state: DataFrame) -> DataFrame:
+    """(conv_id, base, base_level) of the calls with several dependencies, round by round, as far as no cycle holds them."""
+    of_up = state.select("conv_id", F.col("call_id").alias("up"), F.col("base").alias("below"), F.when(F.col("done"), F.col("steps") + 1).alias("way"))
+    several = state.where("n > 1").select(*KEY)
+    links = keep(edges.join(several, KEY, "left_semi").join(of_up, ["conv_id", "up"]).select("conv_id", F.col("call_id").alias("base"), "below", "way"), "links")
+    roots = state.where("n = 0").select("conv_id", F.col("call_id").alias("below"), F.lit(0).cast("long").alias("low"))
+    known = keep(links.limit(0).select("conv_id", "base", F.col("way").alias("base_level")), "settled")
+    while True:
+        lows = roots.unionByName(known.select("conv_id", F.col("base").alias("below"), F.col("base_level").alias("low")))
+        open_ = links.join(known, ["conv_id", "base"], "left_anti").join(lows, ["conv_id", "below"], "left")
+        reached = open_.groupBy("conv_id", "base").agg(F.max(F.col("low") + F.col("way")).alias("base_level"), F.bool_and((F.col("low") + F.col("way")).isNotNull()).alias("whole"))
+        fresh = keep(reached.where("whole").drop("whole"), "settled")
+        if not fresh.limit(1).count():
+            return known
+        known = keep(known.unionByName(fresh), "settled")
+
+
+def _errors(schema: dict[str, dict], given: Column, keys: Column, within: str = "") -> Column:
+    """Where an object departs from its schema, as an array: by argument in order of names, then unknown ones."""
+    none = F.array().cast("array<string>")
+    errors = []
     for name in sorted(schema):
-        rule, value = schema[name], given[name]
-        kind = rule.get("type", "string")
+        rule, path = schema[name], '$["' + name.replace("\\", "\\\\").replace('"', '\\"') + '"]'
+        value = F.try_variant_get(given, path, "variant")
+        there = value.isNotNull() & ~F.is_variant_null(value)
+        kind, wanted, label = F.schema_of_variant(value), rule.get("type", "string"), within + name
+        fits = there & kind.rlike(KINDS[wanted])
+        found = []
         if rule.get("required"):
-            errors.append(F.when(value.isNull(), F.lit(f"missing:{name}")))
-        if kind in LOOKS:
-            fits = value.rlike(LOOKS[kind])
-            errors.append(F.when(~fits, F.lit(f"type:{name}")))
-            fields.append(F.when(value.isNotNull(), F.concat(F.lit(f'"{name}":'), F.when(fits, value).otherwise(quoted(value)))))
-        else:
-            fields.append(F.when(value.isNotNull(), F.concat(F.lit(f'"{name}":'), quoted(value))))
+            found.append(F.when(~there, F.lit(f"missing:{label}")))
+        found.append(F.when(there & ~fits, F.lit(f"type:{label}")))
         if "max_length" in rule:
-            errors.append(F.when(F.length(value) > rule["max_length"], F.lit(f"length:{name}")))
-        number = value.try_cast("double")
+            found.append(F.when(fits & (F.length(F.try_variant_get(given, path, "string")) > rule["max_length"]), F.lit(f"length:{label}")))
+        number = F.try_variant_get(given, path, "double")
         for bound, wrong in (("minimum", number < rule.get("minimum", 0)), ("maximum", number > rule.get("maximum", 0))):
             if bound in rule:
-                errors.append(F.when(wrong, F.lit(f"{bound}:{name}")))
-    extra = F.array_sort(F.array_except(F.map_keys(given), F.array(*map(F.lit, sorted(schema))))) if schema else F.array_sort(F.map_keys(given))
-    unknown = F.transform(extra, lambda k: F.concat(F.lit("unknown:"), k))
-    more = F.transform(extra, lambda k: F.concat(quoted(k), F.lit(":"), quoted(F.element_at(given, k))))
-    known = F.array_compact(F.array(*fields)) if fields else F.array().cast("array<string>")
-    whole = F.array_sort(F.concat(known, more))  # every field starts with its quoted name
-    found = F.array_compact(F.array(*errors)) if errors else F.array().cast("array<string>")
-    return F.concat(found, unknown), F.concat(F.lit("{"), F.array_join(whole, ","), F.lit("}"))
+                found.append(F.when(fits & wrong, F.lit(f"{bound}:{label}")))
+        if "items" in rule:
+            items = F.try_variant_get(given, path, "array<variant>")
+            odd = F.exists(items, lambda x: ~F.coalesce(F.schema_of_variant(x).rlike(KINDS[rule["items"].get("type", "string")]), F.lit(False)))
+            found.append(F.when(fits & odd, F.lit(f"items:{label}")))
+        errors.append(F.array_compact(F.array(*found)))
+        if "properties" in rule:
+            inner_keys = F.map_keys(F.from_json(F.to_json(value), "map<string,string>"))
+            errors.append(F.when(fits, _errors(rule["properties"], value, inner_keys, f"{label}.")).otherwise(none))
+    extra = F.array_sort(F.array_except(keys, F.array(*map(F.lit, sorted(schema))).cast("array<string>")))
+    return F.concat(none, *errors, F.transform(extra, lambda k: F.concat(F.lit(f"unknown:{within}"), k)))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, dict]]) -> DataFrame:
@@ -89,26 +119,31 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, dict
 
     A row for each call id: status, level, errors, and ``json``, the call with its result.
     """
-    own = keep(_first_by_key(calls, ["turn", "name", "arguments", "depends_on"], "n_calls"), "calls")
-    answers = _first_by_key(results.withColumnRenamed("turn", "result_turn"), ["result_turn", "content"], "n_results")
-    both = own.join(levels(own), KEY).hint("shuffle_hash").join(answers.hint("shuffle_hash"), KEY, "full")
-    given = F.from_json("arguments", "map<string,string>")
+    several = dict(calls.dtypes)["depends_on"].startswith("array")
+    ups = F.array_compact(F.col("depends_on") if several else F.array("depends_on"))
+    given = calls.select(*KEY, "turn", "name", "arguments", F.coalesce(ups, F.array().cast("array<string>")).alias("depends_on"))
+    own = keep(_first_by_key(given, ["turn", "name", "arguments", "depends_on"], "n_calls"), "calls")
+    answers = _first_by_key(results.select(*KEY, F.col("turn").alias("result_turn"), "content"), ["result_turn", "content"], "n_results")
+    ids = own.select("conv_id", F.col("call_id").alias("up"))
+    lost = own.select(*KEY, F.explode("depends_on").alias("up")).join(ids, ["conv_id", "up"], "left_anti").select(*KEY).distinct().withColumn("lost", F.lit(True))
+    ordered = own.join(levels(own), KEY).join(lost, KEY, "left")
+    both = ordered.hint("shuffle_hash").join(answers.hint("shuffle_hash"), KEY, "full")
+    parsed = F.try_parse_json("arguments")
     errors = F.array().cast("array<string>")
-    text = F.coalesce(F.col("arguments"), F.lit("{}"))
+    keys = F.map_keys(F.from_json("arguments", "map<string,string>"))
     for name in sorted(schemas):
-        e, j = _errors_and_json(schemas[name], F.col("given"))
-        errors, text = F.when(F.col("name") == name, e).otherwise(errors), F.when(F.col("name") == name, j).otherwise(text)
+        errors = F.when(F.col("name") == name, _errors(schemas[name], F.col("given"), keys)).otherwise(errors)
     is_call = F.col("n_calls").isNotNull()
     other = [
         F.when(is_call & ~F.coalesce(F.col("name").isin(*sorted(schemas)), F.lit(False)), F.lit("unknown_tool")),
         F.when(is_call & F.col("given").isNull(), F.lit("arguments")),
         F.when(is_call & F.col("level").isNull(), F.lit("cycle")),
-        F.when(is_call & F.col("depends_on").isNotNull() & (F.col("level") == 0), F.lit("dependency")),
+        F.when(is_call & F.coalesce("lost", F.lit(False)), F.lit("dependency")),
     ]
     broken = F.col("given").isNull() | F.col("name").isNull()
-    shown = both.withColumn("given", given)
+    shown = both.withColumn("given", F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed))
     fields = [
-        F.concat(F.lit('"arguments":'), F.when(broken, quoted(F.coalesce("arguments", F.lit("")))).otherwise(text)),
+        F.concat(F.lit('"arguments":'), F.when(broken, quoted(F.coalesce("arguments", F.lit("")))).otherwise(F.to_json("given"))),
         F.concat(F.lit('"id":'), quoted(F.col("call_id"))),
         F.concat(F.lit('"name":'), quoted(F.coalesce("name", F.lit("")))),
         F.concat(F.lit('"result":'), F.when(F.col("content").isNull(), F.lit("null")).otherwise(quoted(F.col("content")))),

@@ -29,7 +29,7 @@ def test_links_and_json(spark):
     results = [(1, "a", 1, 'said "x"\n'), (1, "a", 2, "again"), (3, "q", 0, "lost"), (2, "a", 5, None), (None, None, None, None)]
     got = run(spark, calls, results)
     assert got[1, "a"].status == "linked" and got[1, "a"].n_results == 2 and got[1, "a"].errors == "unknown:zz"
-    assert got[1, "a"].json == '{"arguments":{"all":true,"at":-1500.0,"n":3,"q":"h\\"é","zz":"1"},"id":"a","name":"find","result":"said \\"x\\"\\n"}'
+    assert got[1, "a"].json == '{"arguments":{"all":true,"at":-1500.0,"n":3,"q":"h\\"é","zz":1},"id":"a","name":"find","result":"said \\"x\\"\\n"}'
     assert got[1, "b"].errors == "type:n,length:q" and got[1, "b"].n_calls == 2 and got[1, "b"].level == 1
     assert got[1, "c"].errors == "maximum:n,missing:q,dependency" and got[1, "c"].level == 0
     assert got[1, "d"].errors == "unknown_tool" and got[1, "e"].errors == "arguments" == got[1, "f"].errors
@@ -63,3 +63,33 @@ def test_levels_against_brute_force(spark):
 
 def test_empty(spark):
     assert run(spark, [], []) == {}
+
+
+def test_nested_arguments_are_canonical(spark):
+    schemas = {"f": {"o": {"type": "object", "properties": {"x": {"type": "integer", "required": True}}}, "l": {"type": "array", "items": {"type": "integer"}}, "s": {}}}
+    given = ['{"s":"q","o":{"y":[2, {"b":1,"a":null}],"x":1.50},"l":[1, "2"]}', '{"o":{"x":3},"l":[1,2],"s":7}', '[1]', '{"l":{},"o":[]}', '{"s":"a","s":"b"}', '{"o":null}']
+    rows = [(1, str(k), k, "f", a, None, None) for k, a in enumerate(given)]
+    got = {r.call_id: r for r in tc.link(spark.createDataFrame(rows, CALLS), spark.createDataFrame([], RESULTS), schemas).collect()}
+    arguments = [json.loads(got[str(k)].json)["arguments"] for k in range(len(given))]
+    assert arguments == [json.loads(given[0]), json.loads(given[1]), "[1]", {"l": {}, "o": []}, given[4], {"o": None}]
+    assert got["0"].json.startswith('{"arguments":{"l":[1,"2"],"o":{"x":1.5,"y":[2,{"a":null,"b":1}]},"s":"q"},"id":"0"')
+    assert [got[str(k)].errors for k in range(len(given))] == ["items:l,type:o.x,unknown:o.y", "type:s", "arguments", "type:l,type:o", "arguments", ""]
+
+
+def test_several_dependencies(spark):
+    rng = random.Random(11)
+    rows = [(c, f"k{i}", i, "stop", "{}", [f"k{rng.randrange(i + (rng.random() < 0.03))}" for _ in range(rng.randrange(4))] if i else [None], None) for c in range(8) for i in range(25)]
+    rows += [(90, "a", 0, "stop", "{}", ["b", "c"], None), (90, "b", 0, "stop", "{}", ["a"], None), (90, "c", 0, "stop", "{}", None, None), (90, "d", 0, "stop", "{}", ["b", "gone"], None)]
+    up = {(r[0], r[1]): [d for d in r[5] or [] if d] for r in rows}
+
+    def level(c, i, path=()):
+        if i in path:
+            return None
+        below = [level(c, d, (*path, i)) for d in up[c, i] if (c, d) in up]
+        return None if None in below else max(below, default=-1) + 1
+
+    calls = spark.createDataFrame(rows, CALLS.replace("depends_on string", "depends_on array<string>"))
+    results = spark.createDataFrame([(0, "k1", 3, "r", "x", 9)], "conv_id long, call_id string, turn long, content string, result_turn string, n_results int")
+    got = {(r.conv_id, r.call_id): r for r in tc.link(calls, results, SCHEMAS).collect()}
+    assert {k: r.level for k, r in got.items()} == {k: level(*k) for k in up}
+    assert got[90, "d"].errors == "cycle,dependency" and got[0, "k1"].status == "linked"
