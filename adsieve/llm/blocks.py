@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from adsieve.llm.storage import keep_bucketed
 
-BLOCK = "block_id long, doc_ids array<long>, texts array<binary>"
+BLOCK = "block_id long, n_bytes long, doc_ids array<long>, texts array<binary>"
 ASKED = "block_id long, bucket int, hashes binary"
 ANSWER = "block_id long, bucket int, mask binary"
 
@@ -28,12 +28,12 @@ def _gather(size: int):
         names, columns, kinds = None, None, None
 
         def block() -> pa.RecordBatch:
-            parts = [pa.array([number], pa.int64()), *(pa.array([c], pa.list_(t)) for c, t in zip(columns, kinds))]
+            parts = [pa.array([number], pa.int64()), pa.array([held], pa.int64()), *(pa.array([c], pa.list_(t)) for c, t in zip(columns, kinds))]
             return pa.RecordBatch.from_arrays(parts, names)
 
         for batch in batches:
             if names is None:
-                names = ["block_id", "doc_ids", "texts", "rest"][: 1 + batch.num_columns]
+                names = ["block_id", "n_bytes", "doc_ids", "texts", "rest"][: 2 + batch.num_columns]
                 kinds, columns = batch.schema.types, [[] for _ in batch.columns]
             for at in range(0, batch.num_rows, 500):
                 for row in zip(*(c.slice(at, 500).to_pylist() for c in batch.columns)):
@@ -68,9 +68,24 @@ def buckets(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hash_ranges(spark) -> int:
-    """Into how many ranges hashes are dealt: a few for each shuffle partition, so that they even out."""
-    return max(256, 4 * buckets(spark))
+#: Bytes of hashes that one range should hold, and those that one task should read.
+RANGE_BYTES, TASK_BYTES = 16 << 20, 128 << 20
+
+
+def hash_ranges(spark, total: int = 0) -> int:
+    """Into how many ranges ``total`` bytes of hashes are dealt: a few for each shuffle partition, so that they even out,
+    and as many as keep a range, which one call of a group function holds, at RANGE_BYTES whatever the input."""
+    return max(256, 4 * buckets(spark), -(-total // RANGE_BYTES))
+
+
+def dealt(rows: DataFrame, total: int) -> DataFrame:
+    """Rows of ranges (``bucket``) in as many partitions as keep a task at TASK_BYTES of the ``total``."""
+    return rows.repartition(max(buckets(rows.sparkSession), -(-total // TASK_BYTES)), "bucket")
+
+
+def text_bytes(table: DataFrame) -> int:
+    """Bytes of all texts of a table of blocks."""
+    return table.agg(F.sum("n_bytes")).first()[0] or 0
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Vectors that a partition should hold.
+PART_ROWS = 1 << 16
 HIT = "query_id long, vec_id long, score double"
 
 
@@ -142,10 +144,17 @@ class Index:
         return self.router.ranked(x, count)
 
 
-def fit(vectors: DataFrame, k: int = 20, depth: int = 4, sample_size: int = 8192, target_recall: float = 0.94, id_column: str = "vec_id", vector_column: str = "embedding") -> Index | None:
-    """Learn from a hash sample of about ``sample_size`` vectors; None if fewer than two are usable."""
+def fit(vectors: DataFrame, k: int = 20, depth: int | None = None, sample_size: int | None = None, target_recall: float = 0.94, id_column: str = "vec_id", vector_column: str = "embedding") -> Index | None:
+    """Learn from a hash sample of the vectors; None if fewer than two are usable.
+
+    ``depth``: there are 2 ** depth partitions; None: as many as hold about PART_ROWS vectors each, from 16 to
+    1,024, which is what a bounded sample can teach. ``sample_size``: expected vectors of the sample; None: 8,192,
+    or 32 for each partition if that is more.
+    """
     fine = vectors.where(F.col(id_column).isNotNull() & usable(F.col(vector_column))).select(F.col(id_column).alias("vec_id"), F.col(vector_column).cast("array<double>").alias("x"))
     total = fine.count()
+    depth = min(10, max(4, math.ceil(math.log2(max(1, total) / PART_ROWS)))) if depth is None else depth
+    sample_size = max(8192, 32 << depth) if sample_size is None else sample_size
     draw = F.pmod(F.xxhash64(F.lit("vector sample"), "vec_id"), F.lit(1 << 24))
     kept = fine.where(draw < int((1 << 24) * min(1.0, sample_size / max(1, total)))).toArrow()
     order = np.argsort(kept.column("vec_id").to_numpy(), kind="stable")

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from adsieve.llm.blocks import ANSWER, ASKED, from_planes, hash_ranges, in_blocks, masks_by_block, mixed, range_edges, spread_masks, to_planes
+from adsieve.llm.blocks import ANSWER, ASKED, dealt, from_planes, hash_ranges, in_blocks, masks_by_block, mixed, range_edges, spread_masks, text_bytes, to_planes
 from adsieve.llm.words import slices, sole
 
 BASE = 0x9E3779B97F4A7C15
@@ -176,9 +176,10 @@ def _remove(size: int, ranges: int):
 
 def remove_repeats(docs: DataFrame, size: int = 20, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """A RESULT row for each document: removed word intervals, and the kept words joined by single spaces."""
-    ranges = hash_ranges(docs.sparkSession)
     table = in_blocks(docs, ordered=True, id_column=id_column, text_column=text_column)
-    asked = table.mapInArrow(_ask(size, ranges), ASKED)
+    total = 2 * text_bytes(table)  # of hashes: eight bytes for a word, which takes four at least on the whole
+    ranges = hash_ranges(docs.sparkSession, total)
+    asked = dealt(table.mapInArrow(_ask(size, ranges), ASKED), total)
     answers = masks_by_block(asked.groupBy("bucket").applyInArrow(_count, ANSWER))
     both = table.join(answers.hint("shuffle_hash"), "block_id", "left")
     return both.mapInArrow(_remove(size, ranges), RESULT)
