@@ -1,42 +1,97 @@
-"""Suffix and common-prefix arrays by external induced sorting.
+"""Suffix order and common prefixes by external induced sorting.
 
 The text is a sequence of symbols; symbol 0 is a separator, and separators differ from each other
 and are ordered by their place, so no common prefix passes one. As in SA-IS, suffixes are L (larger
 than their successor) or S; S* suffixes are S suffixes after an L suffix.
 
-1. The substrings between neighbouring S* places are sorted and named in order.
-2. The sequence of names, at most half as long, is sorted: by recursion, or in memory once it is
-   short (``base``).
+1. The substrings between neighbouring S* places are sorted and named in order, by dividing them
+   by their next symbols until a part fits in memory.
+2. The sequence of names, at most half as long, is sorted in the same way, by recursion; once it
+   has no more than ``base`` names, by prefix doubling in memory.
 3. From the sorted S* suffixes all L suffixes are induced in ascending order, and from those all S
    suffixes in descending order. Suffixes to come wait in a priority queue keyed by their first
    symbol and filled in order. An entry carries its place and the length of the prefix that it has
    in common with the entry before it under the same symbol: one more than the least value between
    the two suffixes that induced them.
 
-A queue keeps ``limit`` bytes of entries in memory and the rest in an unnamed scratch file, which
-vanishes with the task as Spark's own spill files do. The text, which a step looks up one symbol
-back, may be a memory map; ``suffix_array`` holds the order of all suffixes in memory.
+A pass takes a frequent symbol's entries some at a time, and many rare symbols together as long as
+none of their entries induces another one among them, so that both short and long alphabets move in
+large steps. The queue keeps ``limit`` bytes in memory and the rest in a scratch file. Whatever is
+as long as the text (places, names, sorted S* and L suffixes, figures of each symbol) lies in
+scratch files as well and is worked on STEP items at a time; the text, which is looked up one
+symbol back, may be a memory map. Scratch files have no name and vanish with the task, as Spark's
+own spill files do. So memory is bounded by ``base``, ``limit`` and STEP, not by the text.
 """
 
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
 ENTRY = np.dtype([("place", np.int64), ("common", np.int64)])
-#: Entries handled at a time, and entries of a queue held in memory.
-STEP = 1 << 20
-LIMIT = 32 << 20
-BASE = 1 << 24
+#: Items handled at a time.
+STEP = 1 << 19
+#: Bytes of a queue held in memory, and of an array above which it lies in a file.
+LIMIT = 16 << 20
+#: Names up to which they are sorted in memory.
+BASE = 1 << 20
+#: Into how many parts of about equal weight a pass deals symbols, and what they should weigh at least.
+PARTS, LEAST = 512, 4096
+FAR = np.iinfo(np.int64).max
+
+Emit = Callable[[np.ndarray], None]
+
+
+def scratch(n: int, kind, fill: int | None = None, limit: int | None = None) -> np.ndarray:
+    """An array in memory if it is short, else in a file without name."""
+    limit = LIMIT if limit is None else limit
+    if n * np.dtype(kind).itemsize <= limit:
+        out = np.empty(n, kind)
+    else:
+        with tempfile.TemporaryFile() as file:
+            file.truncate(n * np.dtype(kind).itemsize)
+            out = np.memmap(file, kind, "r+", shape=(n,))
+    if fill is not None:
+        for a in range(0, n, STEP):
+            out[a : a + STEP] = fill
+    return out
+
+
+class Tape:
+    """Entries written one after another and then read as an array."""
+
+    def __init__(self, limit: int | None = None) -> None:
+        self.limit, self.parts, self.held, self.count, self.file = LIMIT if limit is None else limit, [], 0, 0, None
+
+    def write(self, entries_: np.ndarray) -> None:
+        self.parts.append(entries_)
+        self.held += entries_.nbytes
+        self.count += len(entries_)
+        if self.held > self.limit:
+            self.file = self.file or tempfile.TemporaryFile()
+            self._flush()
+
+    def _flush(self) -> None:
+        for part in self.parts:
+            self.file.write(np.ascontiguousarray(part).data)
+        self.parts, self.held = [], 0
+
+    def read(self) -> np.ndarray:
+        if self.file is None:
+            return joined(self.parts)
+        self._flush()
+        self.file.flush()
+        with self.file:
+            return np.memmap(self.file, ENTRY, "r", shape=(self.count,))
 
 
 class DiskQueue:
-    """A priority queue of entries by symbol; entries of one symbol leave in the order they came."""
+    """A priority queue of entries by symbol, or part of the symbols; entries of one leave in the order they came."""
 
-    def __init__(self, limit: int = LIMIT) -> None:
-        self.limit, self.held = limit, 0
+    def __init__(self, limit: int | None = None) -> None:
+        self.limit, self.held = LIMIT if limit is None else limit, 0
         self.parts: dict[int, list] = {}
         self.file = None
 
@@ -52,7 +107,7 @@ class DiskQueue:
         for parts in self.parts.values():
             at = next((k for k, p in enumerate(parts) if isinstance(p, np.ndarray)), len(parts))
             if at < len(parts):
-                run = np.concatenate(parts[at:])
+                run = joined(parts[at:])
                 self.file.seek(0, 2)
                 where = self.file.tell()
                 run.tofile(self.file)
@@ -61,15 +116,26 @@ class DiskQueue:
 
     def pop(self, symbol: int) -> Iterator[np.ndarray]:
         """Take out the entries that wait under a symbol now, some at a time."""
+        held, count = [], 0
         for part in self.parts.pop(symbol, ()):
             if isinstance(part, np.ndarray):
                 self.held -= part.nbytes
-                yield from (part[k : k + STEP] for k in range(0, len(part), STEP))
+                pieces = (part[k : k + STEP] for k in range(0, len(part), STEP))
             else:
-                where, count = part
-                for k in range(0, count, STEP):
-                    self.file.seek(where + k * ENTRY.itemsize)
-                    yield np.fromfile(self.file, ENTRY, min(STEP, count - k))
+                pieces = self._stored(*part)
+            for piece in pieces:
+                if held and count + len(piece) > STEP:
+                    yield joined(held)
+                    held, count = [], 0
+                held.append(piece)
+                count += len(piece)
+        if held:
+            yield held[0] if len(held) == 1 else joined(held)
+
+    def _stored(self, where: int, count: int) -> Iterator[np.ndarray]:
+        for k in range(0, count, STEP):
+            self.file.seek(where + k * ENTRY.itemsize)
+            yield np.fromfile(self.file, ENTRY, min(STEP, count - k))
 
     def close(self) -> None:
         self.parts.clear()
@@ -77,6 +143,11 @@ class DiskQueue:
             self.file.close()
 
 
+def joined(parts: list[np.ndarray]) -> np.ndarray:
+    """Entries laid end to end, as plain numbers, which is much faster for many short parts."""
+    return np.concatenate([np.empty(0, np.int64), *(np.ascontiguousarray(p).view(np.int64) for p in parts)]).view(ENTRY)
+
+
 def entries(places: np.ndarray, common: np.ndarray) -> np.ndarray:
     out = np.empty(len(places), ENTRY)
     out["place"], out["common"] = places, common
@@ -97,103 +168,291 @@ def range_minimum(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
     return out
 
 
-class Inducer:
-    """One pass of induction: what a processed suffix induces goes to the queue with its common prefix."""
+def run_lengths(text: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """How many equal symbols stand from each of some places on."""
+    out = np.ones(len(places), np.int64)
+    live, own = np.arange(len(places)), text[places]
+    while len(live) > 8 or (len(live) and out[live].max() < 64):
+        at = places[live] + out[live]
+        same = (at < len(text)) & (text[np.minimum(at, len(text) - 1)] == own[live])
+        live = live[same]
+        out[live] += 1
+    for k in live.tolist():  # few long runs
+        at = int(places[k] + out[k])
+        while at < len(text):
+            differ = np.flatnonzero(text[at : at + STEP] != own[k])
+            at += int(differ[0]) if len(differ) else len(text[at : at + STEP])
+            if len(differ):
+                break
+        out[k] = at - places[k]
+    return out
+
 
-    def __init__(self, text: np.ndarray, symbols: int, limit: int) -> None:
-        self.text, self.queue = text, DiskQueue(limit)
-        self.since = np.full(symbols, -1, np.int64)  # least common prefix since the last entry under each symbol; -1: none yet
+class Pass:
+    """One pass of induction, upwards (L suffixes) or downwards (S suffixes) through the symbols.
 
-    def feed(self, batch: np.ndarray, accept) -> None:
-        """Process suffixes in order. ``accept(before, first)`` tells which are induced from symbols before and at their place."""
-        place, common = batch["place"], batch["common"]
+    ``cuts``: the first symbol of each part, and the end. ``fixed(part)`` gives the suffixes of a part that are known
+    beforehand, in the order of the pass, each with the prefix it has in common with the one before; under each symbol
+    they come after the induced ones. ``emit`` takes the induced suffixes and, if ``both``, the fixed ones too.
+    """
+
+    def __init__(self, text: np.ndarray, cuts: np.ndarray, up: bool, fixed: Callable[[int], Iterator[np.ndarray]], emit: Emit, both: bool, limit: int) -> None:
+        self.text, self.cuts, self.up, self.fixed, self.emit, self.both = text, cuts, up, fixed, emit, both
+        self.queue, self.sign = DiskQueue(limit), 1 if up else -1
+        symbols = int(cuts[-1])
+        self.turn = scratch(symbols, np.int64, -1)  # the step in which each symbol got its last entry
+        self.rest = scratch(symbols, np.int64, FAR)  # least common prefix after that entry, to the end of that step
+        self.step, self.marks, self.least = 0, [], []  # later steps: the least common prefix from a mark to now rises from mark to mark
+
+    def _since(self, symbol: np.ndarray) -> np.ndarray:
+        """Least common prefix since each symbol's last entry; -1: none yet."""
+        turn = self.turn[symbol]
+        out = np.asarray(self.rest[symbol]).copy()
+        if self.marks:
+            k = np.searchsorted(np.array(self.marks), turn, side="right")
+            later = np.array([*self.least, FAR])
+            out = np.minimum(out, later[k])
+        return np.where(turn < 0, -1, out)
+
+    def feed(self, place: np.ndarray, common: np.ndarray, first: np.ndarray, strict: np.ndarray | bool) -> None:
+        """Process suffixes in order; ``first``: their symbols; ``strict``: which ones induce no equal symbol."""
         if not len(place):
             return
-        inner = place > 0
-        before = np.where(inner, self.text[place - 1], 0)
-        fit = np.flatnonzero(inner & (before > 0) & accept(before, self.text[place]))
+        before = np.where(place > 0, self.text[np.maximum(place, 1) - 1], 0).astype(first.dtype)
+        ahead = (before > first) if self.up else (before < first)
+        fit = np.flatnonzero((before > 0) & (ahead | ((before == first) & ~np.asarray(strict))))
         lowest = int(common.min())
-        if not len(fit):
-            live = self.since >= 0
-            self.since[live] = np.minimum(self.since[live], lowest)
-            return
-        symbol = before[fit]
-        by = np.argsort(symbol, kind="stable")
-        fit, symbol = fit[by], symbol[by]
-        first = np.ones(len(fit), bool)
-        first[1:] = symbol[1:] != symbol[:-1]
-        last = np.append(first[1:], True)
-        low = np.where(first, 0, np.append(0, fit[:-1] + 1))
-        least = range_minimum(common, low, fit)
-        heads = np.flatnonzero(first)
-        earlier = self.since[symbol[heads]]
-        least[heads] = np.where(earlier < 0, -1, np.minimum(earlier, least[heads]))
-        made = entries(place[fit] - 1, least + 1)
-        live = self.since >= 0
-        self.since[live] = np.minimum(self.since[live], lowest)
-        ends = np.flatnonzero(last)
-        tail = fit[ends] + 1
-        rest = np.full(len(ends), np.iinfo(np.int64).max)
-        inside = tail < len(common)
-        rest[inside] = range_minimum(common, tail[inside], np.full(int(inside.sum()), len(common) - 1))
-        self.since[symbol[ends]] = rest
-        for a, b in zip(heads, ends + 1):
-            self.queue.push(int(symbol[a]), made[a:b])
-
-
-def _run_lengths(text: np.ndarray) -> np.ndarray:
-    """How many equal symbols stand from each place on (separators: one)."""
-    change = np.flatnonzero(np.append((text[1:] != text[:-1]) | (text[1:] == 0), True))
-    ends = change[np.searchsorted(change, np.arange(len(text)))]
-    return (ends - np.arange(len(text)) + 1).astype(text.dtype)
+        if len(fit):
+            symbol = before[fit]
+            by = np.argsort(symbol, kind="stable")
+            fit, symbol = fit[by], symbol[by].astype(np.int64)
+            head = np.append(True, symbol[1:] != symbol[:-1])
+            low = np.where(head, 0, np.append(0, fit[:-1] + 1))
+            least = range_minimum(common, low, fit)
+            heads = np.flatnonzero(head)
+            earlier = self._since(symbol[heads])
+            least[heads] = np.where(earlier < 0, -1, np.minimum(earlier, least[heads]))
+            made = entries(place[fit] - 1, least + 1)
+            tails = np.append(heads[1:], len(fit)) - 1
+            after = fit[tails] + 1
+            rest = np.full(len(tails), FAR)
+            inside = after < len(common)
+            rest[inside] = np.minimum.accumulate(common[::-1])[::-1][after[inside]]
+            self.turn[symbol[heads]], self.rest[symbol[heads]] = self.step, rest
+            part = np.searchsorted(self.cuts, symbol[heads], side="right") - 1
+            starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            for k, a, b in zip(part[starts].tolist(), heads[starts].tolist(), [*heads[starts[1:]].tolist(), len(fit)]):
+                self.queue.push(k, made[a:b])
+        while self.least and self.least[-1] >= lowest:
+            self.least.pop()
+            self.marks.pop()
+        self.least.append(lowest)
+        self.marks.append(self.step)
+        self.step += 1
+
+    def run(self) -> None:
+        parts = range(len(self.cuts) - 1)
+        for part in parts if self.up else reversed(parts):
+            if self.cuts[part + 1] - self.cuts[part] == 1:
+                self._one_symbol(part, int(self.cuts[part]))
+            else:
+                self._many_symbols(part)
+        self.queue.close()
+
+    def _one_symbol(self, part: int, symbol: int) -> None:
+        last = None
+        while part in self.queue.parts:
+            for batch in self.queue.pop(part):
+                last = batch["place"][-1:]
+                self.emit(batch)
+                self._feed_one(batch, symbol, False)
+        for batch in self.fixed(part):
+            if last is not None and len(batch):
+                batch = batch.copy()
+                batch["common"][0] = run_lengths(self.text, np.append(last, batch["place"][0])).min()
+                last = None
+            if self.both:
+                self.emit(batch)
+            self._feed_one(batch, symbol, True)
+
+    def _feed_one(self, batch: np.ndarray, symbol: int, strict: bool) -> None:
+        place = batch["place"]
+        self.feed(place, batch["common"], np.full(len(place), symbol, np.int64), strict)
+
+    def _sorted(self, batch: np.ndarray) -> np.ndarray:
+        return batch[np.argsort(self.sign * self.text[batch["place"]].astype(np.int64), kind="stable")]
+
+    def _many_symbols(self, part: int) -> None:
+        wait = self._sorted(joined(list(self.queue.pop(part))))
+        known = joined(list(self.fixed(part)))
+        while len(wait) or len(known):
+            every = joined([wait, known])
+            is_known = np.arange(len(every)) >= len(wait)
+            key = self.sign * self.text[every["place"]].astype(np.int64)
+            by = np.argsort(2 * key + is_known, kind="stable")
+            every, is_known, key = every[by], is_known[by], key[by]
+            place = every["place"]
+            before = np.where(place > 0, self.text[np.maximum(place, 1) - 1], 0).astype(np.int64)
+            induced = self.sign * before
+            target = np.where((before > 0) & ((induced > key) | ((induced == key) & ~is_known)), induced, FAR)
+            clash = np.flatnonzero(np.minimum.accumulate(target) <= key)
+            n = int(np.searchsorted(key, key[clash[0]])) if len(clash) else len(every)
+            if n:
+                self._take(every[:n], key[:n], is_known[:n])
+            else:  # the first symbol stands before itself: its induced entries come in rounds
+                n = int(np.searchsorted(key, key[0], side="right"))
+                self._alone(part, every[:n][~is_known[:n]], every[:n][is_known[:n]], int(self.sign * key[0]))
+            wait, known = every[n:][~is_known[n:]], every[n:][is_known[n:]]
+            fresh = list(self.queue.pop(part))
+            if fresh:
+                wait = self._sorted(joined([wait, *fresh]))
+
+    def _take(self, every: np.ndarray, key: np.ndarray, is_known: np.ndarray) -> None:
+        """Whole symbols in order, none of which induces into another."""
+        border = np.flatnonzero(is_known[1:] & ~is_known[:-1] & (key[1:] == key[:-1])) + 1
+        if len(border):
+            runs = run_lengths(self.text, every["place"][np.append(border - 1, border)])
+            every["common"][border] = np.minimum(runs[: len(border)], runs[len(border) :])
+        self.emit(every if self.both else every[~is_known])
+        self.feed(every["place"], every["common"], self.sign * key, is_known)
+
+    def _alone(self, part: int, induced: np.ndarray, known: np.ndarray, symbol: int) -> None:
+        last, others = None, []
+        while len(induced):
+            last = induced["place"][-1:]
+            self.emit(induced)
+            self._feed_one(induced, symbol, False)
+            fresh = joined(list(self.queue.pop(part)))
+            own = self.text[fresh["place"]] == symbol
+            others.append(fresh[~own])
+            induced = fresh[own]
+        if len(known):
+            if last is not None:
+                known["common"][0] = run_lengths(self.text, np.append(last, known["place"][0])).min()
+            if self.both:
+                self.emit(known)
+            self._feed_one(known, symbol, True)
+        for other in others[::-1]:  # before what the known ones have pushed since
+            if len(other):
+                self.queue.parts[part] = [other, *self.queue.parts.get(part, [])]
+                self.queue.held += other.nbytes
 
 
 def _types(text: np.ndarray) -> np.ndarray:
-    """True for S suffixes; a separator, also the one that ends the text, is S."""
-    follow = np.append(text[1:], 0)
-    differ = (text != follow) | (text == 0)
-    smaller = (text < follow) | (text == 0)
-    at = np.flatnonzero(differ)
-    return smaller[at[np.minimum(np.searchsorted(at, np.arange(len(text))), len(at) - 1)]]
+    """1 for S suffixes; a separator is S."""
+    n = len(text)
+    small = scratch(n, np.uint8)
+    carry, follow = 1, 0  # type and symbol of what comes after the chunk
+    for a in range((n - 1) // STEP * STEP, -1, -STEP):
+        own = np.append(text[a : a + STEP], follow)
+        here, after = own[:-1], own[1:]
+        less, differ = (here < after) | (here == 0), (here != after) | (here == 0)
+        at = np.append(np.flatnonzero(differ), len(here))
+        kinds = np.append(less[differ], bool(carry))
+        part = kinds[np.searchsorted(at, np.arange(len(here)))]
+        small[a : a + len(here)] = part
+        carry, follow = int(part[0]), int(here[0])
+    return small
+
+
+def _stars(text: np.ndarray, small: np.ndarray) -> np.ndarray:
+    """The S* places; every separator is one."""
+    found = []
+    for a in range(0, len(text), STEP):
+        own = small[a : a + STEP]
+        before = np.append(small[a - 1] if a else 1, own[:-1])
+        found.append(a + np.flatnonzero((own == 1) & ((before == 0) | (text[a : a + STEP] == 0))))
+    out = scratch(sum(map(len, found)), np.int64)
+    at = 0
+    for part in found:
+        out[at : at + len(part)] = part
+        at += len(part)
+    return out
 
 
-def _names(text: np.ndarray, small: np.ndarray, star: np.ndarray) -> tuple[np.ndarray, int]:
+class Names:
     """Names of the substrings from each S* place to the next, in their order; separators' own come first."""
-    count = len(star)
-    units = 2 * text.astype(np.uint64) + small
-    ends = np.append(star[1:], len(text) - 1)  # both ends belong to the substring
-    separators = text[star] == 0
-    names = np.zeros(count, np.int64)
-    names[separators] = np.arange(int(separators.sum()))
-    base = int(separators.sum())
-    open_ = np.flatnonzero(~separators)
-    rank = np.zeros(count, np.int64)
-    offset = 0
-    live = open_
-    while len(live):
-        key = np.zeros(len(live), np.uint64)
+
+    def __init__(self, text: np.ndarray, small: np.ndarray, star: np.ndarray, room: int) -> None:
+        self.text, self.small, self.star, self.room = text, small, star, room
+        self.names = scratch(len(star), np.int64)
+        self.kinds = 0
+        rest = []
+        for a in range(0, len(star), STEP):
+            zero = text[star[a : a + STEP]] == 0
+            own = self.names[a : a + STEP]
+            own[zero] = self.kinds + np.arange(int(zero.sum()))
+            self.kinds += int(zero.sum())
+            rest.append(a + np.flatnonzero(~zero))
+        which = scratch(sum(map(len, rest)), np.int64)
+        at = 0
+        for part in rest:
+            which[at : at + len(part)] = part
+            at += len(part)
+        self._divide(which, 0)
+
+    def _keys(self, which: np.ndarray, offset: int) -> np.ndarray:
+        """Two symbols with their types at an offset, 0 beyond the end (both ends belong to a substring)."""
+        start = self.star[which] + offset
+        end = self.star[np.minimum(which + 1, len(self.star) - 1)]
+        end = np.where(which + 1 < len(self.star), end, len(self.text) - 1)
+        key = np.zeros(len(which), np.uint64)
         for k in range(2):
-            at = star[live] + offset + k
-            key = (key << np.uint64(32)) | np.where(at <= ends[live], units[np.minimum(at, len(text) - 1)] + np.uint64(1), np.uint64(0))
-        order = np.lexsort((key, rank[live]))
-        r, v = rank[live][order], key[order]
-        fresh = np.append(True, (r[1:] != r[:-1]) | (v[1:] != v[:-1]))
-        where = np.arange(len(live))
-        group = np.maximum.accumulate(np.where(fresh, where, 0))
-        old = np.append(True, r[1:] != r[:-1])
-        old_start = np.maximum.accumulate(np.where(old, where, 0))
-        rank[live[order]] = r + group - old_start
-        offset += 2
-        size = np.bincount(np.cumsum(fresh) - 1)
-        alone = np.repeat(size == 1, size)
-        again = order[~alone]
-        live = live[np.sort(again)]
-        live = live[star[live] + offset <= ends[live]]
-    if len(open_):
-        distinct, inverse = np.unique(rank[open_], return_inverse=True)
-        names[open_] = base + inverse
-        return names, base + len(distinct)
-    return names, base
+            at = np.minimum(start + k, len(self.text) - 1)
+            unit = 2 * self.text[at].astype(np.uint64) + self.small[at] + np.uint64(1)
+            key = (key << np.uint64(32)) | np.where(start + k <= end, unit, np.uint64(0))
+        return key
+
+    def _divide(self, which: np.ndarray, offset: int) -> None:
+        """Deal substrings that agree up to an offset by their next symbols until parts fit in memory."""
+        if len(which) <= self.room:
+            self._settle(np.asarray(which), offset)
+            return
+        drawn = np.unique(self._keys(which[np.linspace(0, len(which) - 1, 4096).astype(np.int64)], offset))
+        drawn = drawn[:: max(1, len(drawn) // 64)]
+        edges = np.unique(np.concatenate([drawn, drawn + np.uint64(1)]))
+        counts = np.zeros(len(edges) + 1, np.int64)
+        for a in range(0, len(which), STEP):
+            counts += np.bincount(np.searchsorted(edges, self._keys(which[a : a + STEP], offset), side="right"), minlength=len(counts))
+        dealt, at = scratch(len(which), np.int64), np.cumsum(counts) - counts
+        spot = at.copy()
+        for a in range(0, len(which), STEP):
+            own = which[a : a + STEP]
+            part = np.searchsorted(edges, self._keys(own, offset), side="right")
+            by = np.argsort(part, kind="stable")
+            where = np.repeat(spot - (np.cumsum(n := np.bincount(part, minlength=len(counts))) - n), n) + np.arange(len(own))
+            dealt[where] = own[by]
+            spot += n
+        single = np.append(False, np.append(edges[1:] == edges[:-1] + np.uint64(1), False))
+        for k in np.flatnonzero(counts).tolist():
+            part = dealt[at[k] : at[k] + counts[k]]
+            if single[k] and edges[k - 1] & np.uint64(0xFFFFFFFF) == 0:  # all of them end here
+                for a in range(0, len(part), STEP):
+                    self.names[part[a : a + STEP]] = self.kinds
+                self.kinds += 1
+            else:
+                self._divide(part, offset + 2 * bool(single[k]))
+
+    def _settle(self, which: np.ndarray, offset: int) -> None:
+        if not len(which):
+            return
+        rank, live = np.zeros(len(which), np.int64), np.arange(len(which))
+        while len(live):
+            key = self._keys(which[live], offset)
+            order = np.lexsort((key, rank[live]))
+            r, v = rank[live][order], key[order]
+            old = np.append(True, r[1:] != r[:-1])
+            fresh = old | np.append(True, v[1:] != v[:-1])
+            where = np.arange(len(live))
+            group, start = (np.maximum.accumulate(np.where(f, where, 0)) for f in (fresh, old))
+            rank[live[order]] = r + group - start
+            offset += 2
+            size = np.bincount(np.cumsum(fresh) - 1)
+            open_ = np.repeat(size > 1, size) & (v & np.uint64(0xFFFFFFFF) != 0)
+            live = live[np.sort(order[open_])]
+        distinct, inverse = np.unique(rank, return_inverse=True)
+        self.names[which] = self.kinds + inverse
+        self.kinds += len(distinct)
 
 
 def _doubled(names: np.ndarray) -> np.ndarray:
@@ -226,97 +485,129 @@ def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray) -
     return out
 
 
-def _sorted_stars(text: np.ndarray, small: np.ndarray, star: np.ndarray, base: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+def _sorted_stars(text: np.ndarray, base: int, limit: int) -> np.ndarray:
     """The S* places in suffix order, each with the prefix it has in common with the one before."""
-    names, kinds = _names(text, small, star)
-    if kinds == len(names):
-        order, same = np.argsort(names, kind="stable"), np.zeros(len(names), np.int64)
-    elif len(names) <= base:
+    small = _types(text)
+    star = _stars(text, small)
+    named = Names(text, small, star, max(base, 1))
+    names, n = named.names, len(star)
+    if named.kinds == n:
+        order, same = scratch(n, np.int64), None
+        for a in range(0, n, STEP):
+            order[names[a : a + STEP]] = np.arange(a, min(n, a + STEP))
+    elif n <= base:
+        names = np.asarray(names)
         order = _doubled(names)
-        same = _common(names + 1, order[:-1], order[1:], np.zeros(len(names) - 1, np.int64))
-        same = np.append(0, same)
+        same = np.append(0, _common(names + 1, order[:-1], order[1:], np.zeros(n - 1, np.int64)))
     else:  # names of separators are all different, so one separator at the end suffices
-        order, same = suffix_array(np.append(names + 1, 0), base, limit)
-        order, same = order[1:], same[1:]
-    places = star[order]
-    if len(places) > 1:
-        after = np.append(star, len(text))
-        k = np.minimum(order[1:] + same[1:], len(star) - 1)
-        agreed = np.where(same[1:] > 0, after[k] - places[1:], 0)
-        same = np.append(0, _common(text, places[:-1], places[1:], agreed))
-    else:
-        same = np.zeros(len(places), np.int64)
-    return places, same
+        reduced = scratch(n + 1, np.int32 if named.kinds < 1 << 31 else np.int64)
+        for a in range(0, n, STEP):
+            reduced[a : min(n, a + STEP)] = names[a : a + STEP] + 1
+        reduced[n] = 0
+        tape = Tape(limit)
+        induce(reduced, tape.write, base, limit)
+        down = tape.read()[:n]  # largest first, each with what it shares with the one before; the separator comes last
+        order, same = scratch(n, np.int64), scratch(n, np.int64)
+        for a in range(0, n, STEP):
+            part = down[a : a + STEP]
+            order[n - a - len(part) : n - a] = part["place"][::-1]
+            upper = part["common"][::-1]
+            to = n - a - len(part) + 1  # what an entry shares with the next larger one belongs to that one
+            same[to : min(n, to + len(part))] = upper[: min(n, to + len(part)) - to]
+        same[0] = 0
+    out = scratch(n, ENTRY)
+    last = len(star) - 1
+    for a in range(0, n, STEP):
+        own = np.asarray(order[a : a + STEP])
+        places = star[own]
+        out["place"][a : a + STEP] = places
+        left = np.append(star[order[a - 1]] if a else places[0], places[:-1])
+        shared = np.zeros(len(own), np.int64) if same is None else np.asarray(same[a : a + STEP])
+        k = own + shared
+        ends = np.where(k <= last, star[np.minimum(k, last)], len(text))
+        common = _common(text, left, places, np.where(shared > 0, np.minimum(ends, star[np.minimum(k, last)]) - places, 0))
+        if not a:
+            common[:1] = 0
+        out["common"][a : a + STEP] = common
+    return out
+
+
+def _parts(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First symbols of parts of about equal weight, the separator and every frequent symbol alone; and all symbols' counts."""
+    counts = np.zeros(1, np.int64)
+    for a in range(0, len(text), STEP):
+        own = np.bincount(text[a : a + STEP])
+        if len(own) > len(counts):
+            counts = np.append(counts, np.zeros(len(own) - len(counts), np.int64))
+        counts[: len(own)] += own
+    share = max(1, min(max(len(text) // PARTS, LEAST), STEP))
+    heavy = np.flatnonzero(counts >= share)
+    light = np.cumsum(np.where(counts < share, counts, 0)) // share
+    steps = np.flatnonzero(light[1:] != light[:-1]) + 1
+    cuts = np.unique(np.concatenate([[0, 1, len(counts)], heavy, heavy + 1, steps]))
+    return cuts[cuts <= len(counts)], counts
 
 
-def suffix_array(text: np.ndarray, base: int = BASE, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all suffixes in order, and the prefix that each has in common with the one before.
+def induce(text: np.ndarray, emit: Emit, base: int | None = None, limit: int | None = None) -> None:
+    """Hand over all suffixes, largest first, each with the prefix that it has in common with the one before.
 
-    ``text`` must end in a separator (0). ``base``: up to how many names the reduced sequence is
-    sorted in memory; ``limit``: bytes of a queue held in memory.
+    ``text`` must end in a separator (0). ``base``: up to how many names are sorted in memory;
+    ``limit``: bytes of a queue held in memory.
     """
-    text = np.asarray(text)
+    base, limit = BASE if base is None else base, LIMIT if limit is None else limit
     if len(text) == 1:
-        return np.zeros(1, np.int64), np.zeros(1, np.int64)
-    text = text.astype(np.int32 if len(text) < 1 << 31 else np.int64)
-    small = _types(text)
-    star = np.flatnonzero(small & np.append(False, ~small[:-1] | (text[1:] == 0)))
-    if small[0] and text[0] == 0:
-        star = np.append(0, star)
-    seeds, seed_common = _sorted_stars(text, small, star, base, limit)
-    run = _run_lengths(text)
-    present = np.unique(text)
-    symbols = int(present[-1]) + 1
-    head = text[seeds]
-    cut = {int(c): (a, b) for c, a, b in zip(present, np.searchsorted(head, present), np.searchsorted(head, present, side="right"))}
-
-    rising, larger = Inducer(text, symbols, limit), {}
-    for c in present.tolist():
-        done, last = [], None
-        while c in rising.queue.parts:
-            for batch in rising.queue.pop(c):
-                batch = batch.copy()
-                done.append(batch)
-                last = batch["place"][-1]
-                rising.feed(batch, lambda before, first: before >= first)
-        a, b = cut[c]
-        if b > a:
-            own = entries(seeds[a:b], seed_common[a:b])
-            own["common"][0] = 0 if last is None else min(run[last], run[seeds[a]])
-            for k in range(0, len(own), STEP):
-                rising.feed(own[k : k + STEP], lambda before, first: before > first)
-        larger[c] = np.concatenate(done) if done else np.empty(0, ENTRY)
-    rising.queue.close()
-
-    falling, parts = Inducer(text, symbols, limit), []
-    for c in present[::-1].tolist():
-        done, last = [], None
-        if c == 0:  # separators are their own order
-            ends = np.flatnonzero(text == 0)
-            parts.append((ends, np.zeros(len(ends), np.int64)))
-            continue
-        while c in falling.queue.parts:
-            for batch in falling.queue.pop(c):
-                batch = batch.copy()
-                done.append(batch)
-                last = batch["place"][-1]
-                falling.feed(batch, lambda before, first: before <= first)
-        downward = larger[c][::-1].copy()
-        below = downward["common"].copy()  # what each has in common with the next smaller one
-        if len(downward):
-            border = 0 if last is None else min(run[last], run[downward["place"][0]])
-            downward["common"] = np.append(border, below[:-1])
-            for k in range(0, len(downward), STEP):
-                falling.feed(downward[k : k + STEP], lambda before, first: before < first)
-        s = np.concatenate(done)[::-1] if done else np.empty(0, ENTRY)
-        places = np.concatenate([larger[c]["place"], s["place"]])
-        common = np.zeros(len(places), np.int64)
-        common[: len(downward)] = larger[c]["common"]
-        if len(s):
-            common[len(downward) + 1 :] = s["common"][:-1]  # they carry what they share with the next larger one
-            if len(downward):
-                common[len(downward)] = min(run[larger[c]["place"][-1]], run[s["place"][0]])
-        common[:1] = 0
-        parts.append((places, common))
-    falling.queue.close()
-    return np.concatenate([p for p, _ in parts[::-1]]), np.concatenate([c for _, c in parts[::-1]])
+        emit(entries(np.zeros(1, np.int64), np.zeros(1, np.int64)))
+        return
+    seeds = _sorted_stars(text, base, limit)
+    cuts, counts = _parts(text)
+    starts = np.zeros(len(counts) + 1, np.int64)
+    for a in range(0, len(seeds), STEP):
+        own = np.bincount(text[seeds["place"][a : a + STEP]], minlength=len(counts))
+        starts[1:] += own
+    starts = np.cumsum(starts)[cuts]
+
+    def stars(part: int) -> Iterator[np.ndarray]:
+        for a in range(int(starts[part]), int(starts[part + 1]), STEP):
+            batch = np.array(seeds[a : min(int(starts[part + 1]), a + STEP)])
+            if a == starts[part]:
+                batch["common"][0] = 0
+            yield batch
+
+    tape, ends = Tape(limit), np.zeros(len(cuts), np.int64)
+
+    def keep_larger(batch: np.ndarray) -> None:
+        tape.write(batch.copy())
+        first = int(np.searchsorted(cuts, int(text[batch["place"][0]]), side="right")) if len(batch) else 0
+        if len(batch):
+            ends[first] += len(batch)
+
+    Pass(text, cuts, True, stars, keep_larger, False, limit).run()
+    larger, ends = tape.read(), np.cumsum(ends)
+
+    def downwards(part: int) -> Iterator[np.ndarray]:
+        if not part:  # separators are their own order
+            return
+        low, high = int(ends[part]), int(ends[part + 1])
+        above = 0
+        for b in range(high, low, -STEP):
+            own = np.array(larger[max(low, b - STEP) : b])[::-1]
+            shared = own["common"].copy()
+            own["common"] = np.append(above, shared[:-1])
+            above = shared[-1]
+            yield own
+
+    Pass(text, cuts, False, downwards, emit, True, limit).run()
+    for b in range(len(text), 0, -STEP):
+        a = max(0, b - STEP)
+        zero = (a + np.flatnonzero(text[a:b] == 0))[::-1]
+        if len(zero):
+            emit(entries(zero, np.zeros(len(zero), np.int64)))
+
+
+def suffix_array(text: np.ndarray, base: int | None = None, limit: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all suffixes in order, and the prefix that each has in common with the one before, in memory."""
+    text = np.asarray(text)
+    tape = Tape(limit)
+    induce(text.astype(np.int32 if len(text) < 1 << 31 else np.int64), tape.write, base, limit)
+    down = tape.read()
+    return down["place"][::-1].copy(), np.append(0, down["common"][::-1][:-1])

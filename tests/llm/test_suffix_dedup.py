@@ -62,7 +62,7 @@ def test_against_brute_force(spark, size, chunk, monkeypatch):
     if chunk < 1 << 20:
         monkeypatch.setattr(sd, "CHUNK", chunk)
         texts = corpus(size)
-        own = sd.Segments([(t or "").encode() for t in texts], size)
+        own = sd.Segments([(t or "").encode() for t in texts], size, size // 2)
         covered = [s + k for s, n in zip(own.starts.tolist(), own.counts.tolist()) for k in range(n)]
         want = [e - len((t or "").encode()) + k for e, t in zip(own.ends.tolist(), texts) for k in range(max(0, len((t or "").encode()) - size + 1))]
         assert sorted(covered) == want
@@ -85,13 +85,55 @@ def test_repeated_windows():
     assert got.tolist() == want
 
 
-def test_shards_part_anchors_nowhere():
-    rng = np.random.default_rng(3)
-    anchors, lengths = rng.integers(0, 9, 60).astype(np.uint64), rng.integers(1, 40, 60)
-    shards = list(sd._shards(anchors, lengths, 100))
-    assert sorted(np.concatenate(shards).tolist()) == list(range(60))
-    assert sum(len(set(anchors[s].tolist())) for s in shards) == len(set(anchors.tolist()))
-    assert len(shards) > 3
+def test_anchor_sizes():
+    assert sd.anchor_sizes(200) == [100, 150, 175, 188, 194, 197, 199, 200]
+    assert all(sd.anchor_sizes(n)[-1] == n for n in range(2, 70))
+
+
+def test_levels_part_windows():
+    """Whatever anchors are hot, each window lies in one segment of one level, and equal windows share their anchor."""
+    texts, size = [(t or "").encode() for t in corpus(3)], 40
+    seen, allowed = np.zeros(sum(map(len, texts)), int), None
+    rng, anchor_of = random.Random(4), {}
+    hot = {}
+    for anchor in sd.anchor_sizes(size):
+        own = sd.Segments(texts, size, anchor, allowed)
+        last = anchor == size
+        flags = np.array([not last and hot.setdefault((anchor, a), rng.random() < 0.5) for a in own.anchors.tolist()], bool)
+        for k, (s, n) in enumerate(zip(own.starts.tolist(), own.counts.tolist())):
+            if not flags[own.which[k]]:
+                seen[s : s + n] += 1
+                for p in range(s, s + n):
+                    text = own.data[p : p + size].tobytes()
+                    assert anchor_of.setdefault(text, (anchor, own.anchors[own.which[k]])) == (anchor, own.anchors[own.which[k]])
+        allowed = own.windows_of(flags)
+    want = np.concatenate([np.arange(len(t)) < len(t) - size + 1 for t in texts])
+    assert (seen == want).all()
+
+
+def test_production_sorts_recurse_and_spill(monkeypatch):
+    """A shard of some megabytes goes through the queue's file, scratch files and recursion at the default sizes."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    passages = [" ".join(rng.choices(words, k=120)) for _ in range(300)]
+    texts = []
+    for k in range(6500):
+        own = rng.choice(passages).split()
+        for _ in range(2):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        texts.append(" ".join(own + rng.choices(words, k=30)).encode())
+    data, lengths = np.frombuffer(b"".join(texts), np.uint8), np.array(list(map(len, texts)))
+    calls, spills = [], []
+    whole, spill = sd.induced_sort.induce, sd.induced_sort.DiskQueue._spill
+    monkeypatch.setattr(sd.induced_sort, "induce", lambda text, *a: calls.append(len(text)) or whole(text, *a))
+    monkeypatch.setattr(sd.induced_sort.DiskQueue, "_spill", lambda self: spills.append(1) or spill(self))
+    got = sd.repeated_windows(data, lengths, 200)
+    assert len(calls) > 1 and calls[1] < calls[0] / 2 and spills
+    seen, names = Counter(), []
+    for t in texts:
+        names += [hash(t[i : i + 200]) if i + 200 <= len(t) else None for i in range(len(t))]
+    seen.update(n for n in names if n is not None)
+    assert got.tolist() == [n is not None and seen[n] > 1 for n in names]
 
 
 def test_whole_characters():
