@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -154,6 +155,14 @@ def entries(places: np.ndarray, common: np.ndarray) -> np.ndarray:
     return out
 
 
+def stable_order(keys: np.ndarray) -> np.ndarray:
+    """Stable argsort of keys from 0 on. Keys joined with their places are sorted as plain numbers, which is far faster."""
+    bits = max(1, len(keys) - 1).bit_length()
+    if not len(keys) or int(keys.max()) >= 1 << (62 - bits):
+        return np.argsort(keys, kind="stable")
+    return np.sort(keys.astype(np.int64) << bits | np.arange(len(keys))) & ((1 << bits) - 1)
+
+
 def range_minimum(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Least of values[low:high + 1] for each query, by tables of doubled width."""
     width = np.frexp((high - low + 1).astype(float))[1] - 1
@@ -198,7 +207,7 @@ class Pass:
 
     def __init__(self, text: np.ndarray, cuts: np.ndarray, up: bool, fixed: Callable[[int], Iterator[np.ndarray]], emit: Emit, both: bool, limit: int) -> None:
         self.text, self.cuts, self.up, self.fixed, self.emit, self.both = text, cuts, up, fixed, emit, both
-        self.queue, self.sign = DiskQueue(limit), 1 if up else -1
+        self.queue = DiskQueue(limit)
         symbols = int(cuts[-1])
         self.turn = scratch(symbols, np.int64, -1)  # the step in which each symbol got its last entry
         self.rest = scratch(symbols, np.int64, FAR)  # least common prefix after that entry, to the end of that step
@@ -224,7 +233,7 @@ class Pass:
         lowest = int(common.min())
         if len(fit):
             symbol = before[fit]
-            by = np.argsort(symbol, kind="stable")
+            by = stable_order(symbol)
             fit, symbol = fit[by], symbol[by].astype(np.int64)
             head = np.append(True, symbol[1:] != symbol[:-1])
             low = np.where(head, 0, np.append(0, fit[:-1] + 1))
@@ -280,7 +289,12 @@ class Pass:
         self.feed(place, batch["common"], np.full(len(place), symbol, np.int64), strict)
 
     def _sorted(self, batch: np.ndarray) -> np.ndarray:
-        return batch[np.argsort(self.sign * self.text[batch["place"]].astype(np.int64), kind="stable")]
+        return batch[stable_order(self._keys(batch["place"]))]
+
+    def _keys(self, place: np.ndarray) -> np.ndarray:
+        """Symbols, counted from the pass's last one if it goes down."""
+        symbol = self.text[place].astype(np.int64)
+        return symbol if self.up else int(self.cuts[-1]) - symbol
 
     def _many_symbols(self, part: int) -> None:
         wait = self._sorted(joined(list(self.queue.pop(part))))
@@ -288,12 +302,12 @@ class Pass:
         while len(wait) or len(known):
             every = joined([wait, known])
             is_known = np.arange(len(every)) >= len(wait)
-            key = self.sign * self.text[every["place"]].astype(np.int64)
-            by = np.argsort(2 * key + is_known, kind="stable")
+            key = self._keys(every["place"])
+            by = stable_order(2 * key + is_known)
             every, is_known, key = every[by], is_known[by], key[by]
             place = every["place"]
             before = np.where(place > 0, self.text[np.maximum(place, 1) - 1], 0).astype(np.int64)
-            induced = self.sign * before
+            induced = before if self.up else int(self.cuts[-1]) - before
             target = np.where((before > 0) & ((induced > key) | ((induced == key) & ~is_known)), induced, FAR)
             clash = np.flatnonzero(np.minimum.accumulate(target) <= key)
             n = int(np.searchsorted(key, key[clash[0]])) if len(clash) else len(every)
@@ -301,7 +315,7 @@ class Pass:
                 self._take(every[:n], key[:n], is_known[:n])
             else:  # the first symbol stands before itself: its induced entries come in rounds
                 n = int(np.searchsorted(key, key[0], side="right"))
-                self._alone(part, every[:n][~is_known[:n]], every[:n][is_known[:n]], int(self.sign * key[0]))
+                self._alone(part, every[:n][~is_known[:n]], every[:n][is_known[:n]], int(self.text[place[0]]))
             wait, known = every[n:][~is_known[n:]], every[n:][is_known[n:]]
             fresh = list(self.queue.pop(part))
             if fresh:
@@ -314,7 +328,7 @@ class Pass:
             runs = run_lengths(self.text, every["place"][np.append(border - 1, border)])
             every["common"][border] = np.minimum(runs[: len(border)], runs[len(border) :])
         self.emit(every if self.both else every[~is_known])
-        self.feed(every["place"], every["common"], self.sign * key, is_known)
+        self.feed(every["place"], every["common"], key if self.up else int(self.cuts[-1]) - key, is_known)
 
     def _alone(self, part: int, induced: np.ndarray, known: np.ndarray, symbol: int) -> None:
         last, others = None, []
@@ -375,6 +389,9 @@ class Names:
 
     def __init__(self, text: np.ndarray, small: np.ndarray, star: np.ndarray, room: int) -> None:
         self.text, self.small, self.star, self.room = text, small, star, room
+        top = max((int(text[a : a + STEP].max()) for a in range(0, len(text), STEP)), default=0)
+        self.bits = (2 * top + 2).bit_length()  # of a symbol with its type
+        self.units = max(1, min(6, 62 // self.bits))
         self.names = scratch(len(star), np.int64)
         self.kinds = 0
         rest = []
@@ -392,15 +409,15 @@ class Names:
         self._divide(which, 0)
 
     def _keys(self, which: np.ndarray, offset: int) -> np.ndarray:
-        """Two symbols with their types at an offset, 0 beyond the end (both ends belong to a substring)."""
+        """Some symbols with their types from an offset on, 0 beyond the end (both ends belong to a substring)."""
         start = self.star[which] + offset
         end = self.star[np.minimum(which + 1, len(self.star) - 1)]
         end = np.where(which + 1 < len(self.star), end, len(self.text) - 1)
-        key = np.zeros(len(which), np.uint64)
-        for k in range(2):
+        key = np.zeros(len(which), np.int64)
+        for k in range(self.units):
             at = np.minimum(start + k, len(self.text) - 1)
-            unit = 2 * self.text[at].astype(np.uint64) + self.small[at] + np.uint64(1)
-            key = (key << np.uint64(32)) | np.where(start + k <= end, unit, np.uint64(0))
+            unit = 2 * self.text[at].astype(np.int64) + self.small[at] + 1
+            key = (key << self.bits) | np.where(start + k <= end, unit, 0)
         return key
 
     def _divide(self, which: np.ndarray, offset: int) -> None:
@@ -410,7 +427,7 @@ class Names:
             return
         drawn = np.unique(self._keys(which[np.linspace(0, len(which) - 1, 4096).astype(np.int64)], offset))
         drawn = drawn[:: max(1, len(drawn) // 64)]
-        edges = np.unique(np.concatenate([drawn, drawn + np.uint64(1)]))
+        edges = np.unique(np.concatenate([drawn, drawn + 1]))
         counts = np.zeros(len(edges) + 1, np.int64)
         for a in range(0, len(which), STEP):
             counts += np.bincount(np.searchsorted(edges, self._keys(which[a : a + STEP], offset), side="right"), minlength=len(counts))
@@ -423,32 +440,32 @@ class Names:
             where = np.repeat(spot - (np.cumsum(n := np.bincount(part, minlength=len(counts))) - n), n) + np.arange(len(own))
             dealt[where] = own[by]
             spot += n
-        single = np.append(False, np.append(edges[1:] == edges[:-1] + np.uint64(1), False))
+        single = np.append(False, np.append(edges[1:] == edges[:-1] + 1, False))
         for k in np.flatnonzero(counts).tolist():
             part = dealt[at[k] : at[k] + counts[k]]
-            if single[k] and edges[k - 1] & np.uint64(0xFFFFFFFF) == 0:  # all of them end here
+            if single[k] and edges[k - 1] & ((1 << self.bits) - 1) == 0:  # all of them end here
                 for a in range(0, len(part), STEP):
                     self.names[part[a : a + STEP]] = self.kinds
                 self.kinds += 1
             else:
-                self._divide(part, offset + 2 * bool(single[k]))
+                self._divide(part, offset + self.units * bool(single[k]))
 
     def _settle(self, which: np.ndarray, offset: int) -> None:
         if not len(which):
             return
-        rank, live = np.zeros(len(which), np.int64), np.arange(len(which))
+        rank, live, start_at = np.zeros(len(which), np.int64), np.arange(len(which)), offset
         while len(live):
             key = self._keys(which[live], offset)
-            order = np.lexsort((key, rank[live]))
+            order = np.lexsort((key, rank[live])) if offset > start_at else np.argsort(key)
             r, v = rank[live][order], key[order]
             old = np.append(True, r[1:] != r[:-1])
             fresh = old | np.append(True, v[1:] != v[:-1])
             where = np.arange(len(live))
             group, start = (np.maximum.accumulate(np.where(f, where, 0)) for f in (fresh, old))
             rank[live[order]] = r + group - start
-            offset += 2
+            offset += self.units
             size = np.bincount(np.cumsum(fresh) - 1)
-            open_ = np.repeat(size > 1, size) & (v & np.uint64(0xFFFFFFFF) != 0)
+            open_ = np.repeat(size > 1, size) & (v & ((1 << self.bits) - 1) != 0)
             live = live[np.sort(order[open_])]
         distinct, inverse = np.unique(rank, return_inverse=True)
         self.names[which] = self.kinds + inverse
@@ -456,32 +473,50 @@ class Names:
 
 
 def _doubled(names: np.ndarray) -> np.ndarray:
-    """Sorted places of a sequence in memory, by prefix doubling."""
+    """Sorted places of a sequence in memory, by prefix doubling of those whose rank is still shared."""
     n = len(names)
-    rank = np.unique(names, return_inverse=True)[1].astype(np.int64)
+    order = np.argsort(names, kind="stable")
+    sorted_ = names[order]
+    head = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+    size = np.diff(np.append(head, n))
+    rank = np.empty(n, np.int64)
+    rank[order] = np.repeat(head, size)  # of equals, the first place in the order
+    spots = np.flatnonzero(np.repeat(size > 1, size))  # places of the order that aren't settled
     step = 1
-    while True:
-        key = rank * (n + 1)
-        key[: n - step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
-        fresh = np.append(False, key[order][1:] != key[order][:-1])
-        rank[order] = np.cumsum(fresh)
-        if rank[order[-1]] == n - 1:
-            return order
+    while len(spots):
+        live = order[spots]
+        own = rank[live]
+        after = np.where(live + step < n, rank[np.minimum(live + step, n - 1)] + 1, 0)
+        by = np.argsort(own * (n + 1) + after)
+        live, own, after = live[by], own[by], after[by]
+        order[spots] = live
+        fresh = np.append(True, (own[1:] != own[:-1]) | (after[1:] != after[:-1]))
+        head = np.flatnonzero(fresh)
+        size = np.diff(np.append(head, len(live)))
+        rank[live] = np.repeat(spots[head], size)
+        spots = spots[np.repeat(size > 1, size)]
         step *= 2
+    return order
 
 
 def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Common prefixes of pairs of suffixes of which ``known`` symbols are known to agree."""
+    """Common prefixes of pairs of suffixes of which ``known`` symbols are known to agree; wider steps for longer ones."""
     out = known.copy()
-    live = np.arange(len(a))
+    live, last = np.arange(len(a)), len(text) - 1
+    widths = chain((2, 4, 8), repeat(32))
     while len(live):
-        x, y = a[live] + out[live], b[live] + out[live]
-        fine = (x < len(text)) & (y < len(text))
-        live, x, y = live[fine], x[fine], y[fine]
-        same = (text[x] == text[y]) & (text[x] != 0)
-        live = live[same]
-        out[live] += 1
+        width = next(widths)
+        reach = np.arange(width)
+        held = []
+        for k in range(0, len(live), max(1, STEP // width)):
+            own = live[k : k + max(1, STEP // width)]
+            x, y = ((c[own] + out[own])[:, None] + reach for c in (a, b))
+            left, right = text[np.minimum(x, last)], text[np.minimum(y, last)]
+            differ = (left != right) | (left == 0) | (x > last) | (y > last)
+            found = differ.any(axis=1)
+            out[own] += np.where(found, differ.argmax(axis=1), width)
+            held.append(own[~found])
+        live = np.concatenate(held)
     return out
 
 

@@ -11,10 +11,11 @@ anchor make a segment; a segment's text is all that its windows cover.
 2. An anchor of more than ``hot`` different segments (the edge of a passage that a large part of
    all documents share) would gather in one shard. Its windows get longer anchors instead, again
    and again if need be, up to the whole window, which has one segment only.
-3. A shard writes its segments to a scratch file, finds equal ones by comparing their bytes, and
-   sorts the suffixes of the different ones by external induced sorting (``induced_sort``), in
-   memory that doesn't grow with the shard. A window is repeated if its suffix has ``size`` bytes
-   in common with a neighbour in that order, or if its segment came more than once.
+3. A shard writes its segments to a scratch file and finds equal ones by comparing their bytes. The
+   suffixes of all different ones that share their anchor with another are sorted together by
+   external induced sorting (``induced_sort``), in memory that doesn't grow with the shard. A window
+   is repeated if its suffix has ``size`` bytes in common with a neighbour in that order, or if its
+   segment came more than once.
 4. Each block learns, by a bit a segment and a bit a window of those it sent, what to remove.
 
 Windows are judged on the input, within one document each; overlaps count.
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adsieve.llm import induced_sort
-from adsieve.llm.blocks import buckets, dealt, from_planes, hash_ranges, in_blocks, mixed, range_edges, text_bytes, to_planes
+from adsieve.llm.blocks import dealt, from_planes, hash_ranges, in_blocks, mixed, range_edges, text_bytes, to_planes
 from adsieve.llm.storage import keep
 from adsieve.llm.word_windows import runs
 from adsieve.llm.words import sole
@@ -47,7 +48,7 @@ CODES = "block_id long, level int, bucket int, mask binary, hot boolean"
 SENT = "block_id long, level int, bucket int, n_bytes long, anchors binary, forms binary, times binary, lengths binary, texts binary"
 ANSWERS = "block_id long, level int, bucket int, mask binary"
 CHUNK = 1 << 18
-#: Bytes of segments that a shard should hold; whole anchors, and at least two shards for each partition.
+#: Bytes of segments that a shard should hold, if there are more shards than cores; whole anchors.
 SHARD = 16 << 20
 #: Different segments of one anchor beyond which its windows get longer anchors.
 HOT = 4096
@@ -310,19 +311,21 @@ class Shard:
             fresh[k] = text(by[k]) != text(by[k - 1])
         which = np.empty(len(by), np.int64)
         which[by] = np.cumsum(fresh) - 1
-        chosen = by[fresh]  # the different segments, each once
+        chosen = by[fresh]  # the different segments, each once, by anchor
         often = np.bincount(which, times) > 1
         own = lengths[chosen]
-        data = induced_sort.scratch(int(own.sum()), np.uint8)
-        places = np.cumsum(own) - own
-        for k, place in zip(chosen.tolist(), places.tolist()):
+        same = anchors[chosen][1:] == anchors[chosen][:-1]
+        several = np.append(False, same) | np.append(same, False)  # the only text of an anchor has none to be sorted with
+        sorted_ = np.flatnonzero(several)
+        data = induced_sort.scratch(int(own[sorted_].sum()), np.uint8)
+        places = np.cumsum(np.where(several, own, 0)) - np.where(several, own, 0)
+        for form in sorted_.tolist():
+            k, place = chosen[form], places[form]
             data[place : place + lengths[k]] = texts[starts[k] : starts[k] + lengths[k]]
-        hit = repeated_windows(data, own, size)
-        for form in np.flatnonzero(often).tolist():
-            hit[places[form] : places[form] + own[form]] = True
+        hit = repeated_windows(data, own[sorted_], size)
         at = 0
         for block, level, bucket, n in self.rows:
-            flags = np.concatenate([hit[places[f] : places[f] + own[f] - size + 1] for f in which[at : at + n].tolist()])
+            flags = np.concatenate([hit[places[f] : places[f] + own[f] - size + 1] if several[f] and not often[f] else np.full(own[f] - size + 1, often[f]) for f in which[at : at + n].tolist()])
             at += n
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([level], pa.int32()), pa.array([bucket], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())], ["block_id", "level", "bucket", "mask"])
         self.file.close()
@@ -431,9 +434,8 @@ def remove_repeats(docs: DataFrame, size: int = 200, id_column: str = "doc_id",
     told = table.join(_by_block(every, "masks").hint("shuffle_hash"), "block_id", "left")
     sent = keep(told.mapInArrow(_send(size, ranges, levels), SENT), "sent")
     volume = sent.agg(F.sum("n_bytes")).first()[0] or 0
-    tasks = max(buckets(spark), -(-volume // (2 * shard)))
-    shards = min(ranges, 2 * tasks)
-    placed = sent.withColumn("shard", F.floor(F.col("bucket").cast("long") * shards / ranges).cast("int")).repartition(tasks, "shard").sortWithinPartitions("shard")
+    shards = min(ranges, max(spark.sparkContext.defaultParallelism, -(-volume // shard)))
+    placed = sent.withColumn("shard", F.floor(F.col("bucket").cast("long") * shards / ranges).cast("int")).repartitionByRange(shards, "shard").sortWithinPartitions("shard")
     answers = _by_block(placed.mapInArrow(_sort(size), ANSWERS), "answers")
     final = told.join(answers.hint("shuffle_hash"), "block_id", "left")
     schema = RESULT
