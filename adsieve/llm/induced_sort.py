@@ -500,21 +500,21 @@ def _doubled(names: np.ndarray) -> np.ndarray:
 
 
 def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Common prefixes of pairs of suffixes of which ``known`` symbols are known to agree; wider steps for longer ones."""
+    """Common prefixes of pairs of suffixes of a text that ends in a separator; ``known`` symbols are known to agree."""
     out = known.copy()
-    live, last = np.arange(len(a)), len(text) - 1
-    widths = chain((2, 4, 8), repeat(32))
+    live = np.arange(len(a))
+    widths = chain((1, 2, 4, 8), repeat(16))
     while len(live):
-        width = next(widths)
+        width, held = next(widths), []
         reach = np.arange(width)
-        held = []
         for k in range(0, len(live), max(1, STEP // width)):
             own = live[k : k + max(1, STEP // width)]
-            x, y = ((c[own] + out[own])[:, None] + reach for c in (a, b))
-            left, right = text[np.minimum(x, last)], text[np.minimum(y, last)]
-            differ = (left != right) | (left == 0) | (x > last) | (y > last)
-            found = differ.any(axis=1)
-            out[own] += np.where(found, differ.argmax(axis=1), width)
+            shared = out[own]
+            left, right = (np.take(text, (c[own] + shared)[:, None] + reach, mode="clip") for c in (a, b))  # the last symbol is a separator
+            differ = (left != right) | (left == 0)
+            first = differ.argmax(axis=1)
+            found = differ[np.arange(len(own)), first]
+            out[own] = shared + np.where(found, first, width)
             held.append(own[~found])
         live = np.concatenate(held)
     return out
@@ -533,7 +533,8 @@ def _sorted_stars(text: np.ndarray, base: int, limit: int) -> np.ndarray:
     elif n <= base:
         names = np.asarray(names)
         order = _doubled(names)
-        same = np.append(0, _common(names + 1, order[:-1], order[1:], np.zeros(n - 1, np.int64)))
+        ended = np.append(names + 1, 0).astype(np.int32 if n < 1 << 31 else np.int64)
+        same = np.append(0, _common(ended, order[:-1], order[1:], np.zeros(n - 1, np.int64)))
     else:  # names of separators are all different, so one separator at the end suffices
         reduced = scratch(n + 1, np.int32 if named.kinds < 1 << 31 else np.int64)
         for a in range(0, n, STEP):
