@@ -1,16 +1,20 @@
 """Substring dedup by Rabin-Karp hashes of every fixed-length window of words.
 
-Every window of ``size`` consecutive words of one document has a polynomial hash of its words'
-64-bit hashes. Each block of documents sends its distinct window hashes, sorted, to one task for
-each hash range; there the hashes of all blocks are counted, and each block learns by one bit a
-hash whether an earlier block holds it. A window is repeated if its hash occurs before it in its
-own block or in an earlier one; repeated windows merge into maximal removal intervals.
+Every window of ``size`` consecutive words of one document has two polynomial hashes, to different
+bases, of its words' 64-bit hashes.
 
-Blocks follow (doc_id, start), so "earlier" needs no positions: a hash costs eight bytes of shuffle
-at most, the answer one bit. A window that a third of all documents share counts once a block.
+1. Each block of documents sends its distinct first hashes, sorted, to one task for each hash
+   range; there the hashes of all blocks are counted, and each block learns by one bit a hash
+   whether another block holds it too.
+2. For those alone, blocks send both hashes, and learn by one bit a pair whether an earlier block
+   holds it.
 
-Hashes have 64 bits: among n windows, n * n / 2 / 2**64 false repeats are expected (below 0.001 for
-a hundred million windows). Defined results: words are runs of characters other than ASCII white
+A window is repeated if its pair occurs before it in its own block or in an earlier one; repeated
+windows merge into maximal removal intervals. Blocks follow (doc_id, start), so "earlier" needs no
+positions. A window that a third of all documents share counts once a block.
+
+128 bits stand for a window: among n windows, n * n / 2 / 2**128 false repeats are expected (below
+1e-12 for 1e13 windows). Defined results: words are runs of characters other than ASCII white
 space; null and empty texts have none; a null id comes before all others; rows with one id are
 ordered by a hash of their text, so of equal rows all but one lose their windows; other columns
 are ignored; an empty table gives an empty result.
@@ -27,9 +31,10 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from adsieve.llm.blocks import ANSWER, ASKED, dealt, from_planes, hash_ranges, in_blocks, masks_by_block, mixed, range_edges, spread_masks, text_bytes, to_planes
+from adsieve.llm.storage import keep
 from adsieve.llm.words import slices, sole
 
-BASE = 0x9E3779B97F4A7C15
+BASE, SECOND = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 CACHE_WORDS = 500_000
 RESULT = "doc_id long, n_words long, n_removed long, removed array<struct<start:int,words:int>>, kept_text string"
 
@@ -58,7 +63,7 @@ def remember_words() -> None:
     sole(_HASHES)
 
 
-def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
+def window_hashes(words: np.ndarray, size: int, base_: int = BASE) -> np.ndarray:
     """The polynomial hash of every run of ``size`` values, by joining runs of doubled length."""
     total, base, run, length = None, 0, words, 1
     rest = size
@@ -70,13 +75,13 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
                 n = len(words) - base - length + 1
                 if n <= 0:
                     return np.zeros(0, np.uint64)
-                total = total[:n] * np.uint64(pow(BASE, length, 1 << 64)) + run[base : base + n]
+                total = total[:n] * np.uint64(pow(base_, length, 1 << 64)) + run[base : base + n]
                 base += length
         rest >>= 1
         if rest:
             if len(run) <= length:
                 return np.zeros(0, np.uint64)
-            run = run[:-length] * np.uint64(pow(BASE, length, 1 << 64)) + run[length:]
+            run = run[:-length] * np.uint64(pow(base_, length, 1 << 64)) + run[length:]
             length *= 2
     return mixed(total)
 
@@ -92,7 +97,28 @@ class Windows:
         ends = np.repeat(np.cumsum(self.lengths), self.lengths)[: len(every)]
         self.starts = np.flatnonzero(np.arange(len(every)) + size <= ends)
         self.words = len(words)
-        self.hashes = every[self.starts]
+        self.hashes, self._every_word, self.size = every[self.starts], words, size
+
+    def seconds(self, some: np.ndarray) -> np.ndarray:
+        """The second hashes of flagged windows."""
+        return window_hashes(mixed(self._every_word ^ np.uint64(SECOND)), self.size, SECOND)[self.starts[some]] if some.any() else np.zeros(0, np.uint64)
+
+
+class Pairs:
+    """The distinct pairs of hashes of flagged windows, sorted; ``which`` pair each such window has, and its first one."""
+
+    def __init__(self, own: Windows, some: np.ndarray) -> None:
+        one, two = own.hashes[some], own.seconds(some)
+        by = np.lexsort((two, one))
+        fresh = np.append(True, (one[by][1:] != one[by][:-1]) | (two[by][1:] != two[by][:-1]))[: len(by)]
+        self.which = np.empty(len(by), np.int64)
+        self.which[by] = np.cumsum(fresh) - 1
+        self.first = by[fresh]  # the sort is stable: the earliest window of the pair
+        self.one, self.two = one[self.first], two[self.first]
+
+
+def _cut(values: np.ndarray, edges: np.ndarray, live: np.ndarray) -> pa.Array:
+    return pa.array([to_planes(values[edges[r] : edges[r + 1]]) for r in live], pa.binary())
 
 
 def _ask(size: int, ranges: int):
@@ -103,24 +129,56 @@ def _ask(size: int, ranges: int):
                 distinct = np.unique(Windows(batch.column("texts")[k].as_py(), size).hashes)
                 edges = range_edges(distinct, ranges)
                 live = np.flatnonzero(np.diff(edges))
-                parts = [to_planes(distinct[edges[r] : edges[r + 1]]) for r in live]
                 block = np.full(len(live), batch.column("block_id")[k].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(live.astype(np.int32)), pa.array(parts, pa.binary())], ["block_id", "bucket", "hashes"])
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(live.astype(np.int32)), _cut(distinct, edges, live)], ["block_id", "bucket", "hashes"])
 
     return run
 
 
+def _answer(table: pa.Table, flags: np.ndarray, edges: np.ndarray) -> pa.Table:
+    masks = [np.packbits(flags[a:b]).tobytes() if flags[a:b].any() else None for a, b in zip(edges, edges[1:])]
+    out = pa.Table.from_arrays([table.column("block_id"), table.column("bucket"), pa.array(masks, pa.binary())], ["block_id", "bucket", "mask"])
+    return out.filter(pa.array([m is not None for m in masks]))
+
+
 def _count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """For each block's hashes of one range: does an earlier block hold them?"""
-    table = table.sort_by("block_id")
+    """For each block's hashes of one range: does another block hold them too?"""
     parts = [from_planes(h) for h in table.column("hashes").to_pylist()]
-    edges = np.cumsum([0, *map(len, parts)])
     every = np.concatenate(parts)
-    later = np.ones(len(every), bool)
-    later[np.unique(every, return_index=True)[1]] = False
-    masks = [np.packbits(later[a:b]).tobytes() if later[a:b].any() else None for a, b in zip(edges, edges[1:])]
-    out = pa.Table.from_arrays([table.column("block_id"), table.column("bucket"), pa.array(masks, pa.binary())], ["block_id", "bucket", "mask"])
-    return out.filter(pa.array([m is not None for m in masks]))
+    by = np.argsort(every)
+    same = every[by][1:] == every[by][:-1]
+    shared = np.zeros(len(every), bool)
+    shared[by] = np.append(False, same) | np.append(same, False)
+    return _answer(table, shared, np.cumsum([0, *map(len, parts)]))
+
+
+def _ask_pairs(size: int, ranges: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember_words()
+        for batch in batches:
+            for k in range(batch.num_rows):
+                own = Windows(batch.column("texts")[k].as_py(), size)
+                distinct, which = np.unique(own.hashes, return_inverse=True)
+                shared = spread_masks(batch.column("masks")[k].as_py(), range_edges(distinct, ranges))
+                pairs = Pairs(own, shared[which])
+                edges = range_edges(pairs.one, ranges)
+                live = np.flatnonzero(np.diff(edges))
+                block = np.full(len(live), batch.column("block_id")[k].as_py(), np.int64)
+                columns = [pa.array(block), pa.array(live.astype(np.int32)), _cut(pairs.one, edges, live), _cut(pairs.two, edges, live)]
+                yield pa.RecordBatch.from_arrays(columns, ["block_id", "bucket", "hashes", "seconds"])
+
+    return run
+
+
+def _count_pairs(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """For each block's pairs of one range: does an earlier block hold them?"""
+    table = table.sort_by("block_id")
+    parts = [from_planes(h) for h in table.column("hashes").to_pylist()]
+    one, two = np.concatenate(parts), np.concatenate([from_planes(h) for h in table.column("seconds").to_pylist()])
+    by = np.lexsort((two, one))  # stable: the earliest block first
+    later = np.zeros(len(one), bool)
+    later[by] = np.append(False, (one[by][1:] == one[by][:-1]) & (two[by][1:] == two[by][:-1]))
+    return _answer(table, later, np.cumsum([0, *map(len, parts)]))
 
 
 def covered(starts: np.ndarray, size: int, length: int) -> np.ndarray:
@@ -158,10 +216,15 @@ def _remove(size: int, ranges: int):
             for k in range(batch.num_rows):
                 texts = batch.column("texts")[k].as_py()
                 own = Windows(texts, size)
-                distinct, first, which = np.unique(own.hashes, return_index=True, return_inverse=True)
-                earlier = spread_masks(batch.column("masks")[k].as_py(), range_edges(distinct, ranges))
-                repeated = earlier[which]
-                repeated |= first[which] != np.arange(len(which))
+                distinct, which, times = np.unique(own.hashes, return_inverse=True, return_counts=True)
+                shared = spread_masks(batch.column("masks")[k].as_py(), range_edges(distinct, ranges))
+                doubtful = (shared | (times > 1))[which]
+                pairs = Pairs(own, doubtful)
+                asked = np.flatnonzero(shared[np.searchsorted(distinct, pairs.one)])  # as they were sent
+                earlier = np.zeros(len(pairs.one), bool)
+                earlier[asked] = spread_masks(batch.column("pair_masks")[k].as_py(), range_edges(pairs.one[asked], ranges))
+                repeated = np.zeros(len(own.hashes), bool)
+                repeated[doubtful] = earlier[pairs.which] | (pairs.first[pairs.which] != np.arange(len(pairs.which)))
                 gone = covered(own.starts[repeated], size, own.words)
                 rows, at = [], 0
                 for doc, text, n in zip(batch.column("doc_ids")[k].as_py(), texts, own.lengths.tolist()):
@@ -180,9 +243,11 @@ def remove_repeats(docs: DataFrame, size: int = 20, id_column: str = "doc_id", t
     total = 2 * text_bytes(table)  # of hashes: eight bytes for a word, which takes four at least on the whole
     ranges = hash_ranges(docs.sparkSession, total)
     asked = dealt(table.mapInArrow(_ask(size, ranges), ASKED), total)
-    answers = masks_by_block(asked.groupBy("bucket").applyInArrow(_count, ANSWER))
-    both = table.join(answers.hint("shuffle_hash"), "block_id", "left")
-    return both.mapInArrow(_remove(size, ranges), RESULT)
+    shared = keep(masks_by_block(asked.groupBy("bucket").applyInArrow(_count, ANSWER)), "shared")
+    told = table.join(shared.hint("shuffle_hash"), "block_id", "left")
+    doubted = dealt(table.join(shared.hint("shuffle_hash"), "block_id").mapInArrow(_ask_pairs(size, ranges), ASKED + ", seconds binary"), total)
+    answers = masks_by_block(doubted.groupBy("bucket").applyInArrow(_count_pairs, ANSWER)).withColumnRenamed("masks", "pair_masks")
+    return told.join(answers.hint("shuffle_hash"), "block_id", "left").mapInArrow(_remove(size, ranges), RESULT)
 
 
 ORACLE = r"""

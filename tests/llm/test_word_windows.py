@@ -67,3 +67,13 @@ def test_ranges_and_planes():
     edges = bk.range_edges(h, 300)
     assert edges[0] == 0 and edges[-1] == len(h) and (np.diff(edges) >= 0).all()
     assert (bk.from_planes(bk.to_planes(h)) == h).all()
+
+
+def test_equal_first_hashes_are_told_apart():
+    own = ww.Windows([b"a b c d a b c x", b"q a b c"], 3)
+    own.hashes = np.zeros_like(own.hashes)
+    pairs = ww.Pairs(own, np.ones(len(own.hashes), bool))
+    windows = ["abc", "bcd", "cda", "dab", "abc", "bcx", "qab", "abc"]
+    assert len(pairs.one) == len(set(windows))
+    assert [windows[k] for k in pairs.first[pairs.which]] == windows
+    assert [windows.index(w) for w in windows] == pairs.first[pairs.which].tolist()
