@@ -29,8 +29,10 @@ from adsieve.llm.storage import keep
 from adsieve.llm.words import slices, sole
 
 #: Distinct words whose ids a worker remembers at a time.
-CACHE_WORDS = 1_200_000
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+CACHE_WORDS = 1_000_000
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: The ids below this bound as bytes.
+_FOUR = [struct.pack("<I", k) for k in range(1 << 16)]
 #: Open windows that one merging group takes; each group pads one sequence at most.
 MERGE_WINDOWS = 512
 
@@ -68,10 +70,15 @@ class WordEncoder(dict):
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)}
         self.marks = {m: self._pack(whole.encode(m, add_special_tokens=False).ids) for m in ("", ".", ",")}
+        self.stems: dict[str, bytes] = {}
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join(map(_FOUR.__getitem__, ids)) if ids and max(ids) < len(_FOUR) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def clear(self) -> None:
+        super().clear()
+        self.stems.clear()
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:  # the words met first are the frequent ones
@@ -79,9 +86,15 @@ class WordEncoder(dict):
             self.clear()
             self.update(first)
         text = word.decode("utf-8", "replace")
-        if plain := _PLAIN.fullmatch(text):
-            stem = plain[1].lower().translate(self.letters)
-            ids = self._pack([t.id for t in self.merge(stem)]) + self.marks[plain[2]]
+        mark = text[-1:] if text[-1:] in (".", ",") else ""
+        stem = text[:-1] if mark else text
+        if (easy := stem.isascii() and stem.isalpha()) or _PLAIN.fullmatch(stem):
+            stem = stem.lower() if easy else stem.lower().translate(self.letters)
+            ids = self.stems.get(stem)
+            if ids is None:
+                ids = self.stems[stem] = self._pack([t.id for t in self.merge(stem)])
+            if mark:
+                ids += self.marks[mark]
         else:
             ids = self._pack(self.encode(text, add_special_tokens=False).ids)
         self[word] = ids
