@@ -35,19 +35,31 @@ def stage(function: Callable) -> Callable:
 
 @stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failed lines go; so do documents that break the base rules or lose too much."""
+    """Failed lines go; so do documents that break the base rules or lose too much.
+
+    Null and empty texts break the base rules; repeated rows are judged each by itself; an empty table gives an
+    empty one; other columns are carried along.
+    """
     return line_quality.clean(docs)
 
 
 @stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that five-word shingles link at 0.8 stays."""
+    """One document of each group that five-word shingles link at 0.8 stays.
+
+    The least doc_id of a group stays; rows with a null doc_id stay; of equal rows one stays; texts without a word
+    are linked with nothing and stay; an empty table gives an empty one; other columns are carried along.
+    """
     return jaccard_join.one_of_each(docs, percent=80, shingle=5)
 
 
 @stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 200 bytes that occur twice go, wherever they occur; documents left without a word go too."""
+    """Strings of 200 bytes that occur twice go, wherever they occur; documents left without a word go too.
+
+    A null text is empty, so it goes; repeated rows lose all that they share, in every copy; spans shrink to whole
+    characters; an empty table gives an empty one; other columns are carried along, n_chars is counted anew.
+    """
     return suffix_dedup.without_repeats(docs, size=200)
 
 
@@ -56,13 +68,19 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents once at least; small sources repeat, up to one and a half times, towards an even mix.
 
     Rows are in the order of the mix, a file for each range of it; packing reads each file in its order.
+    A null source is one of its own; a text without a word appears once; repeated rows count each by itself; an empty
+    table gives an empty one; other columns are carried along.
     """
     return mixing.in_order(mixing.mix(docs, max_repeats=1.5, budget=None)).select(*docs.columns)
 
 
 @stage
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed windows of 2048 ids."""
+    """Packed windows of 2048 ids.
+
+    A null or empty text is its end id alone; null ids and repeated rows are packed as they are; an empty table
+    gives no piece.
+    """
     return packing.pack(docs, TOKENIZER)
 
 
