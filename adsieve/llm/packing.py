@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from adsieve.llm.storage import keep
 from adsieve.llm.words import slices, sole
 
-#: Distinct words and stems whose ids a worker remembers at a time.
-CACHE_WORDS = 700_000
+#: Distinct words, and stems of words, whose ids a worker remembers at a time.
+CACHE_WORDS, CACHE_STEMS = 900_000, 200_000
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: The ids below this bound as bytes.
 _FOUR = [struct.pack("<I", k) for k in range(1 << 16)]
@@ -81,7 +81,7 @@ class WordEncoder(dict):
         self.stems.clear()
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) + len(self.stems) >= CACHE_WORDS:  # the words met first are the frequent ones
+        if len(self) >= CACHE_WORDS:  # the words met first are the frequent ones
             first = list(islice(self.items(), CACHE_WORDS // 4))
             self.clear()
             self.update(first)
@@ -92,6 +92,8 @@ class WordEncoder(dict):
             stem = stem.lower() if easy else stem.lower().translate(self.letters)
             ids = self.stems.get(stem)
             if ids is None:
+                if len(self.stems) >= CACHE_STEMS:
+                    self.stems.clear()
                 ids = self.stems[stem] = self._pack([t.id for t in self.merge(stem)])
             if mark:
                 ids += self.marks[mark]
