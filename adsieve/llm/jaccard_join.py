@@ -15,7 +15,8 @@ first p = n - ceil(0.9 n) + 1 tokens of both.
 
 Candidates are taken in two rounds, so that a large group of copies needs no pair of all its
 members. First each class meets the next two in the (hash) order of each signature's list, and
-verified links join into components. Then every pair of a list that lies in different components
+verified links join into components. Lists are rows, dealt in ranges of (signature, class): a list may
+span several tasks, and none is gathered in one. Then every pair of a list that lies in different components
 is a candidate if sizes and histograms of 256 token bins, which bound the difference of two sets from
 below, leave room for similarity; only those are sent on, to have their sets compared. Long lists are
 dealt in blocks, and each pair of blocks is compared in a place of its own. After that, each
@@ -30,6 +31,7 @@ all of its class are null; other columns are ignored; an empty table gives an em
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsieve.llm.blocks import hash_ranges, mixed, range_edges
+from adsieve.llm.blocks import TASK_BYTES, buckets, hash_ranges, mixed
 from adsieve.llm.components import components
 from adsieve.llm.storage import keep
 from adsieve.llm.word_windows import remember_words, window_hashes, word_hashes
@@ -178,19 +180,13 @@ def classes(n: int, percent: int) -> int:
     return 1 << max(0, n - -(-percent * n // 100)).bit_length()
 
 
-def _index(size: int, percent: int, order, ranges: int, least: int):
-    names = ["bucket", "signatures", "cids", "sizes"]
+def _index(size: int, percent: int, order, least: int):
+    """(signature, cid, size) of each class that a run of documents holds."""
 
     def flush(held: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
-        signatures = np.concatenate([s for s, _, _ in held])
-        lengths = [len(s) for s, _, _ in held]
+        signatures, lengths = np.concatenate([s for s, _, _ in held]), [len(s) for s, _, _ in held]
         cids, sizes = (np.repeat(np.array([h[k] for h in held], np.int64), lengths) for k in (1, 2))
-        by = np.argsort(signatures, kind="stable")
-        signatures, cids, sizes = signatures[by], cids[by], sizes[by].astype(np.int32)
-        edges = range_edges(signatures, ranges)
-        live = np.flatnonzero(np.diff(edges))
-        cut = lambda a: pa.array([a[edges[r] : edges[r + 1]].tobytes() for r in live], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(live.astype(np.int32)), cut(signatures), cut(cids), cut(sizes)], names)
+        return pa.RecordBatch.from_arrays([pa.array(signatures.view(np.int64)), pa.array(cids), pa.array(sizes.astype(np.int32))], ["signature", "cid", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remember_words()
@@ -215,72 +211,55 @@ def _index(size: int, percent: int, order, ranges: int, least: int):
     return run
 
 
-LISTS = "bucket int, signatures binary, cids binary, sizes binary"
+LISTS = "signature long, cid long, size int, next long, after long, cut boolean"
 
 
-def _lists(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lists of one range that hold two classes or more, ordered by (signature, class)."""
-    parts = [[np.frombuffer(v.as_py(), t) for v in b.column(c)] for b in batches for c, t in (("signatures", np.uint64), ("cids", np.int64), ("sizes", np.int32))]
-    s, c, n = (np.concatenate([a for part in parts[k::3] for a in part]) for k in range(3))
-    by = np.lexsort((c, s))
-    s, c, n = s[by], c[by], n[by]
-    fresh = np.ones(len(s), bool)
-    fresh[1:] = (s[1:] != s[:-1]) | (c[1:] != c[:-1])
-    s, c, n = s[fresh], c[fresh], n[fresh]
-    shared = np.zeros(len(s), bool)
-    same = s[1:] == s[:-1]
-    shared[1:] |= same
-    shared[:-1] |= same
-    if shared.any():
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), *(pa.array([a[shared].tobytes()], pa.binary()) for a in (s, c, n))], ["bucket", "signatures", "cids", "sizes"])
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of lists, from rows ordered by (signature, class): each with the next two of its list.
 
-
-PAIRS = "bucket int, a binary, b binary"
-
-
-def _emit_pairs(a: np.ndarray, b: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
-    """Distinct unordered pairs by range of the smaller class."""
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    pairs = np.unique(np.stack([low, high], axis=1), axis=0) if len(low) else np.zeros((0, 2), np.int64)
-    named = mixed(pairs[:, 0].view(np.uint64).copy() if len(pairs) else np.zeros(0, np.uint64))
-    by = np.argsort(named, kind="stable")
-    edges = range_edges(named[by], ranges)
-    live = np.flatnonzero(np.diff(edges))
-    if len(live):
-        cut = lambda k: pa.array([np.ascontiguousarray(pairs[by[edges[r] : edges[r + 1]], k]).tobytes() for r in live], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(live.astype(np.int32)), cut(0), cut(1)], ["bucket", "a", "b"])
-
-
-def _chain(ranges: int, ahead: int = 2):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                s, c = (np.frombuffer(batch.column(name)[k].as_py(), t) for name, t in (("signatures", np.uint64), ("cids", np.int64)))
-                left, right = [], []
-                for step in range(1, ahead + 1):
-                    near = np.flatnonzero(s[step:] == s[:-step])
-                    left.append(c[near])
-                    right.append(c[near + step])
-                yield from _emit_pairs(np.concatenate(left), np.concatenate(right), ranges)
-
-    return run
-
-
-def _distinct_pairs(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    a, b = [], []
-    for batch in batches:
-        a += [np.frombuffer(v.as_py(), np.int64) for v in batch.column("a")]
-        b += [np.frombuffer(v.as_py(), np.int64) for v in batch.column("b")]
-    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
-
-
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lists as rows: (bucket, signature, cid, size)."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            s, c, n = (np.frombuffer(batch.column(name)[k].as_py(), t) for name, t in (("signatures", np.int64), ("cids", np.int64), ("sizes", np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(c), pa.array(n)], ["signature", "cid", "size"])
+    Signatures of one class go. The first and the last row of a partition stay, marked ``cut``: their lists may go on
+    beyond it. Three rows are held between batches, whatever a list's length.
+    """
+    s, c, n = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    linked, first = False, True
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            s, c, n = (np.concatenate([held, batch.column(name).to_numpy()]) for held, name in ((s, "signature"), (c, "cid"), (n, "size")))
+            fresh = np.ones(len(s), bool)
+            fresh[1:] = (s[1:] != s[:-1]) | (c[1:] != c[:-1])
+            s, c, n = s[fresh], c[fresh], n[fresh]
+        ready = len(s) if batch is None else len(s) - 2
+        if ready <= 0:
+            continue
+        one = np.append(s[1:] == s[:-1], False)
+        two = np.append(s[2:] == s[:-2], [False, False])[: len(s)]
+        cut = np.zeros(len(s), bool)
+        cut[0] = first
+        cut[-1] |= batch is None
+        stays = pa.array((one | np.append(linked, one[:-1]) | cut)[:ready])
+        follow = (pa.array(np.roll(c, -k)[:ready], mask=~same[:ready]) for k, same in ((1, one), (2, two)))
+        yield pa.RecordBatch.from_arrays([pa.array(s[:ready]), pa.array(c[:ready]), pa.array(n[:ready]), *follow, pa.array(cut[:ready])], ["signature", "cid", "size", "next", "after", "cut"]).filter(stays)
+        linked, first = bool(one[ready - 1]), False
+        s, c, n = s[ready:], c[ready:], n[ready:]
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Distinct unordered pairs."""
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+
+
+#: Lists longer than this, or than a hundred-thousandth of all list rows, are joined in several places; so at most
+#: a hundred thousand signatures are broadcast for it, whatever the input.
+LONG_LIST = 100_000
+
+
+def _of_mixed(placed: DataFrame, mixed_lists: DataFrame, long_list: int) -> DataFrame:
+    """The members of the mixed lists with their lists' lengths; a long list is salted by class."""
+    salts = F.ceil(F.col("k") / long_list)
+    long = mixed_lists.where(F.col("k") > long_list).select("signature", salts.alias("salts"))
+    salted = placed.join(F.broadcast(long), "signature", "left").withColumn("salt", F.pmod(F.xxhash64("cid"), F.coalesce("salts", F.lit(1).cast("long")))).drop("salts")
+    return salted.join(mixed_lists.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))), ["signature", "salt"])
 
 
 def _in_parts(members: DataFrame, block: int = LIST_BLOCK) -> DataFrame:
@@ -299,7 +278,7 @@ def may_be_similar(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int
     return (total + differ) * percent <= 100 * (total - differ)  # union and common, twice, at their best
 
 
-def _across(percent: int, ranges: int):
+def _across(percent: int):
     """Pairs of one list that lie in different components and may be similar by their sizes and histograms.
 
     A part of a list is one block of it with itself (side -1) or two blocks (sides 0 and 1) with each other.
@@ -325,10 +304,10 @@ def _across(percent: int, ranges: int):
                 right.append(c[other])
                 held += len(other)
             if held > 2_000_000:
-                yield from _emit_pairs(np.concatenate(left), np.concatenate(right), ranges)
+                yield _pairs(np.concatenate(left), np.concatenate(right))
                 left, right, held = [], [], 0
         if held:
-            yield from _emit_pairs(np.concatenate(left), np.concatenate(right), ranges)
+            yield _pairs(np.concatenate(left), np.concatenate(right))
 
     return run
 
@@ -409,10 +388,9 @@ def _bloom_cell(id_column: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("class"), id_column), F.lit(BLOOM))
 
 
-def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text", list_block: int = LIST_BLOCK) -> DataFrame:
+def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text", list_block: int = LIST_BLOCK, long_list: int = LONG_LIST) -> DataFrame:
     """(doc_id, n_shingles, component_id): each document's set size and the least doc_id that links reach."""
     spark = docs.sparkSession
-    ranges = hash_ranges(spark)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
     survey = keep(rows.mapInArrow(_survey(shingle), SURVEY), "survey")
     sizes = survey.where("slice IS NULL").select("doc_id", "n", "cid", "bins")
@@ -422,15 +400,23 @@ def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str =
     order = spark.sparkContext.broadcast(Order(step, tokens / CELLS))  # one byte for each cell, whatever the input
     named = keep(sizes.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bins").alias("bins")), "classes")
     least = next(n for n in range(2, 102) if 100 * (n - 1) >= percent * n) - 1  # below, only equal sets are similar
-    lists = keep(rows.mapInArrow(_index(shingle, percent, order, ranges, least), LISTS).groupBy("bucket").applyInArrow(_lists, LISTS), "lists")
-    first = keep(lists.mapInArrow(_chain(ranges), PAIRS).groupBy("bucket").applyInArrow(_distinct_pairs, "a long, b long"), "pairs")
+    index = keep(rows.mapInArrow(_index(shingle, percent, order, least), "signature long, cid long, size int"), "index")
+    n_index = index.count()
+    tasks = max(buckets(spark), -(-24 * n_index // TASK_BYTES))
+    lists = keep(index.repartitionByRange(tasks, "signature", "cid").sortWithinPartitions("signature", "cid").mapInArrow(_listed, LISTS), "lists")
+    first = keep(lists.select(F.col("cid").alias("a"), F.explode(F.array("next", "after")).alias("b")).where("b IS NOT NULL").distinct(), "pairs")
     links = keep(_links(first, named, rows, percent, shingle), "links")
     groups = keep(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "groups")
-    members = lists.mapInArrow(_members, "signature long, cid long, size int").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
-    placed = members.select("signature", "cid", "size", F.coalesce("component", "cid").alias("component"))
-    mixed_lists = placed.groupBy("signature").agg((F.min("component") != F.max("component")).alias("mixed"), F.count(F.lit(1)).alias("k")).where("mixed AND k > 3").select("signature", "k")
-    rest = _in_parts(placed.join(mixed_lists, "signature"), list_block).join(named.select("cid", "bins"), "cid").withColumn("bucket", F.pmod("part", F.lit(ranges)).cast("int"))
-    second = rest.groupBy("bucket").applyInArrow(_across(percent, ranges), PAIRS).groupBy("bucket").applyInArrow(_distinct_pairs, "a long, b long")
+    members = lists.select("signature", "cid", "size", "cut").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
+    placed = members.withColumn("component", F.coalesce("component", "cid"))
+    differ = (F.min("component") != F.max("component")).alias("mixed")
+    by_list = placed.groupBy("signature").agg(differ, F.count(F.lit(1)).alias("k"), F.bool_or("cut").alias("cut"))
+    mixed_lists = keep(by_list.where("mixed AND (k > 3 OR cut)").select("signature", "k"), "mixed")  # shorter whole ones have been compared
+    dealt_rows = mixed_lists.agg(F.sum(F.col("k") * F.ceil(F.col("k") / list_block))).first()[0] or 0
+    ranges = hash_ranges(spark, dealt_rows * (BINS + 44))
+    listed = _of_mixed(placed.drop("cut"), mixed_lists, max(long_list, n_index // 100_000))
+    rest = _in_parts(listed, list_block).join(named.select("cid", "bins"), "cid").withColumn("bucket", F.pmod("part", F.lit(ranges)).cast("int"))
+    second = rest.groupBy("bucket").applyInArrow(_across(percent), "a long, b long").distinct()
     more = keep(_links(second.join(first, ["a", "b"], "left_anti"), named, rows, percent, shingle), "links")
     if more.limit(1).count():
         groups = keep(components(links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v"))), "groups")

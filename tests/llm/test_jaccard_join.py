@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from adsieve.llm import jaccard_join as jj
@@ -72,7 +73,7 @@ def test_against_brute_force(spark, frequent, monkeypatch):
         monkeypatch.setattr(jj.Order, "__init__", low)
     texts = corpus(4, 60)
     rows = [(i, t, None, 1, 2) for i, t in enumerate(texts)]
-    got = jj.join(spark.createDataFrame(rows, SCHEMA).repartition(4), list_block=7 if frequent else jj.LIST_BLOCK).collect()
+    got = jj.join(spark.createDataFrame(rows, SCHEMA).repartition(4), list_block=7 if frequent else jj.LIST_BLOCK, long_list=5 if frequent else jj.LONG_LIST).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(i, *w) for i, w in enumerate(brute(texts, 90))]
 
 
@@ -92,6 +93,23 @@ def test_signatures_meet_for_all_similar_pairs():
             assert len(np.intersect1d(order.signatures(a, 90), order.signatures(b, 90))) or len(a) == len(b) == len(np.intersect1d(a, b))
 
 
+@pytest.mark.parametrize("step", [1, 2, 3, 50])
+def test_lists_of_a_sorted_stream(step):
+    rng = random.Random(step)
+    rows = sorted((rng.randrange(12), rng.randrange(9)) for _ in range(40)) + [(20, 1), (20, 1), (21, 5)]
+    batches = [pa.record_batch({"signature": [s for s, _ in part], "cid": [c for _, c in part], "size": pa.array([9] * len(part), pa.int32())}) for part in (rows[at : at + step] for at in range(0, len(rows), step))]
+    got = [tuple(r.values()) for batch in jj._listed(iter(batches)) for r in batch.to_pylist()]
+    distinct, want = sorted(set(rows)), []
+    for at, (s, c) in enumerate(distinct):
+        own = [x for x in distinct if x[0] == s]
+        later = [x[1] for x in own if x[1] > c] + [None, None]
+        cut = at in (0, len(distinct) - 1)
+        if len(own) > 1 or cut:
+            want.append((s, c, 9, later[0], later[1], cut))
+    assert got == want and (20, 1) not in {r[:2] for r in got}
+    assert list(jj._listed(iter([]))) == []
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(k, k + 1) for k in range(0, 150)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(120)] + [(500, k) for k in range(501, 560)] + [(9, 9)]
