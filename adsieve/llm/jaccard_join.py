@@ -14,11 +14,11 @@ first p = n - ceil(0.9 n) + 1 tokens of both.
   gives the signatures for both), and makes the pairs about as many as the prefix tokens.
 
 Candidates are taken in two rounds, so that a large group of copies needs no pair of all its
-members. First each class meets the next two in the (hash) order of each signature's list, and
-verified links join into components. Lists are rows, dealt in ranges of (signature, class): a list may
-span several tasks, and none is gathered in one. Then every pair of a list that lies in different components
+members. First each class meets the next two of each signature's list, whose order is a hash of its own, so
+that the lists of one group give different neighbours; verified links join into components. Lists are rows,
+dealt in ranges of (signature, order): a list may span several tasks, and none is gathered in one. Then every pair of a list that lies in different components
 is a candidate if sizes and histograms of 256 token bins, which bound the difference of two sets from
-below, leave room for similarity; only those are sent on, to have their sets compared. Long lists are
+below, leave room for similarity; only those are sent on, once each, to have their sets compared. Long lists are
 dealt in blocks, and each pair of blocks is compared in a place of its own. After that, each
 candidate is either in one component or was compared: no link is lost, and none needs listing.
 
@@ -50,6 +50,9 @@ BINS = 256
 BLOOM = 1 << 25
 #: Members of a signature's list that are compared with each other in one place.
 LIST_BLOCK = 512
+#: Mixed lists of a member that are sent with it, to tell which of them emits a pair.
+LEAST = 16
+_NONE = (1 << 63) - 1
 _GROUP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -215,7 +218,7 @@ LISTS = "signature long, cid long, size int, next long, after long, cut boolean"
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of lists, from rows ordered by (signature, class): each with the next two of its list.
+    """Members of lists, from rows ordered by signature, equal ones together: each with the next two of its list.
 
     Signatures of one class go. The first and the last row of a partition stay, marked ``cut``: their lists may go on
     beyond it. Three rows are held between batches, whatever a list's length.
@@ -269,7 +272,7 @@ def _in_parts(members: DataFrame, block: int = LIST_BLOCK) -> DataFrame:
     dealt = members.withColumns({"own": own, "with": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))})
     low, high = F.least("own", "with"), F.greatest("own", "with")
     side = F.when(low == high, -1).when(F.col("own") == low, 0).otherwise(1).cast("int")
-    return dealt.select("cid", "size", "component", F.xxhash64("signature", low, high).alias("part"), side.alias("side"))
+    return dealt.select("signature", "cid", "size", "component", F.xxhash64("signature", low, high).alias("part"), side.alias("side"))
 
 
 def may_be_similar(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
@@ -282,14 +285,17 @@ def _across(percent: int):
     """Pairs of one list that lie in different components and may be similar by their sizes and histograms.
 
     A part of a list is one block of it with itself (side -1) or two blocks (sides 0 and 1) with each other.
+    A pair that several lists hold comes from the least one in both members' ``least`` lists, so once; if they have
+    none in common there, from every list.
     """
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches))
         s, c, n, p, d = (rows.column(k).to_numpy() for k in ("part", "cid", "size", "component", "side"))
+        g, m = rows.column("signature").to_numpy(), rows.column("least").combine_chunks().flatten().to_numpy().reshape(-1, LEAST)
         h = np.frombuffer(b"".join(rows.column("bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
         by = np.lexsort((c, n, s))
-        s, c, n, p, d, h = s[by], c[by], n[by].astype(np.int64), p[by], d[by], h[by]
+        s, c, n, p, d, h, g, m = s[by], c[by], n[by].astype(np.int64), p[by], d[by], h[by], g[by], m[by]
         starts = np.concatenate([[0], np.flatnonzero(np.diff(s)) + 1, [len(s)]])
         left, right, held = [], [], 0
         for a, b in zip(starts, starts[1:]):
@@ -300,6 +306,8 @@ def _across(percent: int):
                 later = slice(a + k + 1, a + reach[k])
                 other = a + k + 1 + np.flatnonzero((p[later] != p[a + k]) & ((d[later] != d[a + k]) | (d[a + k] < 0)))
                 other = other[may_be_similar(h[other], h[a + k], n[other] + n[a + k], percent)]
+                if len(other):
+                    other = other[~(np.isin(m[other], m[a + k]) & (m[other] < g[a])).any(axis=1)]
                 left.append(np.full(len(other), c[a + k]))
                 right.append(c[other])
                 held += len(other)
@@ -403,8 +411,10 @@ def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str =
     index = keep(rows.mapInArrow(_index(shingle, percent, order, least), "signature long, cid long, size int"), "index")
     n_index = index.count()
     tasks = max(buckets(spark), -(-24 * n_index // TASK_BYTES))
-    lists = keep(index.repartitionByRange(tasks, "signature", "cid").sortWithinPartitions("signature", "cid").mapInArrow(_listed, LISTS), "lists")
-    first = keep(lists.select(F.col("cid").alias("a"), F.explode(F.array("next", "after")).alias("b")).where("b IS NOT NULL").distinct(), "pairs")
+    index = index.withColumn("place", F.xxhash64("signature", "cid"))  # each list has an order of its own, and its own neighbours
+    lists = keep(index.repartitionByRange(tasks, "signature", "place").sortWithinPartitions("signature", "place", "cid").mapInArrow(_listed, LISTS), "lists")
+    chained = lists.select("cid", F.explode(F.array("next", "after")).alias("other")).where("other IS NOT NULL")
+    first = keep(chained.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct(), "pairs")
     links = keep(_links(first, named, rows, percent, shingle), "links")
     groups = keep(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "groups")
     members = lists.select("signature", "cid", "size", "cut").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
@@ -413,9 +423,12 @@ def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str =
     by_list = placed.groupBy("signature").agg(differ, F.count(F.lit(1)).alias("k"), F.bool_or("cut").alias("cut"))
     mixed_lists = keep(by_list.where("mixed AND (k > 3 OR cut)").select("signature", "k"), "mixed")  # shorter whole ones have been compared
     dealt_rows = mixed_lists.agg(F.sum(F.col("k") * F.ceil(F.col("k") / list_block))).first()[0] or 0
-    ranges = hash_ranges(spark, dealt_rows * (BINS + 44))
-    listed = _of_mixed(placed.drop("cut"), mixed_lists, max(long_list, n_index // 100_000))
-    rest = _in_parts(listed, list_block).join(named.select("cid", "bins"), "cid").withColumn("bucket", F.pmod("part", F.lit(ranges)).cast("int"))
+    ranges = hash_ranges(spark, dealt_rows * (BINS + 8 * LEAST + 52))
+    listed = keep(_of_mixed(placed.drop("cut"), mixed_lists, max(long_list, n_index // 100_000)), "listed")
+    padding = F.array_repeat(F.lit(_NONE).cast("long"), LEAST)
+    own = listed.groupBy("cid").agg(F.slice(F.concat(F.sort_array(F.collect_list("signature")), padding), 1, LEAST).alias("least"))
+    about = own.join(named.select("cid", "bins"), "cid")
+    rest = _in_parts(listed, list_block).join(about, "cid").withColumn("bucket", F.pmod("part", F.lit(ranges)).cast("int"))
     second = rest.groupBy("bucket").applyInArrow(_across(percent), "a long, b long").distinct()
     more = keep(_links(second.join(first, ["a", "b"], "left_anti"), named, rows, percent, shingle), "links")
     if more.limit(1).count():
