@@ -43,6 +43,7 @@ from adsieve.llm.blocks import TASK_BYTES, buckets, hash_ranges, mixed
 from adsieve.llm.components import components
 from adsieve.llm.storage import keep
 from adsieve.llm.word_windows import remember_words, window_hashes, word_hashes
+from adsieve.llm.words import no_cache
 
 CELLS = 1 << 24
 SLICES = 64
@@ -112,7 +113,7 @@ def _survey(size: int):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(cids, pa.int64()), pa.array(bins, pa.binary()), *none], names)
         if any_rows:
             none = [pa.nulls(SLICES, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
-            yield pa.RecordBatch.from_arrays([*none, *in_slices(np.minimum(counts, 255).astype(np.uint8))], names)
+            yield pa.RecordBatch.from_arrays([*none, *in_slices(np.minimum(counts, 255, out=counts).astype(np.uint8))], names)
 
     return run
 
@@ -223,6 +224,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Signatures of one class go. The first and the last row of a partition stay, marked ``cut``: their lists may go on
     beyond it. Three rows are held between batches, whatever a list's length.
     """
+    no_cache()
     s, c, n = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
     linked, first = False, True
     for batch in chain(batches, [None]):
@@ -344,6 +346,7 @@ def _bounded(percent: int):
     """Drop pairs whose histograms already differ too much."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_cache()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -356,6 +359,7 @@ def _bounded(percent: int):
 
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_cache()
         for batch in batches:
             fine = []
             for x, y in zip(batch.column("a_tokens"), batch.column("b_tokens")):
@@ -409,6 +413,7 @@ def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str =
     named = keep(sizes.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bins").alias("bins")), "classes")
     least = next(n for n in range(2, 102) if 100 * (n - 1) >= percent * n) - 1  # below, only equal sets are similar
     index = keep(rows.mapInArrow(_index(shingle, percent, order, least), "signature long, cid long, size int"), "index")
+    order.unpersist()
     n_index = index.count()
     tasks = max(buckets(spark), -(-24 * n_index // TASK_BYTES))
     index = index.withColumn("place", F.xxhash64("signature", "cid"))  # each list has an order of its own, and its own neighbours

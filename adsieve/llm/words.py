@@ -6,6 +6,8 @@ import ctypes
 import sys
 from collections.abc import Iterator
 
+import pyarrow as pa
+
 
 def slices(text: bytes, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of about ``size`` bytes that end at ASCII white space."""
@@ -22,6 +24,7 @@ def slices(text: bytes, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
 
 
 _CACHES: list[dict] = []
+_NONE: dict = {}
 #: The C library's way to return freed memory, where it has one.
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
 
@@ -34,6 +37,12 @@ def sole(cache: dict) -> dict:
     for other in _CACHES:
         if other is not cache:
             other.clear()
+    pa.default_memory_pool().release_unused()
     if _TRIM is not None:
         _TRIM(0)
     return cache
+
+
+def no_cache() -> None:
+    """To be called as a task begins that needs no cache: what the worker's tasks before have remembered goes."""
+    sole(_NONE)
