@@ -14,7 +14,7 @@ first p = n - ceil(0.9 n) + 1 tokens of both.
   gives the signatures for both), and makes the pairs about as many as the prefix tokens.
 
 Candidates are taken in two rounds, so that a large group of copies needs no pair of all its
-members. First each class meets the next two of each signature's list, whose order is a hash of its own, so
+members. First each class meets the next two of each signature's list, which has one of a few hash orders, so
 that the lists of one group give different neighbours; verified links join into components. Lists are rows,
 dealt in ranges of (signature, order): a list may span several tasks, and none is gathered in one. Then every pair of a list that lies in different components
 is a candidate if sizes and histograms of 256 token bins, which bound the difference of two sets from
@@ -51,6 +51,8 @@ BINS = 256
 BLOOM = 1 << 25
 #: Members of a signature's list that are compared with each other in one place.
 LIST_BLOCK = 512
+#: Different orders of lists: more give a group more links in the first round, and leave fewer pairs to the second.
+ORDERS = 4
 #: Mixed lists of a member that are sent with it, to tell which of them emits a pair.
 LEAST = 16
 _NONE = (1 << 63) - 1
@@ -416,7 +418,7 @@ def join(docs: DataFrame, percent: int = 90, shingle: int = 3, id_column: str =
     order.unpersist()
     n_index = index.count()
     tasks = max(buckets(spark), -(-24 * n_index // TASK_BYTES))
-    index = index.withColumn("place", F.xxhash64("signature", "cid"))  # each list has an order of its own, and its own neighbours
+    index = index.withColumn("place", F.xxhash64(F.pmod("signature", F.lit(ORDERS)), "cid"))
     lists = keep(index.repartitionByRange(tasks, "signature", "place").sortWithinPartitions("signature", "place", "cid").mapInArrow(_listed, LISTS), "lists")
     chained = lists.select("cid", F.explode(F.array("next", "after")).alias("other")).where("other IS NOT NULL")
     first = keep(chained.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct(), "pairs")
