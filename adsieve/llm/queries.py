@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsieve.llm import jaccard_join, language, line_quality, mixing, neighbours, packing, suffix_dedup, tool_calls, url_lists, word_windows
+from adsieve.llm import jaccard_join, language, line_quality, merkle, mixing, neighbours, packing, simhash, suffix_dedup, tool_calls, url_lists, whitening, word_windows
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -67,5 +67,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_suffix_dedup": op2_suffix_dedup, "op3_neighbours": op3_neighbours, "op4_tool_calls": op4_tool_calls, "op5_url_lists": op5_url_lists, "op6_language": op6_language, "op7_word_windows": op7_word_windows, "op8_line_quality": op8_line_quality, "op9_mixing": op9_mixing, "op10_jaccard_join": op10_jaccard_join}
-ORACLE_SQL = {"op2_suffix_dedup": suffix_dedup.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE, "op7_word_windows": word_windows.ORACLE, "op4_tool_calls": tool_calls.ORACLE, "op5_url_lists": url_lists.ORACLE, "op8_line_quality": line_quality.ORACLE}
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    altered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return merkle.manifest(docs, tampered=F.when(altered, F.replace("text", F.lit("\n"))).otherwise(F.col("text")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op1_packing": op1_packing, "op2_suffix_dedup": op2_suffix_dedup, "op3_neighbours": op3_neighbours, "op4_tool_calls": op4_tool_calls, "op5_url_lists": op5_url_lists, "op6_language": op6_language, "op7_word_windows": op7_word_windows, "op8_line_quality": op8_line_quality, "op9_mixing": op9_mixing, "op10_jaccard_join": op10_jaccard_join, "op11_simhash": op11_simhash, "op12_merkle": op12_merkle, "op13_whitening": op13_whitening}
+ORACLE_SQL = {"op2_suffix_dedup": suffix_dedup.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE, "op7_word_windows": word_windows.ORACLE, "op4_tool_calls": tool_calls.ORACLE, "op5_url_lists": url_lists.ORACLE, "op8_line_quality": line_quality.ORACLE, "op12_merkle": merkle.ORACLE}
