@@ -33,7 +33,7 @@ PAGE = 2048
 
 def pages(text: Column) -> Column:
     """The text in pieces of PAGE characters, so that ``cut`` needn't look for a place from the text's beginning."""
-    return let(text, lambda t: F.transform(F.sequence(F.lit(0), F.floor(F.length(t) / PAGE).cast("int")), lambda k: F.substring(t, k * PAGE + 1, F.lit(PAGE))))
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
 
 
 def cut(pages: Column, start: Column, end: Column) -> Column:

@@ -188,13 +188,9 @@ def entities_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "label", "n", "first_start", F.round(F.aggregate("entities", F.lit(0.0), lambda s, e: s + e["confidence"]), 6).alias("confidence"))
 
 
-def lines_of(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda p: p != "")
-
-
 def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda s: F.size(F.split(s, " "))
-    found = chunking.chunks(table(spark, sf_dir, "documents"), 120, lines_of, count)
+    found = chunking.chunks(table(spark, sf_dir, "documents"), 120, chunking.by_lines, count)
     return found.select("doc_id", "chunk_id", "chunk_start", "chunk_end", F.md5("text").alias("text_md5"))
 
 
@@ -220,7 +216,7 @@ SPANS_SQL = f"""spans AS (
 def label_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", synthetic_spans(F.col("text")).alias("label"))
     count = lambda s: F.size(F.split(s, " "))
-    found = chunking.chunks(docs, 120, lines_of, count, labels="label")
+    found = chunking.chunks(docs, 120, chunking.by_lines, count, labels="label")
     each = found.select("doc_id", "chunk_id", F.explode("label").alias("l"))
     return each.select("doc_id", "chunk_id", "l.start", "l.end", F.get("l.labels", F.lit(0)).alias("label"))
 
@@ -314,12 +310,11 @@ def ad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def training_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token labels of every chunk, for tokens of five characters of which every seventh has no extent."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", synthetic_spans(F.col("text")).alias("label"))
-    made = labels.training_examples(labels.split(docs).drop("split"), 120, lines_of, lambda s: F.size(F.split(s, " ")))
+    made = labels.training_examples(labels.split(docs).drop("split"), 120, chunking.by_lines, lambda s: F.size(F.split(s, " ")))
     place = lambda n: lambda k: F.struct((k * 5).alias("start"), F.when(k % 7 == 3, k * 5).otherwise(F.least(k * 5 + 5, n)).alias("end"))
     offsets = let(F.length("text"), lambda n: F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 5).cast("int")), place(n)))
-    found = labels.align(made, offsets)
-    ids = F.col("labels")
-    return found.select("doc_id", "chunk_id", F.size(ids).cast("long").alias("n_tokens"), F.size(F.filter(ids, lambda x: x > 0)).cast("long").alias("n_labelled"), F.md5(F.array_join(ids.cast("array<string>"), ",")).alias("labels_md5"))
+    told = lambda ids: F.struct(F.size(ids).cast("long").alias("n_tokens"), F.size(F.filter(ids, lambda x: x > 0)).cast("long").alias("n_labelled"), F.md5(F.array_join(ids.cast("array<string>"), ",")).alias("labels_md5"))
+    return labels.align(made, offsets).select("doc_id", "chunk_id", let(F.col("labels"), told).alias("l")).select("doc_id", "chunk_id", "l.*")
 
 
 QUERIES = {
