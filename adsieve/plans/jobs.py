@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from adsieve.functions import names, tags
 from adsieve.functions.cleaning import clean_columns
 from adsieve.functions.similarity import clustered, similarities
-from adsieve.operators import entities, evaluation, inspection, labels, spans
+from adsieve.operators import chunking, entities, evaluation, inspection, labels, sentences, spans
 from adsieve.plans import pipeline
 from adsieve.plans.catalogue import (
-    ADDRESSES, MARKED, MARKED_SQL, ORACLE_SQL, ORGANISATIONS, PERSONS, QUERIES, SPAN_TOKENS_SQL, SYMBOLS, TOKENS_SQL, VALUES_SQL, PHONES_SQL, artifacts_sql, chosen, clean_sql, metrics_sql, pick,
+    ADDRESSES, MARKED, MARKED_SQL, ORACLE_SQL, ORGANISATIONS, PERSONS, QUERIES, SPAN_TOKENS_SQL, SYMBOLS, TOKENS_SQL, VALUES_SQL, PHONES_SQL, SPACE_RE2, artifacts_sql, chosen, clean_sql, metrics_sql, pick,
     span_tokens, sql_list, sql_text, table, token_tags, weave,
 )
 from adsieve.schemas import TAGS
@@ -88,6 +88,35 @@ def strict_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", names.is_inside(a, b).alias("inside"), names.is_inside(b, a).alias("outside"), names.is_inside(a, F.upper(a)).alias("same"))
 
 
+# ---- sentences --------------------------------------------------------------------------------
+
+#: What is said at the end of every document, by rule: abbreviations, numbers, ellipses, marks.
+SAID = [
+    "Phòng khám ở TP. Hồ Chí Minh mở cửa lúc 7.30 sáng. BS. An và ThS. Bình trực. Giá 1.500 đồng.",
+    "Buổi sáng người trực rất đông... nhưng giá rẻ. Xin gọi BS. Lê ở Q. 3 trước! GS. Hà dặn: tốt… và rẻ.",
+    "Khai trương ở TP. Vũng Tàu ngày 3. 5 hằng năm? Mời quý khách… Hẹn gặp lại. (TP. Thủ Đức có ThS. Minh trực sáng nay.)",
+    "Cơ sở 2. nằm ở Q. 7. Nay BS. Hoa trực lại, nghỉ thứ 7. Mỗi đồng lại nay gặp rẻ, xin cảm ơn người gặp.",
+]
+
+
+def spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.concat("text", F.lit(" "), pick(SAID, F.col("doc_id") % len(SAID))).alias("text"))
+
+
+def sentence_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all texts teach of abbreviations, sentence starters and collocations."""
+    return sentences.statistics(spoken(spark, sf_dir)).select("kind", "item", "n", F.round("score", 6).alias("score"))
+
+
+def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences by the learned boundaries: how many of a document, and a digest of their words' numbers."""
+    docs = spoken(spark, sf_dir)
+    found = docs.select("doc_id", sentences.learn(docs).split(F.col("text")).alias("s"))
+    sizes = F.transform("s", lambda p: chunking.word_count(p["text"]).cast("string"))
+    return found.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.md5(F.array_join(sizes, ",")).alias("words_md5"))
+
+
 # ---- records ----------------------------------------------------------------------------------
 
 PHONE_PAYLOADS = [("0918 680 551", "0918680551"), ("028 3823 4567", "02838234567"), ("(028) 3823 4567", "0283823456"), ("1800 3333", "18003333"), ("(+84) 084123456", "0123456"), ("+84 918.680.551", "0918680551")]
@@ -243,7 +272,7 @@ def stats_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 JOBS = {
     f.__name__: f
     for f in (
-        name_similarity, org_cluster, entity_names, strict_parts, final_records, ner_results, rebased_entities, token_html, streamed_fields, label_split, metrics_of_ids, highest_score, column_clean,
+        sentence_statistics, sentence_split, name_similarity, org_cluster, entity_names, strict_parts, final_records, ner_results, rebased_entities, token_html, streamed_fields, label_split, metrics_of_ids, highest_score, column_clean,
         workbook_cells, workbook_clean, labelled_items, metric_lines, stats_file,
     )
 }
@@ -302,7 +331,39 @@ CELLS_SQL = """cells AS (
   UNION ALL SELECT s, 0, 0, 'key [AD]', true, 'key [AD]' FROM (VALUES ('nations & more'), ('regions')) v(s)
   UNION ALL SELECT s, 0, 1, 'name', true, 'name' FROM (VALUES ('nations & more'), ('regions')) v(s))"""
 
+#: The published figures, and the quotes and brackets round a word, stated anew.
+SPOKEN_SQL = rf"""spoken AS (SELECT doc_id, text || ' ' || {sql_list(SAID)}[(doc_id % {len(SAID)} + 1)::INT] AS text FROM documents),
+listed AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '{SPACE_RE2}+'), lambda w: w <> '') AS ws FROM spoken),
+said AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS raw FROM listed),
+worded AS (SELECT doc_id, i, raw, lower(regexp_replace(regexp_replace(raw, '^[\"''“‘«(\[{{]+', ''), '[\"''”’»)\]}},;:]+$', '')) AS w FROM said),
+typed AS (SELECT doc_id, i, raw, w, regexp_replace(w, '\.+$', '') AS type, w LIKE '%.' AND w NOT LIKE '%..' AS dot, regexp_matches(w, '[.!?…]$') AS ends FROM worded),
+near AS (SELECT *, lead(type) OVER v AS next, lead(raw) OVER v AS next_raw FROM typed WINDOW v AS (PARTITION BY doc_id ORDER BY i)),
+counts AS (SELECT type, count(*) FILTER (dot) AS dot, count(*) FILTER (NOT dot) AS plain FROM near GROUP BY type),
+totals AS (SELECT sum(dot + plain) AS n, sum(dot) AS dots FROM counts),
+known AS (SELECT type, dot, plain, n, dots / n AS p, length(replace(type, '.', '')) AS letters FROM counts, totals),
+scored AS (SELECT type, dot, -2 * (dot * ln(p) + plain * ln(1 - p) - dot * ln(0.99) - plain * ln(0.01)) * exp(-letters) * (length(type) - letters + 1) * pow(letters, -plain) AS score
+  FROM known WHERE dot > 0 AND regexp_matches(type, '\p{{L}}')),
+abbreviations AS (SELECT 'abbreviation' AS kind, type AS item, dot AS n, score FROM scored WHERE score >= 0.3),
+pairs AS (SELECT type, dot, next, count(*) AS together, dot AND (type IN (SELECT item FROM abbreviations) OR regexp_matches(type, '^[0-9][0-9.,]*$') OR regexp_matches(type, '^\p{{L}}$')) AS held FROM near WHERE ends AND next IS NOT NULL GROUP BY ALL),
+begun AS (SELECT next, sum(together) AS together FROM pairs WHERE NOT held GROUP BY next),
+firsts AS (SELECT 'starter' AS kind, next AS item, together, (SELECT sum(together) FROM begun) AS a, dot + plain AS b, n FROM begun JOIN known ON known.type = next WHERE regexp_matches(next, '\p{{L}}')),
+mets AS (SELECT 'collocation' AS kind, q.type || ' ' || q.next AS item, together, c.dot AS a, k.dot + k.plain AS b, n FROM pairs q JOIN counts c ON c.type = q.type JOIN known k ON k.type = q.next WHERE held AND together > 1),
+tied AS (SELECT kind, item, together::BIGINT AS n, 2 * (together * ln(together / a) + CASE WHEN a > together THEN (a - together) * ln(1 - together / a) ELSE 0 END + CASE WHEN b > together THEN (b - together) * ln((b - together) / (n - a)) ELSE 0 END
+    + CASE WHEN n - a - b + together > 0 THEN (n - a - b + together) * ln(1 - (b - together) / (n - a)) ELSE 0 END - b * ln(b / n) - (n - b) * ln(1 - b / n)) AS score, together / a > b / n AS often FROM (SELECT * FROM firsts UNION ALL SELECT * FROM mets)),
+learned AS (SELECT kind, item, n, score FROM abbreviations UNION ALL SELECT kind, item, n, score FROM tied WHERE often AND score >= CASE kind WHEN 'starter' THEN 30 ELSE 7.88 END)"""
+
 JOBS_SQL = {
+    "sentence_statistics": f"WITH {SPOKEN_SQL} SELECT kind, item, n, round(score, 6) AS score FROM learned",
+    "sentence_split": rf"""WITH {SPOKEN_SQL},
+judged AS (SELECT doc_id, i, ends AND regexp_matches(raw, '[.!?…]$') AND next IS NOT NULL AND NOT CASE
+    WHEN w LIKE '%..' OR w LIKE '%…' THEN regexp_matches(next_raw, '^[\"''“‘«(\[{{]*\p{{Ll}}')
+    WHEN dot THEN regexp_matches(type, '^\p{{L}}$') OR (type || ' ' || next) IN (SELECT item FROM learned WHERE kind = 'collocation')
+      OR (regexp_matches(type, '^[0-9][0-9.,]*$') AND regexp_matches(next_raw, '^[\"''“‘«(\[{{]*(\p{{Ll}}|[0-9])'))
+      OR (type IN (SELECT item FROM learned WHERE kind = 'abbreviation') AND NOT (regexp_matches(next_raw, '^[\"''“‘«(\[{{]*\p{{Lu}}') AND next IN (SELECT item FROM learned WHERE kind = 'starter')))
+    ELSE false END AS real FROM near),
+cut AS (SELECT doc_id, i, coalesce(sum(real::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM judged),
+sized AS (SELECT doc_id, s, count(*) AS n FROM cut GROUP BY ALL)
+SELECT doc_id, count(*) AS n_sentences, md5(string_agg(n::VARCHAR, ',' ORDER BY s)) AS words_md5 FROM sized GROUP BY doc_id""",
     "name_similarity": f"WITH {pairs_sql(COMPARED)} SELECT a, b, round(whole, 9)::DOUBLE AS whole, round(part, 9)::DOUBLE AS part, near AS alike FROM simil",
     "org_cluster": f"""WITH source AS (SELECT doc_id, list(name ORDER BY k) AS own FROM {RULE(ORG_NAMES, 5, 'r')} GROUP BY doc_id), {cluster_sql('source', ORG_NAMES, 5)},
 last AS (SELECT doc_id, name, max(weight) AS weight, min(made) AS made FROM clusters GROUP BY ALL)
