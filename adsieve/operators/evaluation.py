@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adsieve.functions import tags
-from adsieve.operators.spans import merge_spans
+from adsieve.functions.text import let
 from adsieve.schemas import IGNORED, TAGS, TYPES
 
 
@@ -21,44 +21,57 @@ def named(ids: DataFrame) -> DataFrame:
     return ids.withColumns({"gold": F.get(names, F.col("gold_id")), "predicted": F.get(names, F.col("predicted_id"))})
 
 
+def gathered(tokens: DataFrame, repair: bool) -> DataFrame:
+    """(i, gold, predicted) as arrays of a chunk, of (doc_id, chunk_id, i, gold, predicted), if asked after the three repair rules."""
+    order = F.array_sort(F.collect_list(F.struct("i", "gold", "predicted")))
+    rows = tokens.groupBy("doc_id", "chunk_id").agg(order.alias("t"))
+    fixed = {c: tags.repair_all(F.col(f"t.{c}")) if repair else F.col(f"t.{c}") for c in ("gold", "predicted")}
+    return rows.select("doc_id", "chunk_id", F.col("t.i").alias("i"), fixed["gold"].alias("gold"), fixed["predicted"].alias("predicted"))
+
+
 def repaired(tokens: DataFrame) -> DataFrame:
     """Both tag columns of (doc_id, chunk_id, i, gold, predicted) after the three repair rules."""
-    order = F.array_sort(F.collect_list(F.struct("i", "gold", "predicted")))
-    gathered = tokens.groupBy("doc_id", "chunk_id").agg(order.alias("t"))
-    fixed = {c: tags.repair_all(F.col(f"t.{c}")) for c in ("gold", "predicted")}
-    zipped = gathered.select("doc_id", "chunk_id", F.arrays_zip(F.col("t.i").alias("i"), fixed["gold"].alias("gold"), fixed["predicted"].alias("predicted")).alias("t"))
-    return zipped.select("doc_id", "chunk_id", F.inline("t"))
+    return gathered(tokens, True).select("doc_id", "chunk_id", F.inline(F.arrays_zip("i", "gold", "predicted")))
+
 
+def entity_keys(tagged: Column) -> Column:
+    """``label:first:end`` of each entity of an array of tags, by place; an I tag that follows no tag of its type begins one."""
+    def found(own: Column) -> Column:
+        borders = F.filter(F.transform(own, lambda t, i: F.when(~t.startswith("I-"), i)), lambda i: i.isNotNull())
+        key = lambda marks: lambda i, k: F.concat_ws(":", tags.type_of(F.get(own, i)), i.cast("string"), F.coalesce(F.get(marks, k + 1), F.size(own)).cast("string"))
+        begun = lambda marks: lambda i, k: F.when(F.get(own, i).startswith("B-"), key(marks)(i, k))
+        return F.filter(let(borders, lambda marks: F.transform(marks, begun(marks))), lambda x: x.isNotNull())
 
-def entities_of(tokens: DataFrame, column: str) -> DataFrame:
-    """Distinct (doc_id, chunk_id, label, first, last) of one tag column; positions count as extents."""
-    as_tokens = tokens.select("doc_id", "chunk_id", "i", F.col("i").alias("start"), (F.col("i") + 1).alias("end"), F.col(column).alias("label"), F.lit(1.0).alias("confidence"))
-    return merge_spans(as_tokens).select("doc_id", "chunk_id", "label", "start", "end")
+    return let(tags.repair_starts(tagged), found)
 
 
 def _rate(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def scores(tokens: DataFrame) -> DataFrame:
-    """M2, M3: (label, precision, recall, f1, accuracy) overall and for each type, from repaired tags.
+def scores(tokens: DataFrame, repair: bool = False) -> DataFrame:
+    """M2, M3: (label, precision, recall, f1, accuracy) overall and for each type, of (doc_id, chunk_id, i, gold, predicted).
 
-    Entities are counted in one pass for all types; accuracy is that of tags with other types masked.
+    A chunk's tags gather once; its entities, hits and equal tags are counted on the arrays, for all types at a time, and
+    one sum is left. Accuracy is that of tags with other types masked. ``repair``: after the three repair rules.
     """
-    gold = entities_of(tokens, "gold").withColumn("in_gold", F.lit(1))
-    predicted = entities_of(tokens, "predicted").withColumn("in_predicted", F.lit(1))
-    both = gold.join(predicted, ["doc_id", "chunk_id", "label", "start", "end"], "full")
-    sums = [F.count("in_gold").alias("gold"), F.count("in_predicted").alias("predicted"), F.count(F.col("in_gold") + F.col("in_predicted")).alias("hit")]
-    each = both.groupBy("label").agg(*sums)
-    counted = each.unionByName(each.agg(F.lit("overall").alias("label"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("gold", "predicted", "hit")]))
-    mask = lambda c, t: F.when(F.substr(c, F.lit(3)) == t, F.col(c)).otherwise("O")
-    same = [F.avg((F.col("gold") == F.col("predicted")).cast("double")).alias("overall")]
-    same += [F.avg((mask("gold", t) == mask("predicted", t)).cast("double")).alias(t) for t in TYPES]
-    pairs = F.array(*[F.struct(F.lit(t).alias("label"), F.coalesce(F.col(t), F.lit(0.0)).alias("accuracy")) for t in ("overall", *TYPES)])
-    accuracy = tokens.agg(*same).select(F.inline(pairs))
-    joined = accuracy.join(counted, "label", "left").fillna(0, ["gold", "predicted", "hit"])
-    p, r = _rate(F.col("hit"), F.col("predicted")), _rate(F.col("hit"), F.col("gold"))
-    return joined.select("label", p.alias("precision"), r.alias("recall"), F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0).alias("f1"), "accuracy")
+    own = gathered(tokens, repair)
+    keys = own.select("gold", "predicted", entity_keys(F.col("gold")).alias("g"), entity_keys(F.col("predicted")).alias("p"))
+    masked = lambda tag, t: F.when(tags.type_of(tag) == t, tag).otherwise("O") if t else tag
+
+    def counts(pair: Column, hit: Column, t: str | None) -> list[Column]:
+        of = lambda found: F.size(F.filter(found, lambda k: k.startswith(f"{t}:"))) if t else F.size(found)
+        same = F.size(F.filter(pair, lambda x: masked(x["gold"], t) == masked(x["predicted"], t)))
+        name = t or "overall"
+        return [of(F.col("g")).alias(f"{name}_gold"), of(F.col("p")).alias(f"{name}_predicted"), of(hit).alias(f"{name}_hit"), same.alias(f"{name}_same")]
+
+    every = lambda x: F.struct(F.size("gold").alias("n"), *[c for t in (None, *TYPES) for c in counts(x["pair"], x["hit"], t)])
+    both = F.struct(F.arrays_zip("gold", "predicted").alias("pair"), F.array_intersect("g", "p").alias("hit"))
+    each = keys.select(let(both, every).alias("c")).select("c.*")
+    summed = each.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in each.columns])
+    p, r = (lambda t: _rate(F.col(f"{t}_hit"), F.col(f"{t}_predicted"))), (lambda t: _rate(F.col(f"{t}_hit"), F.col(f"{t}_gold")))
+    row = lambda t: F.struct(F.lit(t).alias("label"), p(t).alias("precision"), r(t).alias("recall"), F.when(p(t) + r(t) > 0, 2 * p(t) * r(t) / (p(t) + r(t))).otherwise(0.0).alias("f1"), _rate(F.col(f"{t}_same"), F.col("n")).alias("accuracy"))
+    return summed.select(F.inline(F.array(*map(row, ("overall", *TYPES)))))
 
 
 def as_lines(found: DataFrame) -> DataFrame:

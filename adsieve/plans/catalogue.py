@@ -231,7 +231,7 @@ def char_bio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ner_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = evaluation.scores(evaluation.repaired(token_tags(spark, sf_dir)))
+    found = evaluation.scores(token_tags(spark, sf_dir), repair=True)
     return found.select("label", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1", "accuracy")])
 
 
@@ -303,10 +303,6 @@ def word_tagger():
     return tag
 
 
-def ad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.records(marked(spark, sf_dir), tagger=word_tagger)
-
-
 def training_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token labels of every chunk, for tokens of five characters of which every seventh has no extent."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", synthetic_spans(F.col("text")).alias("label"))
@@ -322,7 +318,7 @@ QUERIES = {
     for f in (
         phone_extract, html_strip, clean_chars, crawl_clean, crawl_clean_pages, clean_stats, licence_extract, bio_fix1, bio_fix1_array, bio_fix3, span_merge, entities_by_type,
         chunk_pack, label_range_join, char_bio, ner_metrics, region_filter, addr_distinct, person_clean, person_maximal, org_expand, highlight_segments, token_table,
-        ad_records, training_examples,
+        training_examples,
     )
 }
 

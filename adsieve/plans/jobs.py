@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsieve.functions import names, tags
+from adsieve.functions.arrays import running_sums
 from adsieve.functions.cleaning import clean_columns
 from adsieve.functions.similarity import clustered, similarities
-from adsieve.operators import chunking, entities, evaluation, inspection, labels, sentences, spans
+from adsieve.functions.text import let
+from adsieve.operators import chunking, entities, evaluation, inspection, labels, sentences, sequence_tagger, spans, tagging
 from adsieve.plans import pipeline
 from adsieve.plans.catalogue import (
     ADDRESSES, MARKED, MARKED_SQL, ORACLE_SQL, ORGANISATIONS, PERSONS, QUERIES, SPAN_TOKENS_SQL, SYMBOLS, TOKENS_SQL, VALUES_SQL, PHONES_SQL, SPACE_RE2, artifacts_sql, chosen, clean_sql, metrics_sql, pick,
@@ -176,6 +178,66 @@ def streamed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("doc_id", F.md5("text").alias("text_md5"), F.array_join("phone_numbers", "|").alias("phones"))
 
 
+# ---- the learned tagger -----------------------------------------------------------------------
+
+ORG_HEADS = ["BV", "Phòng khám", "BVDK", "Trung tâm thẩm mỹ", "Nha khoa", "Cty TNHH"]
+PERSON_HEADS = ["BS.", "Bác sĩ", "ThS. BS.", "Dr.", "PGS. TS.", "Cô"]
+PLACES = ["Quận 1, TP.HCM", "Q.3, TPHCM", "Thủ Dầu Một", "Vũng Tàu", "Hà Nội", "Q. 7, TP. HCM"]
+
+
+def labelled_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text, label): each document's whole text as an advertisement, with names made of its own words woven in and labelled."""
+    d = F.col("doc_id")
+    words = F.filter(F.split("text", r"[^\p{L}]+"), lambda w: F.length(w).between(3, 12))
+    word = lambda own, k: F.initcap(F.coalesce(F.get(own, F.pmod(d * 7 + k * 13, F.greatest(F.size(own), F.lit(1))).cast("int")), F.lit("Minh")))
+    named = lambda own, k, n: F.concat_ws(" ", *[word(own, k + j) for j in range(n)])
+    org = lambda own, k: F.concat(pick(ORG_HEADS, (d + k) % len(ORG_HEADS)), F.lit(" "), named(own, k, 2))
+    person = lambda own, k: F.concat(pick(PERSON_HEADS, (d * 3 + k) % len(PERSON_HEADS)), F.lit(" "), named(own, k, 3))
+    address = lambda own, k: F.concat(((d * 11 + k * 5) % 900 + 1).cast("string"), F.lit(" "), named(own, k, 2), F.lit(", "), pick(PLACES, (d + k) % len(PLACES)))
+    phone = F.concat(F.lit("0918 "), F.lpad(((d * 37) % 1000).cast("string"), 3, "0"), F.lit(" "), F.lpad((d % 1000).cast("string"), 3, "0"))
+
+    def pieces(own: Column) -> Column:
+        piece = lambda text, label=None: F.struct(text.alias("text"), F.lit(label).cast("string").alias("label"))
+        say = lambda text: piece(F.lit(text))
+        return F.array(
+            piece(org(own, 1), "ORG"), say(" tại "), piece(address(own, 3), "ADDR"), say(" do "), piece(person(own, 5), "PER"), say(" phụ trách. "), piece(F.col("text")), say(" Mời đến "),
+            piece(org(own, 8), "ORG"), say(" gặp "), piece(person(own, 10), "PER"), say(" và "), piece(person(own, 13), "PER"), say(" ở số "), piece(address(own, 16), "ADDR"), say(" . Hotline "), piece(phone), say(" nhé."),
+        )
+
+    def laid(parts: Column, ends: Column) -> Column:
+        span = lambda p, i: F.struct((F.get(ends, i) - F.length(p["text"])).cast("int").alias("start"), F.get(ends, i).cast("int").alias("end"), p["text"].alias("text"), F.array(p["label"]).alias("labels"))
+        spans_ = F.filter(F.transform(parts, span), lambda s: F.get(s["labels"], F.lit(0)).isNotNull())
+        return F.struct(F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text"), spans_.alias("label"))
+
+    made = let(let(words, pieces), lambda parts: let(running_sums(F.transform(parts, lambda p: F.length(p["text"]))), lambda ends: laid(parts, ends)))
+    return table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select("doc_id", made.alias("m")).select("doc_id", "m.*")
+
+
+def learnt_tagger(spark: SparkSession, sf_dir: str):
+    """A tagger learned from the labelled advertisements of the training part."""
+    parts = labelled.by_split(labels.split(labelled_ads(spark, sf_dir)))
+    weights = sequence_tagger.fit(labels.training_examples(parts["train"]))
+    return sequence_tagger.tagger(spark.sparkContext.broadcast(weights))
+
+
+def tagger_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The learned tagger's metrics on the advertisements that it hasn't learned from."""
+    return scores_of(spark, sf_dir, learnt_tagger(spark, sf_dir))
+
+
+def scores_of(spark: SparkSession, sf_dir: str, tagger) -> DataFrame:
+    unseen = labels.training_examples(labels.split(labelled_ads(spark, sf_dir)).where("split <> 'train'").drop("split"))
+    ids = sequence_tagger.labelled_tokens(unseen).select("doc_id", "chunk_id", F.posexplode("labels").alias("i", "gold_id"))
+    gold = ids.select("doc_id", "chunk_id", "i", F.get(F.array(*map(F.lit, TAGS)), F.col("gold_id")).alias("gold"))
+    told = tagging.predict(unseen, tagger).select("doc_id", "chunk_id", "i", F.col("label").alias("predicted"))
+    return evaluation.scores(gold.join(told, ["doc_id", "chunk_id", "i"]), repair=True)
+
+
+def ad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of each advertisement, its names found by the learned tagger."""
+    return pipeline.records(labelled_ads(spark, sf_dir), tagger=learnt_tagger(spark, sf_dir))
+
+
 # ---- labels and metrics -----------------------------------------------------------------------
 
 
@@ -193,7 +255,7 @@ def metrics_of_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     masked = ids.withColumn("gold_id", F.when(F.col("i") % 10 == 7, -100).otherwise(F.col("gold_id")))
     counted = evaluation.without_ignored(masked)
     both = spans.name_tags(evaluation.named(counted).drop("predicted"), TAGS, "predicted_id").withColumnRenamed("label", "predicted")
-    found = evaluation.scores(evaluation.repaired(both))
+    found = evaluation.scores(both, repair=True)
     return found.select("label", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1", "accuracy")])
 
 
@@ -258,7 +320,7 @@ def labelled_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metrics as a text file of lines, read again."""
     path = fresh_path(spark, "metrics")
-    labelled.write_report(evaluation.as_lines(evaluation.scores(evaluation.repaired(token_tags(spark, sf_dir)))), path)
+    labelled.write_report(evaluation.as_lines(evaluation.scores(token_tags(spark, sf_dir), repair=True)), path)
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
@@ -272,7 +334,7 @@ def stats_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 JOBS = {
     f.__name__: f
     for f in (
-        sentence_statistics, sentence_split, name_similarity, org_cluster, entity_names, strict_parts, final_records, ner_results, rebased_entities, token_html, streamed_fields, label_split, metrics_of_ids, highest_score, column_clean,
+        sentence_statistics, sentence_split, tagger_scores, ad_records, name_similarity, org_cluster, entity_names, strict_parts, final_records, ner_results, rebased_entities, token_html, streamed_fields, label_split, metrics_of_ids, highest_score, column_clean,
         workbook_cells, workbook_clean, labelled_items, metric_lines, stats_file,
     )
 }
