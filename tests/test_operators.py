@@ -149,7 +149,7 @@ def test_oracle(spark, duck, name):
 
 
 def test_without_sql():
-    assert set(CORE) - set(CORE_SQL) == {"ad_records"}
+    assert set(CORE) - set(CORE_SQL) == {"ad_records", "tagger_scores"}
 
 
 def test_records_of_a_tagger(spark):
@@ -158,7 +158,7 @@ def test_records_of_a_tagger(spark):
     found = {r.doc_id: r for r in pipeline.records(docs, tagger=catalogue.word_tagger).collect()}
     assert found[1].phone_numbers == ["0918680551"] and found[1].doctor_names == ["Hana Spa", "Le Loi", "Bac Si An Le"]
     assert found[1].organization_names == ["Thành Phố Hồ Chí Minh."] and found[3].phone_numbers == [] and found[2].phone_numbers is None
-    assert catalogue.QUERIES["ad_records"](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert jobs.JOBS["ad_records"](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
 def test_entry(spark):
