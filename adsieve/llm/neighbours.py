@@ -13,8 +13,10 @@ nor a hot vector gathers in one task.
 
 Defined results: vectors that are null or zero, hold null or non-finite components, or differ in
 length from the most frequent length of the sample take no part, nor do rows with a null id; rows
-with one id are all candidates, and a query's own id is none of its candidates; ties go to the
-smaller id; an empty table gives an empty result; other columns are ignored.
+with one id are all candidates, and a query's own id is none of its candidates; a row of ``queries`` is
+answered by itself, so one that stands there twice gets its answers twice, and rows of one id with
+different vectors get those of each; ties go to the smaller id; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 #: Vectors that a partition should hold.
 PART_ROWS = 1 << 16
-HIT = "query_id long, vec_id long, score double"
+HIT = "query_id long, vector long, copies int, vec_id long, score double"
 
 
 def usable(vector: Column) -> Column:
@@ -189,7 +191,7 @@ def _visit(index: Index, sizes: dict[int, int], k: int):
                 order = index.route(np.array(pdf["x"].tolist(), float), index.parts)
                 short = held[order].cumsum(axis=1) < k + pdf["own"].to_numpy()[:, None]
                 visits = np.clip(short.sum(axis=1) + 1, index.visits, index.parts)
-                out = pdf.loc[pdf.index.repeat(visits), ["query_id", "x"]].copy()
+                out = pdf.loc[pdf.index.repeat(visits), ["query_id", "vector", "copies", "x"]].copy()
                 out["part"] = order[np.arange(index.parts) < visits[:, None]].astype(np.int32)
                 yield out
 
@@ -199,22 +201,23 @@ def _visit(index: Index, sizes: dict[int, int], k: int):
 def _nearest(k: int):
     def run(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(candidates):
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
+            return pd.DataFrame({c: pd.Series([], dtype=t) for c, t in (("query_id", "int64"), ("vector", "int64"), ("copies", "int32"), ("vec_id", "int64"), ("score", "float64"))})
         candidates = candidates.sort_values("vec_id", kind="stable")
         ids, c = candidates["vec_id"].to_numpy(), np.array(candidates["x"].tolist())
         q_ids, q = queries["query_id"].to_numpy(), np.array(queries["x"].tolist())
+        keys = queries[["vector", "copies"]].to_numpy()
         found = []
         for at in range(0, len(q), 512):
             rough = q[at : at + 512] @ c.T
             rough[q_ids[at : at + 512, None] == ids[None, :]] = -np.inf
             n = min(k, rough.shape[1])
             worst = -np.partition(-rough, n - 1, axis=1)[:, n - 1]
-            for row, low, query, x in zip(rough, worst, q_ids[at : at + 512], q[at : at + 512]):
+            for row, low, query, (vector, copies), x in zip(rough, worst, q_ids[at : at + 512], keys[at : at + 512], q[at : at + 512]):
                 slack = 1e-9 * (1 + abs(low)) if np.isfinite(low) else 0
                 near = np.flatnonzero((row >= low - slack) & (row > -np.inf))
                 score = (c[near] * x).sum(axis=1)  # the same sum for equal vectors, wherever they lie
                 best = np.lexsort((ids[near], -score))[:k]
-                found.append(pd.DataFrame({"query_id": query, "vec_id": ids[near][best], "score": score[best]}))
+                found.append(pd.DataFrame({"query_id": query, "vector": vector, "copies": copies, "vec_id": ids[near][best], "score": score[best]}))
         return pd.concat(found)
 
     return run
@@ -234,8 +237,10 @@ def search(vectors: DataFrame, queries: DataFrame, index: Index | None, k: int =
     held = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     # rows with a query's own id aren't its candidates; few ids have more than one
     repeated = rows(vectors, "query_id").groupBy("query_id").agg(F.count(F.lit(1)).alias("own")).where("own > 1")
-    counted = rows(queries, "query_id").join(repeated, "query_id", "left").select("query_id", "x", F.coalesce("own", F.lit(1)).alias("own"))
-    asked = counted.mapInPandas(_visit(index, held, k), "query_id long, x array<double>, part int")
+    # equal rows of the queries are searched once; ``vector`` tells rows of one id apart
+    once = rows(queries, "query_id").groupBy("query_id", "x").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    counted = once.join(repeated, "query_id", "left").select("query_id", F.xxhash64("x").alias("vector"), "copies", "x", F.coalesce("own", F.lit(1)).alias("own"))
+    asked = counted.mapInPandas(_visit(index, held, k), "query_id long, vector long, copies int, x array<double>, part int")
     # blocks: as many for each partition as its rows need, by a hash that differs for equal ids too
     asking = asked.groupBy("part").agg(F.count(F.lit(1)).alias("m")).collect()
     sizes = [{"part": r["part"], "n": held[r["part"]], "m": r["m"]} for r in asking if r["part"] in held]
@@ -250,9 +255,11 @@ def search(vectors: DataFrame, queries: DataFrame, index: Index | None, k: int =
     spread = lambda counts, name: F.explode(F.sequence(F.lit(0), of(counts) - 1)).alias(name)
     dealt = lambda counts, name: F.pmod(F.xxhash64(name), of(counts)).cast("int")
     live = F.col("part").isin(*c_blocks)
-    left = asked.where(live).select("query_id", "x", "part", dealt(q_blocks, "query_id").alias("q_block"), spread(c_blocks, "c_block"))
+    left = asked.where(live).select("query_id", "vector", "copies", "x", "part", dealt(q_blocks, "query_id").alias("q_block"), spread(c_blocks, "c_block"))
     right = placed.where(live).select("vec_id", "x", "part", dealt(c_blocks, "vec_id").alias("c_block"), spread(q_blocks, "q_block"))
     keys = ["part", "q_block", "c_block"]
     hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_nearest(k), HIT)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    order = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), "vec_id")
+    best = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    answers = F.explode(F.array_repeat(F.struct("query_id", "rank", "vec_id", "score"), F.col("copies")))
+    return best.select(answers.alias("a")).select("a.*")

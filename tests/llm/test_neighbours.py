@@ -69,6 +69,22 @@ def test_own_rows_are_topped_up(spark):
     assert index.visits < index.parts
 
 
+def test_repeated_query_rows(spark):
+    x = np.random.default_rng(6).normal(size=(200, 6)).tolist()
+    rows = [(i, v, 0, "") for i, v in enumerate(x)]
+    twice = [(20, x[20], 1, "again"), (20, x[20], 0, ""), (40, x[41], 0, "another vector")]
+    df = spark.createDataFrame(rows + twice, SCHEMA)
+    index = nb.fit(df, depth=1)
+    index.visits = index.parts
+    got = sorted((r.query_id, r.vec_id, round(r.score, 9), r["rank"]) for r in nb.search(df, df.where("vec_id % 20 = 0"), index, k=7).collect())
+    every = rows + twice
+    want = []
+    for q, v, *_ in (r for r in every if r[0] % 20 == 0):
+        best = sorted((-float(np.dot(c, v)), i) for i, c, *_ in every if i != q)[:7]
+        want += [(q, i, round(-s, 9), k + 1) for k, (s, i) in enumerate(best)]
+    assert got == sorted(want)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert nb.search(none, none, nb.fit(none)).count() == 0
