@@ -4,8 +4,9 @@ Words are runs of characters other than ASCII white space. A line fails if
 
 * symbols: characters of ``[#*$%&|<>]`` are more than a tenth of the characters in its words,
 * navigation: it has two separators (``|``, ``>``) or more, one for every four words at least; or
-  it has at most three words and no sentence mark,
-* punctuation: no word of it ends in a sentence mark (closing quotes and brackets may follow),
+  it has at most three words and fails the next rule,
+* punctuation: no word of it ends in a sentence mark of some script (closing quotes and brackets may follow; the
+  wide marks of Chinese and Japanese need no end of word), and none of its letters is of a script without such marks,
 * boilerplate: it has at most 40 words and one of the fixed phrases, in any case of A-Z.
 
 Lines without words are neither kept nor lost. A document is kept if it passes the base rules
@@ -44,9 +45,15 @@ BOILERPLATE = [
     "subscribe to our",
     "share this",
 ]
+# Sentence marks, after which quotes and brackets may close before white space; those that need none
+# behind them. Thai and Lao (U+0E00 to U+0EFF, E0 B8 80 to E0 BB BF in bytes) have no sentence mark.
+MARKS = "…؟۔।॥։።፧၊။។៕།"
+WIDE_MARKS = "。！？．｡"
+_CLOSED = r"(?:[\"')\]]|”|’|»)*(?:[\x20\x09-\x0D]|$)"
 # Compiled as bytes: characters of several bytes are alternatives, as a class would take each of their bytes.
-SENTENCE_END = r"(?:\.|!|\?|…)(?:[\"')\]]|”|’|»)*"
-_ENDS = re.compile((SENTENCE_END + r"(?:[\x20\x09-\x0D]|$)").encode())
+_ENDS = re.compile((r"[.!?]" + _CLOSED).encode())
+_OTHER_ENDS = re.compile(("(?:" + "|".join(MARKS) + ")" + _CLOSED + "|" + "|".join(WIDE_MARKS)).encode())
+_NO_MARKS = re.compile(rb"\xe0[\xb8-\xbb]")
 _BOILER = re.compile("|".join(BOILERPLATE).encode())
 _NOT_SYMBOL = bytes(set(range(256)) - set(SYMBOLS))
 _SPACES = b" \t\n\v\f\r"
@@ -83,7 +90,7 @@ def line_failure(line: bytes, words: list[bytes]) -> str | None:
         return "navigation"
     if 10 * len(line.translate(None, _NOT_SYMBOL)) > word_characters(line):
         return "symbols"
-    if not _ENDS.search(line):
+    if not _ENDS.search(line) and (line.isascii() or not (_OTHER_ENDS.search(line) or _NO_MARKS.search(line))):
         return "navigation" if n <= 3 else "punctuation"
     if n <= 40 and _BOILER.search(line.lower()):
         return "boilerplate"
@@ -182,7 +189,7 @@ def clean(docs: DataFrame, **rules: int) -> DataFrame:
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else kept
 
 
-ORACLE = f"""
+ORACLE = """
 WITH split_lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nth
@@ -198,8 +205,8 @@ WITH split_lines AS (
     row_number() OVER (PARTITION BY doc_id, line ORDER BY nth) > 1 AS again,
     10 * symbols > chars
       OR (bars >= 2 AND 4 * bars >= len(words))
-      OR NOT regexp_matches(line, '[.!?…]["''”’»)\\]]*([\\x20\\x09-\\x0D]|$)')
-      OR (len(words) <= 40 AND regexp_matches(line, '(?i)({'|'.join(BOILERPLATE)})')) AS failed
+      OR NOT (regexp_matches(line, '[.!?…؟۔।॥։።፧၊။។៕།]["''”’»)\\]]*([\\x20\\x09-\\x0D]|$)') OR regexp_matches(line, '[。！？．｡]') OR regexp_matches(line, '[\\x{0E00}-\\x{0EFF}]'))
+      OR (len(words) <= 40 AND regexp_matches(line, '(?i)(all rights reserved|accept cookies|cookie policy|enable javascript|privacy policy|terms of use|terms of service|lorem ipsum|click here|sign up for|subscribe to our|share this)')) AS failed
   FROM measured WHERE len(words) > 0
 ), words AS (
   SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY nth, k) AS p FROM (

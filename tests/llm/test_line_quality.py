@@ -55,5 +55,24 @@ def test_cases(spark):
     assert all(r.text == good and r.n_chars == len(good) for r in cleaned)
 
 
+SOUND = {
+    "zh": "这家 医院 今天 开门 了 。 医生 们 都 很 忙 ， 病人 也 很 多 。 我们 明天 再 来 看 看 吧 。 谢谢 大家 的 帮助 。",
+    "ja": "今日は 天気が とても 良い です。 私は 駅まで 歩いて 行き ました。 それから 友達と 昼ご飯を 食べ て、 夜は 家で 本を 読み、 早く 寝ました。 明日も 同じ 予定 です 。 多分",
+    "hi": "यह अस्पताल आज सुबह आठ बजे खुला । सभी डॉक्टर काम में लगे थे । बहुत से मरीज़ आए और वे शाम तक बैठे रहे । कल फिर आएँगे।",
+    "ar": "هل فتح المستشفى أبوابه صباح اليوم أم لا؟ نعم فتح في الساعة الثامنة وكان جميع الأطباء مشغولين جدا مع المرضى الذين جاؤوا من القرى البعيدة اليوم؟",
+    "th": "วันนี้ โรงพยาบาล เปิด แปด โมง เช้า หมอ ทุก คน งาน ยุ่ง มาก มี คนไข้ มา จาก ต่าง จังหวัด เยอะ พรุ่งนี้ เรา จะ มา ใหม่ อีก ครั้ง",
+    "am": "ዛሬ ሆስፒታሉ በጠዋት ተከፈተ ሐኪሞቹ ሁሉ በሥራ ተጠምደው ነበር ብዙ ሕሙማንም ከሩቅ አገር መጥተው ነበር ነገ እንደገና እንመጣለን ለሁሉም እናመሰግናለን ደህና ሁኑ ወዳጆቻችን በሰላም ግቡ እንግዲህ።",
+    "vi": "Hôm nay phòng khám mở cửa từ rất sớm và các bác sĩ đều bận. Ngày mai chúng tôi sẽ quay lại để gặp họ một lần nữa nhé.",
+}
+
+
+def test_sound_texts_of_seven_scripts_are_kept(spark):
+    rows = [(k, t, lang, 0) for k, (lang, t) in enumerate(SOUND.items())]
+    got = lq.judge(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == 7 and all(r.kept and not r.base_failed and r.n_failed_lines == 0 for r in got)
+    unsound = [(k, t.translate({ord(c): None for c in ".!?" + lq.MARKS + lq.WIDE_MARKS}), lang, 0) for k, (lang, t) in enumerate(SOUND.items()) if lang != "th"]
+    assert not any(r.kept for r in lq.judge(spark.createDataFrame(unsound, SCHEMA)).collect())
+
+
 def test_empty(spark):
     assert lq.judge(spark.createDataFrame([], SCHEMA)).count() == 0
