@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsieve.functions.text import cut, let, pages
+from adsieve.functions.text import SPACE, cut, let, pages
 from adsieve.operators.spans import KEY
 
 # Tokens that aren't shown, and the colours (fill, border) of each type.
@@ -49,7 +49,7 @@ def segments(text: Column, entities: Column) -> Column:
         return F.filter(F.concat(F.flatten(F.transform(own, one)), rest), lambda s: s["text"] != "")
 
     given = F.struct(ordered.alias("own"), F.length(text).alias("n"), pages(text).alias("pages"))
-    return F.when(text.rlike(r"\S"), let(given, pieces)).otherwise(empty)
+    return F.when(text.rlike(f"[^{SPACE[1:-1]}]"), let(given, pieces)).otherwise(empty)
 
 
 def _escaped(text: Column) -> Column:

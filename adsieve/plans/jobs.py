@@ -215,7 +215,7 @@ def labelled_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def learnt_tagger(spark: SparkSession, sf_dir: str):
     """A tagger learned from the labelled advertisements of the training part."""
-    parts = labelled.by_split(labels.split(labelled_ads(spark, sf_dir)))
+    parts = labelled.by_split(labels.split(labelled_ads(spark, sf_dir), exact=False))
     weights = sequence_tagger.fit(labels.training_examples(parts["train"]))
     return sequence_tagger.tagger(spark.sparkContext.broadcast(weights))
 
@@ -226,7 +226,7 @@ def tagger_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores_of(spark: SparkSession, sf_dir: str, tagger) -> DataFrame:
-    unseen = labels.training_examples(labels.split(labelled_ads(spark, sf_dir)).where("split <> 'train'").drop("split"))
+    unseen = labels.training_examples(labels.split(labelled_ads(spark, sf_dir), exact=False).where("split <> 'train'").drop("split"))
     ids = sequence_tagger.labelled_tokens(unseen).select("doc_id", "chunk_id", F.posexplode("labels").alias("i", "gold_id"))
     gold = ids.select("doc_id", "chunk_id", "i", F.get(F.array(*map(F.lit, TAGS)), F.col("gold_id")).alias("gold"))
     told = tagging.predict(unseen, tagger).select("doc_id", "chunk_id", "i", F.col("label").alias("predicted"))
@@ -458,7 +458,9 @@ FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN kinds USING (doc_id)"
     "token_html": f"""WITH {SPAN_TOKENS_SQL}, blocks AS (SELECT doc_id, i, {HTML_SQL} AS b FROM served WHERE i % 13 <> 4),
 pages_ AS (SELECT doc_id, '<div style="font-family:sans-serif;line-height:2.5;">' || string_agg(b, '' ORDER BY i) || '</div>' AS html FROM blocks GROUP BY doc_id)
 SELECT doc_id, length(html)::BIGINT AS n, md5(html) AS html_md5 FROM pages_""",
-    "label_split": """SELECT doc_id, CASE ('0x' || substr(md5('42:' || doc_id), 1, 8))::BIGINT % 10 WHEN 8 THEN 'validation' WHEN 9 THEN 'test' ELSE 'train' END AS split FROM documents""",
+    "label_split": """WITH drawn AS (SELECT doc_id, ('0x' || substr(md5('42:' || doc_id), 1, 15))::BIGINT AS draw FROM documents),
+ranked AS (SELECT *, row_number() OVER (ORDER BY draw) AS r, count(*) OVER () AS n FROM drawn)
+SELECT doc_id, CASE WHEN r <= n - (n + 4) // 5 THEN 'train' WHEN r <= n - (n + 4) // 5 + (n + 4) // 5 // 2 THEN 'validation' ELSE 'test' END AS split FROM ranked""",
     "metrics_of_ids": f"WITH {TOKENS_SQL.replace('tokens AS (', 'all_tokens AS (', 1)}, tokens AS (SELECT * FROM all_tokens WHERE i % 10 <> 7), {metrics_sql()}",
     "highest_score": "SELECT vec_id, (list_position(embedding, list_max(embedding)) - 1)::BIGINT AS best FROM embeddings",
     "column_clean": f"""WITH woven AS (SELECT doc_id, {sql_list(MARKED)}[(doc_id % {len(MARKED)} + 1)::INT] AS m, text, lang, source, n_chars FROM documents)

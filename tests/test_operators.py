@@ -67,9 +67,15 @@ def test_consolidation(spark):
 
 
 def test_segments_rebuild_the_text(spark):
-    df = spark.createDataFrame([("abcdefgh", [(2, 4, "PER"), (6, 99, "ORG")]), ("  ", []), ("xyz", [])], "t string, e array<struct<start:int,end:int,label:string>>")
+    df = spark.createDataFrame([("abcdefgh", [(2, 4, "PER"), (6, 99, "ORG")]), ("  ", []), ("xyz", []), ("\u00a0\u3000", [(0, 1, "PER")])], "t string, e array<struct<start:int,end:int,label:string>>")
     got = [r.s for r in df.select(inspection.segments(F.col("t"), F.col("e")).alias("s")).collect()]
-    assert [tuple(s) for s in got[0]] == [("ab", None), ("cd", "PER"), ("ef", None), ("gh", "ORG")] and got[1] == [] and [tuple(s) for s in got[2]] == [("xyz", None)]
+    assert [tuple(s) for s in got[0]] == [("ab", None), ("cd", "PER"), ("ef", None), ("gh", "ORG")] and got[1] == [] and [tuple(s) for s in got[2]] == [("xyz", None)] and got[3] == []
+
+
+def test_digit_stands_for_no_entity(spark):
+    rows = [(1, 0, 0, "a", 7, "0", 0.12345), (1, 0, 1, "b", 8, "B-PER", 0.9), (1, 0, 2, "<s>", 1, "B-PER", 0.9)]
+    got = inspection.token_table(spark.createDataFrame(rows, "doc_id long, chunk_id int, i int, token string, token_id int, label string, confidence double")).orderBy("index").collect()
+    assert [(r.predicted_tag, r.confidence, r.is_entity) for r in got] == [("O", 0.1235, ""), ("B-PER", 0.9, "✅"), ("B-PER", 0.9, "")]
 
 
 def test_labels_and_split(spark):
@@ -79,7 +85,13 @@ def test_labels_and_split(spark):
     places = [(r.doc_id, r.pos, r.tag) for r in labels.character_table(items).where("tag <> 'O'").orderBy("doc_id", "pos").collect()]
     assert places == [(r.doc_id, r.pos, r.tag) for r in labels.entity_characters(items).orderBy("doc_id", "pos").collect()]
     parts = {n: d.count() for n, d in labelled.by_split(labels.split(items)).items()}
-    assert sum(parts.values()) == 300 and parts["train"] > 200 and min(parts.values()) > 10
+    assert parts == {"train": 240, "validation": 30, "test": 30}
+    hashed = labels.split(items, exact=False).groupBy("split").count().collect()
+    assert {r.split for r in hashed} == set(parts) and all(abs(r["count"] - parts[r.split]) < 40 for r in hashed)
+    for n in (0, 1, 2, 6, 11):
+        rest = -(-n // 5)
+        found = labels.split(items.limit(n)).groupBy("split").count().collect()
+        assert {r.split: r["count"] for r in found} == {k: v for k, v in (("train", n - rest), ("validation", rest // 2), ("test", rest - rest // 2)) if v}
     made = labels.training_examples(items.limit(3), 10).collect()
     assert all(r.runs for r in made) and {r.problem for r in made} == {None}
 
