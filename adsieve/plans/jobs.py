@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from adsieve.functions import names, tags
 from adsieve.functions.arrays import running_sums
-from adsieve.functions.cleaning import clean_columns
+from adsieve.functions.cleaning import clean_columns, remove_crawl_artifacts
 from adsieve.functions.similarity import clustered, similarities
 from adsieve.functions.text import let
 from adsieve.operators import chunking, entities, evaluation, inspection, labels, sentences, sequence_tagger, spans, tagging
 from adsieve.plans import pipeline
 from adsieve.plans.catalogue import (
-    ADDRESSES, MARKED, MARKED_SQL, ORACLE_SQL, ORGANISATIONS, PERSONS, QUERIES, SPAN_TOKENS_SQL, SYMBOLS, TOKENS_SQL, VALUES_SQL, PHONES_SQL, SPACE_RE2, artifacts_sql, chosen, clean_sql, metrics_sql, pick,
+    ADDRESSES, MARKED, MARKED_SQL, ORACLE_SQL, ORGANISATIONS, PERSONS, QUERIES, SPAN_TOKENS_SQL, SYMBOLS, TOKENS_SQL, VALUES_SQL, PHONES_SQL, SPACE_RE2, artifacts_sql, chosen, clean_sql, marked, metrics_sql, pick,
     span_tokens, sql_list, sql_text, table, token_tags, weave,
 )
 from adsieve.schemas import TAGS
@@ -309,14 +309,22 @@ def workbook_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file of labelled items written as one JSON array and read again."""
-    items = table(spark, sf_dir, "benchmark").orderBy("item_id").select(F.to_json(F.struct(F.col("item_id").cast("string").alias("id"), "text", F.array(F.struct(F.lit(0).alias("start"), F.length("text").alias("end"), "text", F.array(F.lit("ORG")).alias("labels"))).alias("label"))).alias("j"))
+    """Labelled items written as JSON arrays and read again in ranges."""
+    span = F.struct(F.lit(0).alias("start"), F.length("text").alias("end"), "text", F.array(F.lit("ORG")).alias("labels"))
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("id"), "text", F.array(span).alias("label"))
     path = fresh_path(spark, "items")
-    items.agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value")).write.text(path)  # one file is what the source reads
+    labelled.write_labelled(items, path)
     found = labelled.read_labelled(spark, path)
     return found.select("id", F.md5("text").alias("text_md5"), F.get("label", F.lit(0))["end"].alias("last"), F.get(F.get("label", F.lit(0))["labels"], F.lit(0)).alias("kind"))
 
 
+def table_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C13-C15 on a table: written clean, with the statistics that its one pass observed."""
+    path = fresh_path(spark, "clean")
+    stats = pipeline.clean_table(marked(spark, sf_dir).select("doc_id", "text"), path, remove_crawl_artifacts)
+    return spark.read.parquet(path).select("doc_id", F.md5("text").alias("text_md5"), *[F.lit(stats[c]).alias(c) for c in ("total_cells", "changed_cells", "change_percentage")])
+
+
 def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metrics as a text file of lines, read again."""
     path = fresh_path(spark, "metrics")
@@ -335,7 +343,7 @@ JOBS = {
     f.__name__: f
     for f in (
         sentence_statistics, sentence_split, tagger_scores, ad_records, name_similarity, org_cluster, entity_names, strict_parts, final_records, ner_results, rebased_entities, token_html, streamed_fields, label_split, metrics_of_ids, highest_score, column_clean,
-        workbook_cells, workbook_clean, labelled_items, metric_lines, stats_file,
+        workbook_cells, workbook_clean, labelled_items, table_clean, metric_lines, stats_file,
     )
 }
 
@@ -470,6 +478,8 @@ SELECT doc_id, md5({artifacts_sql(clean_sql(f"(m || {sql_text(SYMBOLS)} || text)
 SELECT 2 AS sheets_processed, count(*) FILTER (row > 0) AS total_cells, count(*) FILTER (value <> cleaned) AS changed_cells, round(count(*) FILTER (value <> cleaned) / count(*) FILTER (row > 0) * 100, 2) AS change_percentage,
   md5(string_agg(cleaned, '|' ORDER BY sheet, row, col)) AS cells_md5 FROM cells""",
     "labelled_items": "SELECT item_id::VARCHAR AS id, md5(text) AS text_md5, length(text)::INT AS last, 'ORG' AS kind FROM benchmark",
+    "table_clean": f"""WITH {MARKED_SQL}, done AS (SELECT doc_id, text, {artifacts_sql('text')} AS cleaned FROM marked), n AS (SELECT count(*) AS every, count(*) FILTER (text IS DISTINCT FROM cleaned) AS changed FROM done)
+SELECT doc_id, md5(cleaned) AS text_md5, 2 * every AS total_cells, changed AS changed_cells, round(changed / (2 * every) * 100, 2) AS change_percentage FROM done, n""",
     "metric_lines": f"""WITH {TOKENS_SQL}, m AS (WITH {metrics_sql()})
 SELECT label || '_' || name || ': ' || printf('%.4f', value) AS line FROM (SELECT label, unnest(['precision', 'recall', 'f1', 'accuracy']) AS name, unnest([precision, recall, f1, accuracy]) AS value FROM m)""",
     "streamed_fields": f"""WITH {MARKED_SQL}, done AS (SELECT doc_id, {artifacts_sql(clean_sql('text'))} AS t FROM marked),

@@ -2,12 +2,14 @@
 
 import json
 import os
+import random
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from adsieve.functions import names
 from adsieve.operators import chunking, entities, evaluation, inspection, labels, spans
 from adsieve.plans import catalogue, jobs, pipeline
 from adsieve.sources import labelled, workbook
@@ -106,7 +108,7 @@ def test_metrics_of_equal_tags(spark):
 def test_labelled_source(spark, tmp_path):
     item = {"id": "a", "text": "An", "label": [{"start": 0, "end": 2, "text": "An", "labels": ["PER"]}]}
     (tmp_path / "x.json").write_text(json.dumps([item, {"text": "y"}]))
-    got = labelled.read_labelled(spark, str(tmp_path / "x.json")).collect()
+    got = labelled.read_labelled(spark, str(tmp_path / "x.json")).orderBy(F.col("id").asc_nulls_last()).collect()
     assert got[0].label[0].labels == ["PER"] and got[1].id is None
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         labelled.read_labelled(spark, str(tmp_path / "none.json"))
@@ -176,3 +178,62 @@ def test_records_of_a_tagger(spark):
 def test_entry(spark):
     assert entry.entry(spark).columns == ["doc_id", "phone"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_labelled_items_across_ranges(spark, tmp_path):
+    marks = ['{', '}', '}]', '\\', '\\"', '"}', '[{"', '\n', 'ế', '', '\u2028', '},{', "\\\\"]
+    items = [{"id": str(k), "text": "".join(marks[(k * j + j) % len(marks)] + "x" * (k % 5) for j in range(k % 40)), "label": [{"start": k, "end": k + 1, "text": marks[k % len(marks)], "labels": ["A}"]}] * (k % 3)} for k in range(400)]
+    for name, options in (("a", {"indent": 1}), ("b", {"ensure_ascii": False}), ("c", {"separators": (",", ":")})):
+        (tmp_path / f"{name}.json").write_text(json.dumps(items, **options), encoding="utf-8")
+    (tmp_path / "none.json").write_text(" [ ]\n")
+    (tmp_path / "empty.json").write_text("")
+    (tmp_path / "one.json").write_text(json.dumps({"id": "one", "text": "{", "other": {"x": ["}"]}}))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        raw = spark.read.option("lineSep", "}").text(str(tmp_path / "*.json"))
+        assert raw.rdd.getNumPartitions() > 50
+        got = labelled.read_labelled(spark, str(tmp_path / "*.json")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    as_row = lambda x: (x["id"], x["text"], [(s["start"], s["end"], s["text"], s["labels"]) for s in x["label"]])
+    assert sorted(as_row(r) for r in got if r.id != "one") == sorted(as_row(x) for x in items * 3)
+    assert [(r.text, r.label) for r in got if r.id == "one"] == [("{", None)]
+    labelled.write_labelled(spark.createDataFrame(got, labelled.LABELLED_ITEM).repartition(3), str(tmp_path / "out"))
+    again = labelled.read_labelled(spark, str(tmp_path / "out"))
+    assert again.exceptAll(spark.createDataFrame(got, labelled.LABELLED_ITEM)).count() == 0 and again.count() == 1201
+    labelled.write_labelled(again.limit(0), str(tmp_path / "nothing"))
+    assert labelled.read_labelled(spark, str(tmp_path / "nothing")).count() == 0
+
+
+@pytest.mark.parametrize("broken", ['[{"id": "a", "text": "hal', '[{"id": "a"}, oops]', '[{"id": }]'])
+def test_broken_items_raise(spark, tmp_path, broken):
+    (tmp_path / "x.json").write_text(broken)
+    with pytest.raises(Exception, match="no item of a JSON array|MALFORMED_RECORD"):
+        labelled.read_labelled(spark, str(tmp_path / "x.json")).collect()
+
+
+def test_clean_table_observes_one_pass(spark, tmp_path):
+    rows = [(1, "a [AD] b", None), (2, "same", "<b>x</b>"), (3, None, "y")]
+    df = spark.createDataFrame(rows, "id long, `a.b` string, given_0 string")
+    stats = pipeline.clean_table(df, str(tmp_path / "clean"))
+    assert (stats["total_cells"], stats["changed_cells"], stats["change_percentage"]) == (9, 2, 22.22)
+    got = spark.read.parquet(str(tmp_path / "clean"))
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [(1, "a b", None), (2, "same", "x"), (3, None, "y")]
+    empty = pipeline.clean_table(df.limit(0), str(tmp_path / "none"))
+    assert (empty["total_cells"], empty["changed_cells"], empty["change_percentage"]) == (0, 0, 0.0)
+
+
+def test_names_inside_others(spark):
+    rng = random.Random(8)
+    lists = [["".join(rng.choice("abÂế ") for _ in range(rng.randint(2, 9))) for _ in range(n)] for n in (0, 1, 2, 31, 33, 34, 80, 300)]
+    lists += [["ab" * k for k in range(1, 60)], [chr(97 + k % 26) * (2 + k // 26) for k in range(90)], ["x" * 3000, "y" * 20] + [f"n{k} x" for k in range(60)]]
+    got = spark.createDataFrame([(k, own) for k, own in enumerate(lists)], "k int, own array<string>").select("k", names.distinct_persons(F.col("own")).alias("kept")).collect()
+    for r in got:
+        first = {}
+        for name in lists[r.k]:
+            if len(name) >= 2 and any(c.isalpha() for c in name):
+                first.setdefault(name.lower(), name)
+        assert r.kept == [n for key, n in first.items() if not any(len(q) > len(key) and key in q for q in first)]
