@@ -4,11 +4,13 @@ Each language has a probability for every piece of a fixed public vocabulary. Th
 word is the sum over all of its segmentations into pieces, found by a forward pass; the score of
 a text is the sum of its words' log-likelihoods, since no piece of the vocabulary crosses a word.
 Probabilities are learned by expectation maximisation (forward and backward passes) from labelled
-texts: a hash sample of about ``sample_docs`` documents for each language, as documented below.
+texts: a hash sample of about ``sample_docs`` documents for each language, as documented below. Its
+words are counted in Spark, and so are each round's expected pieces: what a task expects is summed in
+fixed point, so that the sums are the same however rows are dealt.
 
-A word's letters count, in lower case, in runs of at most ``RUN`` letters (longer runs are scored
-run by run, so no text is cut short); other characters separate runs. A letter that no piece
-covers alone has the fixed probability ``UNKNOWN``.
+A word's letters count, in lower case; other characters separate runs of letters. A run of any length is
+scored whole. Only learning takes runs over ``RUN`` letters in parts, of which the first alone begins a
+word. A letter that no piece covers alone has the fixed probability ``UNKNOWN``.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter, or where nothing
 was labelled; ties go to the smaller language name; repeated rows are predicted each by itself;
@@ -28,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adsieve.llm.storage import keep
 from adsieve.llm.words import slices, sole
 
 RUN = 32
@@ -43,11 +46,13 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
 def letter_runs(word: str) -> list[str]:
-    """Runs of letters in lower case, each with the word-begin mark, of at most RUN letters."""
-    out = []
-    for run in _LETTERS.findall(word.lower()):
-        out += [BEGIN + run[k : k + RUN] for k in range(0, len(run), RUN)]
-    return out
+    """Runs of letters in lower case, each with the word-begin mark."""
+    return [BEGIN + run for run in _LETTERS.findall(word.lower())]
+
+
+def in_parts(run: str) -> list[str]:
+    """A run in parts of at most RUN letters, for learning."""
+    return [run[: RUN + 1], *(run[k : k + RUN] for k in range(RUN + 1, len(run), RUN))]
 
 
 class Vocabulary:
@@ -70,6 +75,7 @@ class Vocabulary:
                 h = h * _BASE + column
             order = np.argsort(h)
             self.by_length[length] = (h[order], np.array(own, np.int32)[order])
+        self.longest = max(self.by_length)
 
     def edges(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(from, to, piece or -1) ordered by place in the run; first and last node of each run."""
@@ -110,9 +116,14 @@ class Vocabulary:
 
 def forward(edges: tuple, steps: np.ndarray, p: np.ndarray) -> np.ndarray:
     """Sum over segmentations up to each node, for each language; p: a row for each edge."""
-    source, target, _, first, last = edges
+    first, last = edges[3:]
     alpha = np.zeros((int(last[-1]) + 1, p.shape[1]))
     alpha[first] = 1
+    return _spread(alpha, edges, steps, p)
+
+
+def _spread(alpha: np.ndarray, edges: tuple, steps: np.ndarray, p: np.ndarray) -> np.ndarray:
+    source, target = edges[:2]
     for a, b in zip(steps[:-1], steps[1:]):
         for_lengths = target[a:b] - source[a:b]
         for length in np.unique(for_lengths):  # edges of one start and one length never share their end
@@ -142,35 +153,130 @@ def of_pieces(table: np.ndarray, edges: tuple) -> np.ndarray:
 
 
 def run_scores(vocabulary: Vocabulary, table: np.ndarray, runs: list[str]) -> np.ndarray:
-    edges = vocabulary.edges(runs)
-    lengths = np.fromiter(map(len, runs), float, len(runs))
-    return np.log(forward(edges, vocabulary.steps, of_pieces(table, edges))[edges[4]]) - np.log(SCALE) * lengths[:, None]
-
-
-def learn(vocabulary: Vocabulary, words: dict[str, Counter], rounds: int = 3) -> tuple[list[str], np.ndarray]:
-    """Piece probabilities, a column for each language in name order."""
-    names = sorted(words)
-    table = np.full((vocabulary.size, len(names)), 1 / vocabulary.size)
-    for column, name in enumerate(names):
-        runs: Counter = Counter()
-        for word, n in words[name].items():
-            for run in letter_runs(word):
-                runs[run] += n
-        every, times = list(runs), np.fromiter(runs.values(), float, len(runs))
-        for _ in range(rounds):
-            counts = np.zeros(vocabulary.size)
-            for at in range(0, len(every), 20_000):
-                part, weight = every[at : at + 20_000], times[at : at + 20_000]
-                edges = vocabulary.edges(part)
-                source, target, piece, first, last = edges
-                p = of_pieces(table[:, [column]], edges)
-                alpha, beta = forward(edges, vocabulary.steps, p), backward(edges, vocabulary.steps, p)
-                owner = np.searchsorted(first, source, side="right") - 1
-                share = weight[owner] * alpha[source, 0] * p[:, 0] * beta[target, 0] / alpha[last[owner], 0]
-                known = piece >= 0
-                counts += np.bincount(piece[known], share[known], vocabulary.size)
-            table[:, column] = (counts + 0.01) / (counts.sum() + 0.01 * vocabulary.size)
-    return names, table
+    """Log-likelihoods of runs of any length, a row for each and a column for each language."""
+    out = np.zeros((len(runs), table.shape[1]))
+    short = [k for k, run in enumerate(runs) if len(run) <= RUN + 1]
+    if short:
+        own = [runs[k] for k in short]
+        edges = vocabulary.edges(own)
+        lengths = np.fromiter(map(len, own), float, len(own))
+        out[short] = np.log(forward(edges, vocabulary.steps, of_pieces(table, edges))[edges[4]]) - np.log(SCALE) * lengths[:, None]
+    for k, run in enumerate(runs):
+        if len(run) > RUN + 1:
+            out[k] = long_score(vocabulary, table, run)
+    return out
+
+
+#: Blocks of a long run that are looked up at once.
+BLOCKS = 256
+
+
+def long_score(vocabulary: Vocabulary, table: np.ndarray, run: str) -> np.ndarray:
+    """The same for one long run, block by block, so that no product leaves the range of doubles.
+
+    A block is as long as the longest piece, so a piece reaches into the next block at most. What is carried over a border
+    is, for each of the next block's nodes, the sum over segmentations whose first node beyond the border it is; a block
+    maps these linearly onto those of the next border. They are scaled by their largest at each border.
+    """
+    wide = vocabulary.longest
+    carried, scale = np.zeros((table.shape[1], wide)), np.zeros(table.shape[1])
+    carried[:, 0] = 1
+    starts = range(0, max(len(run) - 2 * wide + 2, 0), wide)
+    for at in range(0, len(starts), BLOCKS):
+        alpha, first, _ = _from_each(vocabulary, table, [run[b : b + 2 * wide - 1] for b in starts[at : at + BLOCKS]], wide)
+        for block in alpha[first[:, None] + wide + np.arange(wide)]:
+            carried = np.einsum("jlk,lk->lj", block, carried)
+            largest = carried.max(axis=1)
+            carried /= largest[:, None]
+            scale += np.log(largest)
+    rest = run[len(starts) * wide :]
+    alpha, _, last = _from_each(vocabulary, table, [rest], len(rest))
+    return np.log((alpha[last[0]] * carried).sum(axis=1)) + scale - np.log(SCALE) * len(run)
+
+
+def _from_each(vocabulary: Vocabulary, table: np.ndarray, parts: list[str], stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums up to each node by language and by the part's node set out from, over pieces that begin before ``stop``."""
+    edges = vocabulary.edges(parts)
+    first, last = edges[3:]
+    alpha = np.zeros((int(last[-1]) + 1, table.shape[1], vocabulary.longest))
+    for j in range(min(vocabulary.longest, len(parts[0]) + 1)):
+        alpha[first + j, :, j] = 1
+    return _spread(alpha, edges, vocabulary.steps[: stop + 1], of_pieces(table, edges)[:, :, None]), first, last
+
+
+#: Expected counts are summed in this many parts of one, as whole numbers: their sums don't depend on any order.
+PARTS = 1 << 20
+
+
+def expected(vocabulary: Vocabulary, column: np.ndarray, runs: list[str], times: np.ndarray) -> np.ndarray:
+    """How often each piece is expected in runs of one language, in PARTS, given its probabilities (one column)."""
+    counts = np.zeros(vocabulary.size)
+    for at in range(0, len(runs), 20_000):
+        part, weight = runs[at : at + 20_000], times[at : at + 20_000]
+        edges = vocabulary.edges(part)
+        source, target, piece, first, last = edges
+        p = of_pieces(column, edges)
+        alpha, beta = forward(edges, vocabulary.steps, p), backward(edges, vocabulary.steps, p)
+        owner = np.searchsorted(first, source, side="right") - 1
+        share = weight[owner] * alpha[source, 0] * p[:, 0] * beta[target, 0] / alpha[last[owner], 0]
+        known = piece >= 0
+        counts += np.bincount(piece[known], np.rint(share[known] * PARTS), vocabulary.size)
+    return counts
+
+
+def maximised(counts: np.ndarray) -> np.ndarray:
+    """Probabilities of pieces from expected counts (in PARTS), a column for each language."""
+    own = counts / PARTS
+    return (own + 0.01) / (own.sum(axis=0) + 0.01 * len(own))
+
+
+def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: Counter = Counter()
+
+    def told() -> pa.RecordBatch:
+        keys = list(counts)
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(counts.values()), pa.int64())], ["lang", "run", "n"])
+
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for word, n in Counter(text.split()).items():
+                for run in letter_runs(word):
+                    for part in in_parts(run):
+                        counts[lang, part] += n
+            if len(counts) > CACHE_WORDS // 2:
+                yield told()
+                counts.clear()
+    yield told()
+
+
+def _expect(path: str, names: list[str], table: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, counts = Vocabulary(path), np.zeros(table.shape)
+        for batch in batches:
+            langs, times = np.array(batch.column(0).to_pylist(), object), batch.column(2).to_numpy().astype(float)
+            for column, name in enumerate(names):
+                own = np.flatnonzero(langs == name)
+                if len(own):
+                    counts[:, column] += expected(vocabulary, table[:, [column]], batch.column(1).take(pa.array(own)).to_pylist(), times[own])
+        piece, column = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(column.astype(np.int32)), pa.array(piece.astype(np.int32)), pa.array(counts[piece, column].astype(np.int64))], ["column", "piece", "parts"])
+
+    return run
+
+
+def learn(runs: DataFrame, names: list[str], vocabulary_path: str, rounds: int = 3) -> np.ndarray:
+    """Piece probabilities from (lang, run, n), a column for each language; a round is one Spark job.
+
+    The driver gets one row for each piece and language that occur, whatever the number of runs.
+    """
+    size = Vocabulary(vocabulary_path).size
+    table = np.full((size, len(names)), 1 / size)
+    for _ in range(rounds):
+        sums = runs.mapInArrow(_expect(vocabulary_path, names, table), "column int, piece int, parts long").groupBy("column", "piece").agg(F.sum("parts").alias("parts")).toArrow()
+        counts = np.zeros(table.shape)
+        counts[sums["piece"].to_numpy(), sums["column"].to_numpy()] = sums["parts"].to_numpy()
+        table = maximised(counts)
+    return table
 
 
 def is_held_out(id_column: Column) -> Column:
@@ -186,14 +292,15 @@ def fit(docs: DataFrame, vocabulary_path: str, sample_docs: int = 1500) -> tuple
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
     totals = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    words: dict[str, Counter] = {}
     if not totals:
         return [], np.zeros((1, 0))
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, sample_docs / n))]), F.col("lang"))
     draw = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    for r in labelled.where((draw < share) & F.col("text").isNotNull()).select("lang", "text").toLocalIterator():
-        words.setdefault(r["lang"], Counter()).update(r["text"].split())
-    return learn(Vocabulary(vocabulary_path), words) if words else ([], np.zeros((1, 0)))
+    sample = labelled.where((draw < share) & F.col("text").isNotNull()).select("lang", F.col("text").cast("string").alias("text"))
+    counted = sample.mapInArrow(_count_runs, "lang string, run string, n long").groupBy("lang", "run").agg(F.sum("n").alias("n"))
+    runs = keep(counted.repartition(docs.sparkSession.sparkContext.defaultParallelism, "lang", "run"), "language-runs")
+    names = sorted(r["lang"] for r in runs.select("lang").distinct().collect())
+    return names, learn(runs, names, vocabulary_path) if names else np.zeros((1, 0))
 
 
 class Scorer:
