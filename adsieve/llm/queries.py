@@ -37,7 +37,7 @@ def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_lists.judge(*url_lists.demonstration(table(spark, sf_dir, "pages")))
+    return url_lists.judge(*url_lists.demonstration(table(spark, sf_dir, "pages")), suffixes=url_lists.SUFFIXES)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ way to a call without dependency, so ordering a conversation by (level, turn, ca
 topological. Chains of single dependencies are contracted by pointer jumping (n calls take log2(n)
 joins); calls with several dependencies are then settled in rounds, one for each of them on the
 longest way. Arguments are parsed as JSON, checked against schemas and written as canonical JSON:
-keys in order at every depth, no spaces, numbers in one form. DataFrame functions only.
+keys in order at every depth, no spaces, numbers in one form. No number changes its value: one that is kept neither by a
+decimal of 38 digits nor, written with an exponent, by a double (15 digits, within its range) gives the error
+``arguments``. ``1.0`` is an integer, as in JSON Schema, and is written ``1``. DataFrame functions only.
 
 Defined results: of calls with one id in one conversation the first by (turn, name, arguments) is
 linked and ``n_calls`` counts them, results alike; ``status`` is ``linked``, ``unanswered`` or
@@ -36,6 +38,21 @@ def quoted(text: Column) -> Column:
     return F.substring(array, F.lit(2), F.length(array) - 2)
 
 
+def _exact(arguments: Column) -> Column:
+    """Is every number outside of strings kept as it is when parsed?"""
+    bare = F.regexp_replace(F.regexp_replace(arguments, r"(?s)\\.", ""), '"[^"]*+"', '""')
+
+    def kept(number: Column) -> Column:
+        mantissa, value = F.regexp_replace(number, "[eE].*", ""), number.try_cast("double")
+        digits = F.length(F.regexp_replace(F.regexp_replace(mantissa, "[-.]", ""), "^0+", ""))
+        in_range = (F.abs(value) >= 1e-307) & (F.abs(value) < float("inf"))
+        as_double = (digits <= 15) & ((digits == 0) | in_range)
+        as_decimal = (digits <= 38) & (F.length(F.regexp_extract(mantissa, "[.](.*)", 1)) <= 38)
+        return F.when(number.rlike("[eE]"), as_double).otherwise(as_decimal)
+
+    return F.forall(F.regexp_extract_all(bare, F.lit("-?[0-9][0-9.eE+-]*"), F.lit(0)), lambda n: F.coalesce(kept(n), F.lit(False)))
+
+
 def _first_by_key(rows: DataFrame, columns: list[str], count: str) -> DataFrame:
     whole = rows.where(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull())
     first = whole.groupBy(*KEY).agg(F.min(F.struct(*columns)).alias("first"), F.count(F.lit(1)).alias(count))
@@ -141,7 +158,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, dict
         F.when(is_call & F.coalesce("lost", F.lit(False)), F.lit("dependency")),
     ]
     broken = F.col("given").isNull() | F.col("name").isNull()
-    shown = both.withColumn("given", F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed))
+    shown = both.withColumn("given", F.when(F.schema_of_variant(parsed).startswith("OBJECT") & _exact(F.col("arguments")), parsed))
     fields = [
         F.concat(F.lit('"arguments":'), F.when(broken, quoted(F.coalesce("arguments", F.lit("")))).otherwise(F.to_json("given"))),
         F.concat(F.lit('"id":'), quoted(F.col("call_id"))),

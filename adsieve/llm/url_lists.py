@@ -7,7 +7,7 @@ and not ended. A capture is blocked if its host or its domain was listed then. D
 only.
 
 A registered domain is the last two labels of a host, or the last three if the last two are one of
-``suffixes`` (such as ``co.uk``); numeric addresses have none.
+``suffixes`` (such as ``co.uk``); numeric addresses, IPv6 in brackets among them, have none. Dots at a host's end don't count.
 
 Intervals of a key don't overlap, so a page's row never multiplies. Rows of a hot host are dealt
 over ``salt`` partitions, and the list is copied as often.
@@ -24,11 +24,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ADDRESS = r"^[0-9]+(\.[0-9]+){3}$|^\["
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#@]*\]|[^/?#:@\[]+)"
+# Suffixes of two labels under which names are registered.
+SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ne.jp", "com.br", "com.cn", "com.vn", "edu.vn", "gov.vn", "co.in", "co.kr", "co.za")
 
 
 def host_of(url: Column) -> Column:
-    host = F.lower(F.regexp_extract(url, HOST, 1))
+    host = F.regexp_replace(F.lower(F.regexp_extract(url, HOST, 1)), r"\.+\z", "")
     return F.when(host != "", host)
 
 
@@ -61,7 +63,7 @@ def judge(captures: DataFrame, entries: DataFrame, salt: int = 16, suffixes: tup
     return own.select("page_id", "host", "fetched_on", "host_listed_since", "domain_listed_since", blocked.alias("blocked"))
 
 
-def demonstration(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def demonstration(pages: DataFrame, suffixes: tuple[str, ...] = SUFFIXES) -> tuple[DataFrame, DataFrame]:
     """Captures and list entries for tables without dates: both follow from page ids and host names by rule."""
     captures = pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id"), F.lit(366)).cast("int")).alias("fetched_on"))
     host = host_of(F.col("url"))
@@ -69,7 +71,7 @@ def demonstration(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     code = lambda c: F.conv(F.substring(F.md5(c), 1, 4), 16, 10).cast("int")
     first = F.lit("2024-01-01").cast("date")
     by_host = hosts.select(F.lit("host").alias("kind"), F.col("host").alias("key"), code(F.col("host")).alias("v")).where("v % 3 = 0")
-    domains = hosts.select(domain_of(F.col("host")).alias("key")).where(F.col("key").isNotNull()).distinct()
+    domains = hosts.select(domain_of(F.col("host"), suffixes).alias("key")).where(F.col("key").isNotNull()).distinct()
     by_domain = domains.select(F.lit("domain").alias("kind"), "key", code(F.col("key")).alias("v")).where("v % 7 < 3")
     start = F.col("v") % 200
     dated = [(F.lit(True), start, "add"), (F.col("v") % 2 == 0, start + 30 + F.col("v") % 100, "remove"), (F.col("v") % 4 == 0, start + 160, "add")]
@@ -79,16 +81,19 @@ def demonstration(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return captures, entries.where("e IS NOT NULL").select("kind", "key", "e.day", "e.action")
 
 
-ORACLE = f"""
+ORACLE = r"""
 WITH captures AS (
   SELECT page_id, DATE '2024-01-01' + (page_id % 366)::INT AS fetched_on,
-         nullif(lower(regexp_extract(url, '{HOST}', 1)), '') AS host
+         nullif(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9.+-]*://([^@/?#]*@)?(\[[^/?#@\]]*\]|[^\[@:/?#]+)', 2)), '[.]+$', ''), '') AS host
   FROM pages
-), named AS (
-  SELECT *, list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.') AS domain FROM captures
+), parts AS (SELECT *, string_split(host, '.') AS labels FROM captures),
+named AS (
+  SELECT page_id, fetched_on, host, CASE WHEN host LIKE '[%' OR regexp_full_match(host, '\d+([.]\d+){3}') THEN NULL
+    WHEN array_to_string(labels[-2:], '.') IN ('co.uk', 'org.uk', 'ac.uk', 'gov.uk', 'com.au', 'net.au', 'org.au', 'co.nz', 'co.jp', 'ne.jp', 'com.br', 'com.cn', 'com.vn', 'edu.vn', 'gov.vn', 'co.in', 'co.kr', 'co.za')
+    THEN array_to_string(labels[-3:], '.') ELSE array_to_string(labels[-2:], '.') END AS domain FROM parts
 ), keys AS (
   SELECT DISTINCT 'host' AS kind, host AS key FROM named WHERE host IS NOT NULL
-  UNION ALL SELECT DISTINCT 'domain', domain FROM named WHERE host IS NOT NULL
+  UNION ALL SELECT DISTINCT 'domain', domain FROM named WHERE domain IS NOT NULL
 ), coded AS (SELECT *, ('0x' || substr(md5(key), 1, 4))::INT AS v FROM keys),
 chosen AS (SELECT * FROM coded WHERE (kind = 'host' AND v % 3 = 0) OR (kind = 'domain' AND v % 7 < 3)),
 entries AS (

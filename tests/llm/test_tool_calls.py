@@ -1,5 +1,6 @@
 import json
 import random
+from decimal import Decimal
 
 from adsieve.llm import tool_calls as tc
 
@@ -93,3 +94,17 @@ def test_several_dependencies(spark):
     got = {(r.conv_id, r.call_id): r for r in tc.link(calls, results, SCHEMAS).collect()}
     assert {k: r.level for k, r in got.items()} == {k: level(*k) for k in up}
     assert got[90, "d"].errors == "cycle,dependency" and got[0, "k1"].status == "linked"
+
+
+def test_numbers_keep_their_value(spark):
+    kept = ["1", "-7", "1.0", "0.10", "12345678901234567890123456789012345678", "-0.00000000000000000000000000000000000001", "1.5e3", "1E50", "0e9", "1.2e-300", "9007199254740993"]
+    lost = ["12345678901234567890123456789012345678901234567890", "1e400", "1e-400", "1.2345678901234567890e5", "0." + "0" * 40 + "1", "1.23e-320"]
+    given = [f'{{"n":{n},"s":"\\\\\\"1e400 12345678901234567890123456789012345678901\\\""}}' for n in kept + lost]
+    rows = [(1, str(k), k, "f", a, None, None) for k, a in enumerate(given)]
+    got = {r.call_id: r for r in tc.link(spark.createDataFrame(rows, CALLS), spark.createDataFrame([], RESULTS), {"f": {"n": {"type": "number"}, "s": {}}}).collect()}
+    for k, n in enumerate(kept + lost):
+        shown = json.loads(got[str(k)].json, parse_float=Decimal, parse_int=Decimal)["arguments"]
+        if n in kept:
+            assert shown["n"] == Decimal(n) and shown["s"] == json.loads(given[k])["s"], n
+        else:
+            assert shown == given[k] and "arguments" in got[str(k)].errors, n

@@ -1,6 +1,8 @@
 import random
 from datetime import date, timedelta
 
+from pyspark.sql import functions as F
+
 from adsieve.llm import url_lists as ul
 
 CAPTURES = "page_id long, url string, fetched_on date, host_states string, salt string"
@@ -53,3 +55,10 @@ def test_clashing_columns(spark):
     own = spark.createDataFrame([(1, "http://h/", D, "a", 5)], "page_id long, url string, fetched_on date, key string, valid_to int")
     entries = spark.createDataFrame([("host", "h", D, "add", "", 1)], "kind string, key string, day date, action string, list_salt string, salt int")
     assert ul.judge(own, entries).first()["blocked"]
+
+
+def test_addresses_in_brackets_and_dots_at_the_end(spark):
+    urls = {"http://[2001:DB8::1]:8080/x": "[2001:db8::1]", "http://u@[::1]/": "[::1]", "http://Example.com./a": "example.com", "http://example.com..:80": "example.com", "http://.../": None, "http://[::1": None, "http://a.co.uk?x": "a.co.uk"}
+    got = spark.createDataFrame([(u,) for u in urls], "u string").select("u", ul.host_of(F.col("u")).alias("h"), ul.domain_of(ul.host_of(F.col("u")), ul.SUFFIXES).alias("d")).collect()
+    assert {r.u: r.h for r in got} == urls
+    assert {r.d for r in got} == {None, "example.com", "a.co.uk"}
