@@ -20,10 +20,10 @@ from adsieve.schemas import TAGS, TYPES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; documents and pages in fewer files than cores are dealt over all cores, since a small file is one task's."""
+    """A table; documents and pages in fewer partitions than cores are dealt over all cores, since a small file is one task's."""
     found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return found.repartition(cores) if name in ("documents", "pages") and len(found.inputFiles()) < cores else found
+    return found.repartition(cores) if name in ("documents", "pages") and found.rdd.getNumPartitions() < cores else found
 
 
 # ---- payloads ---------------------------------------------------------------------------------
