@@ -37,12 +37,23 @@ def has_period(bare_word: Column) -> Column:
     return bare_word.endswith(".") & ~bare_word.endswith("..")
 
 
-def neighbours(documents: DataFrame) -> DataFrame:
-    """A row for each word: (type, dot, ends, next): its type, whether one period follows, whether a mark ends it, the next word's type."""
-    words = F.transform(F.filter(F.split("text", f"{SPACE}+"), lambda w: w != ""), bare)
-    each = let(words, lambda own: F.transform(own, lambda w, i: F.struct(w.alias("word"), F.get(own, i + 1).alias("after"))))
-    rows = documents.select(F.explode_outer(each).alias("w")).where("w IS NOT NULL")
-    return rows.select(type_of(F.col("w.word")).alias("type"), has_period(F.col("w.word")).alias("dot"), F.col("w.word").rlike("[.!?…]$").alias("ends"), type_of(F.col("w.after")).alias("next"))
+def tallies(documents: DataFrame) -> DataFrame:
+    """(type, dot, next, followed, n): how often a type stands, by whether one period follows it and by the next word's type, if a mark ends it.
+
+    Words are counted as they are written, in one pass over the texts; patterns then meet each different word once.
+    The tallies are checkpointed: conditions on them would else move below the counting, each in a pass of its own.
+    """
+    words = F.array_remove(F.split("text", f"{SPACE}+"), "")
+    each = let(words, lambda own: F.arrays_zip(own, F.slice(own, F.lit(2), F.size(own))))
+    rows = documents.select(F.explode_outer(each).alias("w")).where("w IS NOT NULL").select("w.*").toDF("word", "after")
+    shown = lambda c: F.coalesce(c, F.lit(""))  # noqa: E731  no word is empty
+    ends = F.col("word").rlike(f"[.!?…]{CLOSERS}*$")  # as its bare form does
+    written = rows.select(shown(F.col("word")).alias("word"), shown(F.when(ends, F.col("after"))).alias("next"))
+    counted = written.groupBy("word", "next").agg(F.count(F.lit(1)).alias("n"))
+    own = counted.select(bare(F.col("word")).alias("word"), type_of(bare(F.col("next"))).alias("next"), (F.col("next") != "").alias("followed"), "n")
+    typed = own.select(type_of(F.col("word")).alias("type"), has_period(F.col("word")).alias("dot"), "next", "followed", "n")
+    found = typed.groupBy("type", "dot", "next", "followed").agg(F.sum("n").alias("n"))
+    return found.checkpoint() if documents.sparkSession.sparkContext.getCheckpointDir() else found.localCheckpoint()
 
 
 def _times(count: Column, share: Column) -> Column:
@@ -102,15 +113,16 @@ def statistics(documents: DataFrame) -> DataFrame:
 
     ``n`` is how often an abbreviation has its period, a starter begins a sentence, a pair stands together.
     """
-    words = neighbours(documents)
-    counts = words.groupBy("type").agg(F.count_if("dot").alias("dot"), F.count_if(~F.col("dot")).alias("plain"))
+    words = tallies(documents)
+    of = lambda dot: F.sum(F.when(dot, F.col("n")).otherwise(F.lit(0)))
+    counts = words.groupBy("type").agg(of(F.col("dot")).alias("dot"), of(~F.col("dot")).alias("plain"))
     totals = counts.agg(F.sum(F.col("dot") + F.col("plain")).alias("n"), F.sum("dot").alias("dots"))
     known = counts.crossJoin(F.broadcast(totals))  # one row
     score = abbreviation_score(F.col("dot"), F.col("plain"), F.col("type"), F.col("dots") / F.col("n"))
     scored = known.where((F.col("dot") > 0) & F.col("type").rlike(r"\p{L}")).select("type", "dot", score.alias("score")).where(F.col("score") >= ABBREVIATION)
     abbreviations = scored.select(F.lit("abbreviation").alias("kind"), F.col("type").alias("item"), F.col("dot").alias("n"), "score")
 
-    pairs = words.where(F.col("ends") & F.col("next").isNotNull()).groupBy("type", "dot", "next").agg(F.count(F.lit(1)).alias("both"))
+    pairs = words.where("followed").select("type", "dot", "next", F.col("n").alias("both"))
     marked = pairs.join(scored.select("type", F.lit(True).alias("short")), "type", "left")
     held = F.col("dot") & (F.coalesce("short", F.lit(False)) | is_numeral(F.col("type")) | F.col("type").rlike(r"^\p{L}$"))
     begun = marked.where(~held).groupBy("next").agg(F.sum("both").alias("both"))

@@ -1,6 +1,7 @@
 """Learned sentence boundaries on a labelled fixture."""
 
 import math
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -57,3 +58,21 @@ def test_nothing_to_learn(spark):
     assert learnt == sentences.Boundaries()
     docs = spark.createDataFrame([(1, "An ba. Cu dê.")], "doc_id long, text string")
     assert [p.text for p in docs.select(learnt.split(F.col("text")).alias("s")).first().s] == ["An ba.", "Cu dê."]
+
+
+def test_texts_are_passed_once_whatever_is_asked_of_their_words(spark):
+    """Words are counted as written, then by type: as word by word; the statistics' plan reads no text again."""
+    texts = ["Ô. an (BS.) \"Lê.\" x… ¿y", "BS. \"'( an ...  Xin! \"", "  ", "", None, "an"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    bare = lambda w: re.sub("^[\"'“‘«(\\[{]+|[\"'”’»)\\]},;:]+$", "", w).lower()
+    kind = lambda w: re.sub(r"\.+$", "", bare(w))
+    wanted = Counter()
+    for text in texts:
+        words = (text or "").split()
+        for word, after in zip(words, [*words[1:], None]):
+            goes_on = after is not None and bool(re.search("[.!?…]$", bare(word)))
+            dot = bare(word).endswith(".") and not bare(word).endswith("..")
+            wanted[kind(word), dot, kind(after) if goes_on else "", goes_on] += 1
+    assert {tuple(r)[:4]: r["n"] for r in sentences.tallies(docs).collect()} == wanted
+    plan = sentences.statistics(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
