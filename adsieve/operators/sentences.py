@@ -139,6 +139,8 @@ def statistics(documents: DataFrame) -> DataFrame:
 
 def learn(documents: DataFrame, most: int = 2000) -> Boundaries:
     """Boundaries from the statistics of all documents; of each kind the ``most`` that score highest, so the model stays small."""
-    found = statistics(documents)
+    found = statistics(documents).persist()  # three questions, one pass over the texts
     best = {kind: found.where(F.col("kind") == kind).orderBy(F.desc("score"), "item").limit(most) for kind in ("abbreviation", "starter", "collocation")}
-    return Boundaries(*[sorted(r["item"] for r in rows.collect()) for rows in best.values()])
+    lists = [sorted(r["item"] for r in rows.collect()) for rows in best.values()]
+    found.unpersist()
+    return Boundaries(*lists)

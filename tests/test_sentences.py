@@ -76,3 +76,11 @@ def test_texts_are_passed_once_whatever_is_asked_of_their_words(spark):
     assert {tuple(r)[:4]: r["n"] for r in sentences.tallies(docs).collect()} == wanted
     plan = sentences.statistics(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_learning_passes_the_texts_once(spark):
+    docs = jobs.spoken(spark, SF)
+    seen = spark.sparkContext.accumulator(0)
+    counted = docs.rdd.map(lambda r: seen.add(1) or r).toDF(docs.schema)
+    learnt = sentences.learn(counted)
+    assert learnt.abbreviations and seen.value == docs.count()
