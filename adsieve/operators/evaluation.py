@@ -25,8 +25,11 @@ def gathered(tokens: DataFrame, repair: bool) -> DataFrame:
     """(i, gold, predicted) as arrays of a chunk, of (doc_id, chunk_id, i, gold, predicted), if asked after the three repair rules."""
     order = F.array_sort(F.collect_list(F.struct("i", "gold", "predicted")))
     rows = tokens.groupBy("doc_id", "chunk_id").agg(order.alias("t"))
-    fixed = {c: tags.repair_all(F.col(f"t.{c}")) if repair else F.col(f"t.{c}") for c in ("gold", "predicted")}
-    return rows.select("doc_id", "chunk_id", F.col("t.i").alias("i"), fixed["gold"].alias("gold"), fixed["predicted"].alias("predicted"))
+    return fixed(rows.select("doc_id", "chunk_id", F.col("t.i").alias("i"), F.col("t.gold").alias("gold"), F.col("t.predicted").alias("predicted")), repair)
+
+
+def fixed(chunks: DataFrame, repair: bool) -> DataFrame:
+    return chunks.withColumns({c: tags.repair_all(F.col(c)) for c in ("gold", "predicted")}) if repair else chunks
 
 
 def repaired(tokens: DataFrame) -> DataFrame:
@@ -52,11 +55,18 @@ def _rate(part: Column, whole: Column) -> Column:
 def scores(tokens: DataFrame, repair: bool = False) -> DataFrame:
     """M2, M3: (label, precision, recall, f1, accuracy) overall and for each type, of (doc_id, chunk_id, i, gold, predicted).
 
-    A chunk's tags gather once; its entities, hits and equal tags are counted on the arrays, for all types at a time, and
-    one sum is left. Accuracy is that of tags with other types masked. ``repair``: after the three repair rules.
+    A chunk's tags gather once. ``repair``: after the three repair rules.
+    """
+    return chunk_scores(gathered(tokens, repair))
+
+
+def chunk_scores(chunks: DataFrame, repair: bool = False) -> DataFrame:
+    """The same of rows with ``gold`` and ``predicted``, the tags of a chunk as arrays.
+
+    Entities, hits and equal tags are counted on the arrays, for all types at a time, and one sum is left. Accuracy is
+    that of tags with other types masked.
     """
-    own = gathered(tokens, repair)
-    keys = own.select("gold", "predicted", entity_keys(F.col("gold")).alias("g"), entity_keys(F.col("predicted")).alias("p"))
+    keys = fixed(chunks, repair).select("gold", "predicted", entity_keys(F.col("gold")).alias("g"), entity_keys(F.col("predicted")).alias("p"))
     masked = lambda tag, t: F.when(tags.type_of(tag) == t, tag).otherwise("O") if t else tag
 
     def counts(pair: Column, hit: Column, t: str | None) -> list[Column]:
