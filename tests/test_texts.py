@@ -3,6 +3,8 @@
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from adsieve.plans import texts
 
 TEXTS = [
@@ -34,3 +36,17 @@ def test_rules_on_texts_equal_sql(spark, tmp_path, query, own):
     assert rows_of(got, found.columns) == rows_of(want, found.columns)
     assert set(got[found.columns[3]]) == {True, False}
     assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_look_at_the_first_character_lets_all_through_that_a_pattern_matches(spark):
+    """Patterns with the look before them find what they find without it, whatever the case."""
+    from adsieve.functions import names
+
+    cases = texts.ADDRESS_TAILS + texts.ORGANISATION_HEADS + texts.ORGANISATION_TAILS + texts.PERSON_HEADS + texts.PERSON_TAILS
+    rows = spark.createDataFrame([(t,) for c in cases for t in (c, c.upper(), c.lower(), c.title(), c.replace("s", "ſ").replace("k", "K"))], "t string").persist()
+    for flags, edge, patterns in (("(?iu)", "", ["|".join(names.REGIONS)]), ("(?iuU)", r"\b", [*names.TITLES, *(p for p, _ in names.ABBREVIATIONS)])):
+        for each in patterns:
+            plain = f"{edge}(?:{names._java(each)})"
+            differ = F.regexp_replace("t", flags + plain, "|") != F.regexp_replace("t", flags + names._begun(each) + plain, "|")
+            assert rows.where(differ).count() == 0, each
+    rows.unpersist()
