@@ -58,20 +58,41 @@ def _escaped(text: Column) -> Column:
     return text
 
 
-def token_html(token: Column, label: Column, confidence: Column) -> Column:
-    """A coloured block for one token; text is escaped."""
+def _frame(label: Column) -> tuple[Column, Column]:
+    """What stands before a token's confidence and after its text: the same for all tokens of a label."""
     kind = F.when(label.contains("-"), F.substring_index(label, "-", -1)).otherwise(label)
     pick = lambda k: F.coalesce(F.element_at(F.create_map(*[F.lit(x) for t, c in COLOURS.items() for x in (t, c[k])]), kind), F.lit(COLOURS["O"][k]))
     style = F.concat(F.lit("display:inline-block;margin:3px;padding:4px 8px;color:#333333;background-color:"), pick(0), F.lit(";border:1px solid "), pick(1))
-    return F.concat(
-        F.lit('<div style="'), style, F.format_string('" title="Tag: %s | Conf: %.4f">', _escaped(label), confidence),
-        F.lit("<span>"), _escaped(token), F.lit("</span><span>"), _escaped(label), F.lit("</span></div>"),
-    )
+    return F.concat(F.lit('<div style="'), style, F.lit('" title="Tag: '), _escaped(label), F.lit(" | Conf: ")), F.concat(F.lit("</span><span>"), _escaped(label), F.lit("</span></div>"))
+
+
+def _framed(token: Column, confidence: Column, before: Column, after: Column) -> Column:
+    return F.concat(before, F.format_string('%.4f"><span>', confidence), _escaped(token), after)
+
+
+def token_html(token: Column, label: Column, confidence: Column) -> Column:
+    """A coloured block for one token; text is escaped."""
+    return _framed(token, confidence, *_frame(label))
+
+
+def page_html(tokens: Column) -> Column:
+    """I6 on a document's tokens (token, label, confidence) in order: its page, of those that are shown.
+
+    A label's frame is made once; a token of no label gives no block.
+    """
+    shown = F.filter(tokens, lambda t: ~t["token"].isin(HIDDEN) & t["label"].isNotNull())
+
+    def body(own: Column) -> Column:
+        labels = F.array_distinct(F.transform(own, lambda t: t["label"]))
+        frame = lambda label: F.struct(*[c.alias(n) for n, c in zip(("before", "after"), _frame(fixed_label(label)))])
+        block = lambda t, f: _framed(t["token"], t["confidence"], f["before"], f["after"])
+        return let(F.map_from_arrays(labels, F.transform(labels, frame)), lambda frames: F.array_join(F.transform(own, lambda t: let(F.element_at(frames, t["label"]), lambda f: block(t, f))), ""))
+
+    return F.concat(F.lit('<div style="font-family:sans-serif;line-height:2.5;">'), let(shown, body), F.lit("</div>"))
 
 
 def document_html(tokens: DataFrame) -> DataFrame:
-    """(doc_id, html) of all shown tokens in order of chunk and place."""
-    shown = tokens.where(~F.col("token").isin(HIDDEN)).withColumn("block", token_html(F.col("token"), fixed_label(F.col("label")), F.col("confidence")))
-    ordered = F.array_sort(F.collect_list(F.struct(KEY[1], "i", "block")))
-    body = F.array_join(F.transform(ordered, lambda t: t["block"]), "")
-    return shown.groupBy("doc_id").agg(F.concat(F.lit('<div style="font-family:sans-serif;line-height:2.5;">'), body, F.lit("</div>")).alias("html"))
+    """(doc_id, html) of all shown tokens in order of chunk and place. Tokens are gathered, not their far larger blocks."""
+    shown = tokens.where(~F.col("token").isin(HIDDEN))
+    ordered = F.array_sort(F.collect_list(F.struct(KEY[1], "i", "token", "label", "confidence")))
+    return shown.groupBy("doc_id").agg(ordered.alias("tokens")).select("doc_id", page_html(F.col("tokens")).alias("html"))

@@ -80,6 +80,27 @@ def test_digit_stands_for_no_entity(spark):
     assert [(r.predicted_tag, r.confidence, r.is_entity) for r in got] == [("O", 0.1235, ""), ("B-PER", 0.9, "✅"), ("B-PER", 0.9, "")]
 
 
+def test_page_of_gathered_tokens(spark):
+    rows = [(1, 1, 0, "<pad>", "O", 1.0), (1, 0, 1, 'a"&', "B-PER", 0.25), (1, 0, 0, "<x>", "0", 0.12345), (1, 0, 2, None, "O", 1.0), (1, 1, 1, "z", None, 1.0), (2, 0, 0, "</s>", "O", 1.0)]
+    tokens = spark.createDataFrame(rows, "doc_id long, chunk_id int, i int, token string, label string, confidence double")
+    shown = tokens.where("token NOT IN ('<s>', '</s>', '<pad>')").orderBy("chunk_id", "i").select(inspection.token_html(F.col("token"), inspection.fixed_label(F.col("label")), F.col("confidence")).alias("b"))
+    blocks = [r.b for r in shown.collect() if r.b is not None]
+    assert len(blocks) == 2 and "&lt;x&gt;</span><span>O</span></div>" in blocks[0] and 'title="Tag: B-PER | Conf: 0.2500"' in blocks[1]
+    got = [(r.doc_id, r.html) for r in inspection.document_html(tokens).collect()]
+    assert got == [(1, '<div style="font-family:sans-serif;line-height:2.5;">' + "".join(blocks) + "</div>")]
+    gathered = inspection.document_html(tokens)._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
+    assert "display:inline-block" not in gathered  # no block is made before tokens are gathered
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_need_no_shuffle(spark):
+    plan = plan_of(jobs.JOBS["token_html"](spark, SF))
+    assert "hashpartitioning" not in plan and "Window" not in plan
+
+
 def test_labels_and_split(spark):
     items = spark.createDataFrame([(k, f"An ở Huế {k}", [(0, 2, "An", ["PER"]), (5, 8, "Huế", ["ADDR"]), (1, 400, "", ["ORG"])]) for k in range(300)], "doc_id long, text string, label array<struct<start:int,end:int,text:string,labels:array<string>>>")
     first = labels.character_table(items.where("doc_id = 1")).orderBy("pos").collect()
