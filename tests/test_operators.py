@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import time
 
 import duckdb
 import pytest
@@ -101,6 +102,17 @@ def test_pages_need_no_shuffle(spark):
     assert "hashpartitioning" not in plan and "Window" not in plan
 
 
+def test_character_digests_need_no_shuffle(spark):
+    assert "hashpartitioning" not in plan_of(jobs.QUERIES["char_bio"](spark, SF))
+
+
+def test_spans_of_a_long_text_in_a_moment(spark):
+    docs = spark.createDataFrame([(1,)], "doc_id long").select("doc_id", F.repeat(F.lit("x"), 4_000_000).alias("text"))
+    began = time.monotonic()
+    assert docs.select(F.size(catalogue.synthetic_spans(F.col("text")))).first()[0] == 40_004
+    assert time.monotonic() - began < 20
+
+
 def test_labels_and_split(spark):
     items = spark.createDataFrame([(k, f"An ở Huế {k}", [(0, 2, "An", ["PER"]), (5, 8, "Huế", ["ADDR"]), (1, 400, "", ["ORG"])]) for k in range(300)], "doc_id long, text string, label array<struct<start:int,end:int,text:string,labels:array<string>>>")
     first = labels.character_table(items.where("doc_id = 1")).orderBy("pos").collect()
