@@ -102,6 +102,21 @@ def test_pages_need_no_shuffle(spark):
     assert "hashpartitioning" not in plan and "Window" not in plan
 
 
+def test_reports_need_no_shuffle(spark):
+    plan = plan_of(jobs.JOBS["ner_results"](spark, SF))
+    assert "hashpartitioning" not in plan and "Window" not in plan and "Join" not in plan
+
+
+def test_reports_of_arrays_equal_those_of_tables(spark, tmp_path):
+    texts = [(1, "An Bình ở Huế " * 300), (2, "x"), (3, ""), (4, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    found = spans.merge_in_texts(catalogue.span_tokens(spark, str(tmp_path)), docs.withColumn("chunk_id", F.lit(0)))
+    want = spans.report(spans.results(docs, found)).orderBy("doc_id").collect()
+    assert len(want) == 4 and want == jobs.JOBS["ner_results"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r.doc_id for r in jobs.JOBS["token_html"](spark, str(tmp_path)).orderBy("doc_id").collect()] == [1, 2, 3]
+
+
 def test_character_digests_need_no_shuffle(spark):
     assert "hashpartitioning" not in plan_of(jobs.QUERIES["char_bio"](spark, SF))
 
