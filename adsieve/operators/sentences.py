@@ -4,7 +4,7 @@ The statistics are those published for unsupervised multilingual boundary detect
 2006): a type is an abbreviation if a period follows it far more often than chance, weighed by its
 length and inner periods; a word starts sentences, or follows an abbreviation or number as its
 collocate, if the two occur together more often than chance. All counts are aggregates over the
-words of all texts; the learned lists, at most ``most`` of each, are literals of the expressions that
+words of all texts; the learned lists, whole, are literals (hashed sets) of the expressions that
 decide each boundary inside the JVM.
 """
 
@@ -137,10 +137,9 @@ def statistics(documents: DataFrame) -> DataFrame:
     return abbreviations.unionByName(starters).unionByName(collocations)
 
 
-def learn(documents: DataFrame, most: int = 2000) -> Boundaries:
-    """Boundaries from the statistics of all documents; of each kind the ``most`` that score highest, so the model stays small."""
-    found = statistics(documents).persist()  # three questions, one pass over the texts
-    best = {kind: found.where(F.col("kind") == kind).orderBy(F.desc("score"), "item").limit(most) for kind in ("abbreviation", "starter", "collocation")}
-    lists = [sorted(r["item"] for r in rows.collect()) for rows in best.values()]
-    found.unpersist()
-    return Boundaries(*lists)
+def learn(documents: DataFrame) -> Boundaries:
+    """Boundaries from the statistics of all documents: every item of each kind that its score lets pass."""
+    lists = {kind: [] for kind in ("abbreviation", "starter", "collocation")}
+    for row in statistics(documents).select("kind", "item").collect():  # one pass over the texts
+        lists[row["kind"]].append(row["item"])
+    return Boundaries(*map(sorted, lists.values()))

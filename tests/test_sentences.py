@@ -84,3 +84,14 @@ def test_learning_passes_the_texts_once(spark):
     counted = docs.rdd.map(lambda r: seen.add(1) or r).toDF(docs.schema)
     learnt = sentences.learn(counted)
     assert learnt.abbreviations and seen.value == docs.count()
+
+
+def test_all_that_is_learned_is_kept(spark):
+    """More starters than the 2,000 that were once kept: each decides."""
+    text = F.repeat(F.concat(F.lit("W"), F.col("id"), F.lit(" aa bb cc hh dd ee ff gg hh. ")), 10)
+    docs = spark.range(2100).select("id", text.alias("text"))
+    learnt = sentences.learn(docs)
+    assert learnt.starters == sorted(f"w{k}" for k in range(2100))
+    known = sentences.Boundaries(["hh"], learnt.starters)
+    n = docs.select(F.size(known.split(F.col("text"))).alias("n")).groupBy("n").count().collect()
+    assert [tuple(r) for r in n] == [(10, 2100)]
